@@ -63,6 +63,22 @@ def registry() -> dict[str, Query]:
     def orders_with_time(wh: Warehouse) -> DataFrame:
         return m._orders_with_time(wh)
 
+    from trolley.operators import affinity as af
+    from trolley.operators import quality as dq
+
+    for key in list(dq.GATE_KEYS) + ["dq_key_report", "dq_null_breakdown", "dq_tables_exist"]:
+        q[key] = _wh(partial(dq.run_key, key=key))
+        q[key].__name__ = key
+    q["dq_report"] = _wh(dq.dq_report)
+    q["dq_gate"] = _wh(dq.dq_gate)
+    q.update({
+        "top_k_products": _wh(af.top_k_products),
+        "product_pairs": _wh(af.product_pairs),
+        "top_product_pairs": _wh(af.top_product_pairs),
+        "pair_matrix": _wh(af.pair_matrix),
+        "pair_matrix_lower": _wh(af.pair_matrix_lower),
+        "association_rules": _wh(af.association_rules),
+    })
     q.update({
         "prior_order_features": _wh(prior_order_features),
         "train_order_features": _wh(train_order_features),
@@ -124,8 +140,14 @@ def oracle() -> dict[str, str]:
     from trolley.oracle.models_sql import model_sql
     from trolley.operators.metrics import CUSTOMER_HISTOGRAM_BINS
 
+    from trolley.operators import affinity as af
+    from trolley.oracle.affinity_sql import affinity_sql
+    from trolley.oracle.quality_sql import quality_sql
+
     out = dict(model_sql())
     out.update(metric_sql(FLOOR, CUSTOMER_HISTOGRAM_BINS))
+    out.update(affinity_sql(af.AFFINITY_PRODUCTS, af.TOP_PAIRS, af.MATRIX_PRODUCTS))
+    out.update(quality_sql())
     return out
 
 

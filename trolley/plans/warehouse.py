@@ -26,6 +26,12 @@ from trolley.session import work_dir
 from trolley.sources import driver
 from trolley.sources.schemas import RAW_TABLES
 
+# staging + intermediate models are views; marts are written tables
+VIEW_NAMES = ("stg_orders", "stg_products", "stg_aisles", "stg_departments", "stg_order_products_prior",
+              "stg_order_products_train", "int_order_products", "int_order_items_enriched")
+MART_NAMES = ("fact_order_items", "dim_orders", "dim_products", "dim_aisles", "dim_departments", "dim_users",
+              "dim_product", "dim_order_slot", "fact_order", "order_features", "dim_user", "product_metrics")
+
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str], "Warehouse"] = {}
 
@@ -77,6 +83,18 @@ class Warehouse:
                 self._rows[name] = getattr(self, name).count()
             return self._rows[name]
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose raw tables, staging views and marts as temp views (the catalogue of S16/S20)."""
+        from trolley.sources.schemas import RAW_TABLES as raw_names
+        names = []
+        for t in raw_names:
+            self.raw(t).createOrReplaceTempView(f"{prefix}raw_{t}")
+            names.append(f"{prefix}raw_{t}")
+        for t in VIEW_NAMES + MART_NAMES:
+            getattr(self, t).createOrReplaceTempView(f"{prefix}{t}")
+            names.append(f"{prefix}{t}")
+        return names
+
     # -------------------------------------------------------------------- raw
     def _raw_items(self) -> DataFrame:
         def build() -> DataFrame:
