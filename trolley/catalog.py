@@ -71,6 +71,36 @@ def registry() -> dict[str, Query]:
         q[key].__name__ = key
     q["dq_report"] = _wh(dq.dq_report)
     q["dq_gate"] = _wh(dq.dq_gate)
+    from trolley.operators import profile as pr
+    from trolley.sources import files as io
+    from trolley.streaming import incremental as inc
+
+    q.update({
+        "ingest_infer": _wh(lambda wh: io.load_raw(wh, typed=False)["orders"]),
+        "ingest_typed": _wh(lambda wh: io.load_raw(wh)["orders"]),
+        "ingest_row_counts": _wh(io.ingest_row_counts),
+        "count_reconciliation": _wh(io.count_reconciliation),
+        "write_parquet": _wh(io.read_back_parquet),
+        "write_csv": _wh(io.read_back_csv),
+        "write_append": _wh(io.append_items),
+        "export_user_subset": _wh(io.export_user_subset),
+        "upsert_merge": _wh(io.upsert_merge),
+        "table_copy": _wh(io.table_copy),
+        "ingestion_log": _wh(io.ingestion_log),
+        "dq_ingestion_log": _wh(io.check_ingestion_log),
+        "catalog_listing": _wh(io.catalog_listing),
+        "schema_contract": _wh(io.schema_contract),
+        "row_count_contract": _wh(io.row_count_contract),
+        "incremental_load": _wh(inc.incremental_load),
+        "stream_product_counts": _wh(inc.stream_product_counts),
+        "stream_pair_counts": _wh(inc.stream_pair_counts),
+        "stream_upsert": _wh(inc.stream_upsert),
+        "profile_missing": _wh(pr.profile_missing),
+        "profile_describe": _wh(pr.profile_describe),
+        "profile_duplicates": _wh(pr.profile_duplicates),
+        "iqr_outliers": _wh(pr.iqr_outliers),
+        "profile_shape": _wh(pr.profile_shape),
+    })
     q.update({
         "top_k_products": _wh(af.top_k_products),
         "product_pairs": _wh(af.product_pairs),
@@ -148,6 +178,10 @@ def oracle() -> dict[str, str]:
     out.update(metric_sql(FLOOR, CUSTOMER_HISTOGRAM_BINS))
     out.update(affinity_sql(af.AFFINITY_PRODUCTS, af.TOP_PAIRS, af.MATRIX_PRODUCTS))
     out.update(quality_sql())
+    from trolley.oracle.profile_sql import profile_sql
+    from trolley.oracle.sources_sql import sources_sql
+    out.update(profile_sql())
+    out.update(sources_sql(out))
     return out
 
 

@@ -83,6 +83,14 @@ class Warehouse:
                 self._rows[name] = getattr(self, name).count()
             return self._rows[name]
 
+    def rows_raw(self, name: str) -> int:
+        """Row count of a raw table (cached)."""
+        with self._lock:
+            key = f"raw_{name}"
+            if key not in self._rows:
+                self._rows[key] = self.raw(name).count()
+            return self._rows[key]
+
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose raw tables, staging views and marts as temp views (the catalogue of S16/S20)."""
         from trolley.sources.schemas import RAW_TABLES as raw_names
