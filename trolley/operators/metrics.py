@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from trolley.functions.columns import equal_width_bin, percent, safe_ratio
 from trolley.functions.joins import small
+from trolley.functions.quantiles import exact_median
 from trolley.functions.ranking import top_k, top_n_per_group, two_sided
 from trolley.plans.warehouse import Warehouse
 
@@ -40,15 +41,15 @@ def _orders_with_time(wh: Warehouse) -> DataFrame:
 
 
 def _summary(df: DataFrame, c: str) -> DataFrame:
-    """n, mean, median, min, max of one measure (NULLs skipped, as ``dropna``)."""
+    """n, mean, median, min, max of one measure (NULLs skipped, as ``dropna``); exact distributed median."""
     x = F.col(c)
-    return df.filter(x.isNotNull()).agg(
+    moments = df.filter(x.isNotNull()).agg(
         F.count(x).alias("n"),
         F.avg(x).cast("double").alias("mean"),
-        F.median(x).cast("double").alias("median"),
         F.min(x).cast("double").alias("min"),
         F.max(x).cast("double").alias("max"),
     )
+    return moments.crossJoin(exact_median(df, c, "median")).select("n", "mean", "median", "min", "max")
 
 
 def _dept_items(wh: Warehouse) -> DataFrame:

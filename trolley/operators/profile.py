@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trolley.functions.quantiles import exact_quantile
 from trolley.plans.warehouse import Warehouse
 from trolley.sources.schemas import RAW_KEYS, RAW_TABLES, type_name
 
@@ -113,10 +114,11 @@ def profile_describe(wh: Warehouse, table: str = "orders") -> DataFrame:
         best = freq.orderBy(F.col("n").desc(), F.col("v").asc()).limit(1).select(F.col("v").cast("string").alias("top"))
         x = c.cast("double")
         if numeric:
+            # quartiles by sketch-bounded exact selection: id columns have as many distinct values as rows
+            qs = [exact_quantile(df, x, p, alias=a) for p, a in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
             stats = df.agg(F.count(c).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                           F.min(x).alias("min"), F.percentile(x, 0.25).alias("q25"),
-                           F.percentile(x, 0.5).alias("q50"), F.percentile(x, 0.75).alias("q75"),
-                           F.max(x).alias("max"))
+                           F.min(x).alias("min"), F.max(x).alias("max"))
+            stats = stats.crossJoin(qs[0]).crossJoin(qs[1]).crossJoin(qs[2])
         else:
             nul = F.lit(None).cast("double")
             stats = df.agg(F.count(c).alias("count")).select(

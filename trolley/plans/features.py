@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trolley.functions.columns import customer_segment, day_part, safe_ratio
 from trolley.functions.joins import small
+from trolley.functions.quantiles import exact_median
 
 
 def order_features(orders: DataFrame, baskets: DataFrame) -> DataFrame:
@@ -82,18 +83,17 @@ def dim_user(order_feats: DataFrame, basket_feats: DataFrame, product_feats: Dat
 def segment_thresholds(users: DataFrame, approx: bool = False, accuracy: int = 100_000) -> DataFrame:
     """One row: median total_orders and median customer_reorder_rate (NULLs skipped).
 
-    The exact median keeps one counter per distinct value (map-side partial
-    buffers, merged once); ``approx=True`` switches to ``percentile_approx``
-    with a fixed-size sketch for unbounded-cardinality measures.
+    Exact by default via ``exact_quantile`` (sketch-bounded selection: no
+    task ever holds all distinct rates); ``approx=True`` uses the
+    ``percentile_approx`` sketch alone.
     """
     if approx:
-        med = lambda c: F.percentile_approx(c, 0.5, accuracy).cast("double")
-    else:
-        med = lambda c: F.median(c)
-    return users.agg(
-        med("total_orders").alias("order_threshold"),
-        med("customer_reorder_rate").alias("reorder_threshold"),
-    )
+        return users.agg(
+            F.percentile_approx("total_orders", 0.5, accuracy).cast("double").alias("order_threshold"),
+            F.percentile_approx("customer_reorder_rate", 0.5, accuracy).cast("double").alias("reorder_threshold"))
+    orders_med = exact_median(users, "total_orders", "order_threshold")
+    rate_med = exact_median(users, "customer_reorder_rate", "reorder_threshold")
+    return orders_med.crossJoin(rate_med)  # two one-row frames
 
 
 def dim_user_segmented(users: DataFrame, approx: bool = False) -> DataFrame:
