@@ -33,8 +33,15 @@ def top_k_products(wh: Warehouse, k: int = AFFINITY_PRODUCTS) -> DataFrame:
 
 
 def _basket_rows(wh: Warehouse, k: int) -> DataFrame:
+    """Distinct (order, product) rows of top-k products, hash-partitioned by order_id.
+
+    One shuffle (of top-k rows only) serves the de-duplication and both
+    sides of the per-order self-join: all three require clustering on
+    order_id, which this partitioning satisfies.
+    """
     top = F.broadcast(top_k_products(wh, k).select("product_id"))  # k rows
-    return wh.fact_order_item.select("order_id", "product_id").join(top, "product_id", "left_semi").distinct()
+    rows = wh.fact_order_item.select("order_id", "product_id").join(top, "product_id", "left_semi")
+    return rows.repartition("order_id").distinct()
 
 
 def product_pairs(wh: Warehouse, k: int = AFFINITY_PRODUCTS) -> DataFrame:
