@@ -66,7 +66,8 @@ def registry() -> dict[str, Query]:
     from trolley.operators import affinity as af
     from trolley.operators import quality as dq
 
-    for key in list(dq.GATE_KEYS) + ["dq_key_report", "dq_null_breakdown", "dq_tables_exist"]:
+    for key in list(dq.GATE_KEYS) + ["dq_key_report", "dq_null_breakdown", "dq_tables_exist", "dq_orphans",
+                                     "dq_all_matched"]:
         q[key] = _wh(partial(dq.run_key, key=key))
         q[key].__name__ = key
     q["dq_report"] = _wh(dq.dq_report)
@@ -79,6 +80,8 @@ def registry() -> dict[str, Query]:
         "ingest_infer": _wh(lambda wh: io.load_raw(wh, typed=False)["orders"]),
         "ingest_typed": _wh(lambda wh: io.load_raw(wh)["orders"]),
         "ingest_row_counts": _wh(io.ingest_row_counts),
+        "coerce_lenient": _wh(io.coerce_landed),
+        "coerce_strict": _wh(partial(io.coerce_landed, strict=True)),
         "count_reconciliation": _wh(io.count_reconciliation),
         "write_parquet": _wh(io.read_back_parquet),
         "write_csv": _wh(io.read_back_csv),
@@ -160,6 +163,8 @@ def registry() -> dict[str, Query]:
         "segment_summary": _wh(m.segment_summary),
         "segment_variety": _wh(m.segment_variety),
         "dashboard_product_metrics": _wh(m.dashboard_product_metrics),
+        "dashboard_checks": _wh(m.dashboard_checks),
+        "customer_segments": _wh(m.customer_segments),
         "user_history": _wh(m.user_history),
     })
     return q

@@ -527,3 +527,63 @@ def user_history(wh: Warehouse, user_id: int | None = None) -> DataFrame:
     else:
         fo = fo.filter(F.col("user_id") == user_id)
     return fo.orderBy("order_number")
+
+
+def customer_segments(wh: Warehouse) -> DataFrame:
+    """Each user with the two broadcast median thresholds and the resulting segment."""
+    from trolley.functions.columns import customer_segment
+    from trolley.plans.features import segment_thresholds
+
+    t = F.broadcast(segment_thresholds(wh.dim_user))  # exactly one row
+    return wh.dim_user.select("user_id", "total_orders", "customer_reorder_rate").crossJoin(t).withColumn(
+        "customer_segment",
+        customer_segment("total_orders", "customer_reorder_rate", F.col("order_threshold"), F.col("reorder_threshold")))
+
+
+def dashboard_checks(wh: Warehouse) -> DataFrame:
+    """Q46: checks on the published tables -- totals reconcile, no duplicates, no missing values, rates in range.
+
+    Each check is a one-row aggregate over a (small) published table; issue_count 0 = PASS.
+    """
+    def row(name: str, table: str, issues) -> DataFrame:
+        return issues.select(F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
+                             F.col("issue_count").cast("bigint").alias("issue_count"))
+
+    n_orders = wh.fact_order.agg(F.count(F.lit(1)).alias("n"),
+                                 F.count("basket_size").alias("nb"))
+    users = wh.dim_user.agg(F.count(F.lit(1)).alias("u"))
+    items = wh.order_baskets.agg(F.sum("basket_size").alias("i"))
+    ot = order_time(wh)
+    bd = basket_distribution(wh)
+    pm = dashboard_product_metrics(wh)
+    seg = segment_summary(wh)
+    kp = kpis_all(wh)
+    null_cells = lambda df: sum((F.count_if(F.col(c).isNull()) for c in df.columns[1:]),
+                                F.count_if(F.col(df.columns[0]).isNull()))
+    parts = [
+        row("kpis_single_row", "dashboard_kpis", kp.agg(F.abs(F.count(F.lit(1)) - 1).alias("issue_count"))),
+        row("kpis_missing", "dashboard_kpis", kp.agg(null_cells(kp).alias("issue_count"))),
+        row("order_time_total", "dashboard_order_time", ot.agg(F.sum("order_count").alias("s")).crossJoin(n_orders)
+            .select(F.abs(F.col("s") - F.col("n")).alias("issue_count"))),
+        row("order_time_missing", "dashboard_order_time", ot.agg(null_cells(ot).alias("issue_count"))),
+        row("basket_distribution_total", "dashboard_basket_distribution",
+            bd.agg(F.sum("order_count").alias("s")).crossJoin(n_orders)
+            .select(F.abs(F.col("s") - F.col("nb")).alias("issue_count"))),
+        row("basket_distribution_missing", "dashboard_basket_distribution",
+            bd.agg(null_cells(bd).alias("issue_count"))),
+        row("product_metrics_duplicate_ids", "dashboard_product_metrics",
+            pm.agg((F.count(F.lit(1)) - F.count_distinct("product_id")).alias("issue_count"))),
+        row("product_metrics_missing", "dashboard_product_metrics", pm.agg(null_cells(pm).alias("issue_count"))),
+        row("product_metrics_rate_range", "dashboard_product_metrics",
+            pm.agg(F.count_if(~F.col("product_reorder_rate").between(0, 1)).alias("issue_count"))),
+        row("product_metrics_total", "dashboard_product_metrics",
+            pm.agg(F.sum("purchase_count").alias("s")).crossJoin(items)
+            .select(F.abs(F.col("s") - F.col("i")).alias("issue_count"))),
+        row("customer_segments_total", "dashboard_customer_segments",
+            seg.agg(F.sum("customer_count").alias("s")).crossJoin(users)
+            .select(F.abs(F.col("s") - F.col("u")).alias("issue_count"))),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("status", F.when(F.col("issue_count") == 0, F.lit("PASS")).otherwise(F.lit("FAIL")))

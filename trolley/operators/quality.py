@@ -407,7 +407,16 @@ def evaluate(wh: Warehouse, rules: list) -> list[DataFrame]:
     return parts
 
 
+def _orphans(wh: Warehouse) -> list[DataFrame]:
+    """Every anti-join orphan check -- mart relationships and raw references."""
+    parts = [eval_ref_rule(wh, r) for r in dbt_relationship_rules()]
+    parts += [eval_ref_rule(wh, r) for rs in raw_ref_rules().values() for r in rs]
+    return parts + [_train_refs(wh), _product_refs(wh)]
+
+
 SPECIAL: dict[str, Callable[[Warehouse], list[DataFrame]]] = {
+    "dq_orphans": _orphans,
+    "dq_all_matched": lambda wh: evaluate(wh, star_rules()["dq_star_refs"]),
     "dq_product_refs": lambda wh: [_product_refs(wh)],
     "dq_train_refs": lambda wh: [_train_refs(wh)],
     "dq_partition_consistency": _partition_consistency,

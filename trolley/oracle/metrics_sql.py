@@ -229,6 +229,54 @@ def metric_sql(min_orders: int, hist_bins) -> dict[str, str]:
                round(avg(unique_products_purchased), 6) AS average_unique_products,
                round(avg(average_basket_size), 6) AS average_basket_size
         FROM dim_user_segmented GROUP BY customer_segment""")
+    q["customer_segments"] = sql("""
+        SELECT u.user_id, u.total_orders, u.customer_reorder_rate, t.order_threshold, t.reorder_threshold,
+               u.customer_segment
+        FROM dim_user_segmented u CROSS JOIN _thresholds t""")
+
+    def nulls(cols):
+        return " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+
+    kp_cols = ["total_orders", "total_customers", "total_products", "average_basket_size",
+               "average_customer_reorder_rate", "average_days_between_orders"]
+    pm_cols = ["product_id", "product_name", "aisle", "department", "purchase_count", "reordered_count",
+               "product_reorder_rate"]
+    checks = f"""
+        SELECT 'kpis_single_row' AS check_name, 'dashboard_kpis' AS table_name, abs(count(*) - 1) AS issue_count FROM kp
+        UNION ALL SELECT 'kpis_missing', 'dashboard_kpis', {nulls(kp_cols)} FROM kp
+        UNION ALL SELECT 'order_time_total', 'dashboard_order_time',
+            abs(sum(order_count) - (SELECT count(*) FROM fact_order)) FROM ot
+        UNION ALL SELECT 'order_time_missing', 'dashboard_order_time',
+            {nulls(["order_dow", "order_hour_of_day", "order_count"])} FROM ot
+        UNION ALL SELECT 'basket_distribution_total', 'dashboard_basket_distribution',
+            abs(sum(order_count) - (SELECT count(basket_size) FROM fact_order)) FROM bd
+        UNION ALL SELECT 'basket_distribution_missing', 'dashboard_basket_distribution',
+            {nulls(["basket_size", "order_count"])} FROM bd
+        UNION ALL SELECT 'product_metrics_duplicate_ids', 'dashboard_product_metrics',
+            count(*) - count(DISTINCT product_id) FROM pm
+        UNION ALL SELECT 'product_metrics_missing', 'dashboard_product_metrics', {nulls(pm_cols)} FROM pm
+        UNION ALL SELECT 'product_metrics_rate_range', 'dashboard_product_metrics',
+            count(*) FILTER (WHERE NOT (product_reorder_rate BETWEEN 0 AND 1)) FROM pm
+        UNION ALL SELECT 'product_metrics_total', 'dashboard_product_metrics',
+            abs(sum(purchase_count) - (SELECT sum(basket_size) FROM order_baskets)) FROM pm
+        UNION ALL SELECT 'customer_segments_total', 'dashboard_customer_segments',
+            abs(sum(customer_count) - (SELECT count(*) FROM dim_user)) FROM seg"""
+    q["dashboard_checks"] = sql(f"""
+        SELECT check_name, table_name, CAST(issue_count AS BIGINT) AS issue_count,
+               CASE WHEN issue_count = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({checks})""", [
+        OWT,
+        ("kp", """
+            SELECT (SELECT count(DISTINCT order_id) FROM fact_order) AS total_orders,
+                   (SELECT count(DISTINCT user_id) FROM dim_user) AS total_customers,
+                   (SELECT count(DISTINCT product_id) FROM dim_product) AS total_products,
+                   (SELECT avg(basket_size) FROM fact_order) AS average_basket_size,
+                   (SELECT avg(customer_reorder_rate) FROM dim_user) AS average_customer_reorder_rate,
+                   (SELECT avg(average_days_between_orders) FROM dim_user) AS average_days_between_orders"""),
+        ("ot", "SELECT order_dow, order_hour_of_day, count(order_id) AS order_count FROM owt GROUP BY 1, 2"),
+        ("bd", "SELECT basket_size, count(*) AS order_count FROM fact_order WHERE basket_size IS NOT NULL GROUP BY 1"),
+        ("pm", "SELECT * FROM product_metrics"),
+        ("seg", "SELECT customer_segment, count(user_id) AS customer_count FROM dim_user_segmented GROUP BY 1"),
+    ])
     q["user_history"] = sql("""
         SELECT * FROM fact_order WHERE user_id = (
             SELECT user_id FROM dim_user ORDER BY total_orders DESC, user_id LIMIT 1)""")

@@ -79,6 +79,11 @@ def quality_sql() -> dict[str, str]:
         q[key] = sql(_report(parts))
         parts_all += parts
     q["dq_key_report"] = sql(_report(SPECIAL_SQL["dq_key_report"]))
+    orphans = ([_ref(r) for r in Q.dbt_relationship_rules()]
+               + [_ref(r) for rs in Q.raw_ref_rules().values() for r in rs]
+               + SPECIAL_SQL["dq_train_refs"] + SPECIAL_SQL["dq_product_refs"])
+    q["dq_orphans"] = sql(_report(orphans))
+    q["dq_all_matched"] = sql(_report([_render(r) for r in suite["dq_star_refs"]]))
     q["dq_report"] = sql(_report(parts_all))
     rep = _report(parts_all)
     q["dq_gate"] = sql(f"""

@@ -15,6 +15,8 @@ def _counts(where: dict[str, str] | None = None, col: str = "row_count") -> str:
 def sources_sql(models: dict[str, str]) -> dict[str, str]:
     q: dict[str, str] = {}
     q["ingest_typed"] = sql("SELECT * FROM raw_orders")
+    q["coerce_lenient"] = sql("SELECT * FROM raw_orders")
+    q["coerce_strict"] = sql("SELECT * FROM raw_orders")
     q["ingest_infer"] = sql("""
         SELECT CAST(order_id AS INTEGER) AS order_id, CAST(user_id AS INTEGER) AS user_id, eval_set, order_number,
                order_dow, order_hour_of_day, days_since_prior_order FROM raw_orders""")

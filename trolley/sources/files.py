@@ -296,3 +296,22 @@ def raw_table_missing_error(spark: SparkSession, path: str) -> bool:
         return False
     except AnalysisException as exc:
         return "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc)
+
+
+def coerce_landed(wh: Warehouse, table: str = "orders", strict: bool = False) -> DataFrame:
+    """Read a landed CSV as text (no inference) and convert each column to its declared type.
+
+    Lenient: blank/malformed/``NaN`` text becomes NULL (``try_cast``).
+    Strict: ANSI ``cast`` -- one malformed value fails the job.
+    """
+    from trolley.plans.staging import coerce_lenient, coerce_strict
+
+    schema = RAW_SCHEMAS[table]
+    text = ", ".join(f"{f.name} string" for f in schema.fields)
+    df = wh.spark.read.option("header", True).schema(text).csv(f"{land_csv(wh)}/{table}")
+    for f in schema.fields:
+        ty = f.dataType.simpleString()
+        if ty == "string":
+            continue
+        df = coerce_strict(df, f.name, ty) if strict else coerce_lenient(df, f.name, ty)
+    return df
