@@ -14,7 +14,8 @@ import hashlib
 import os
 import threading
 import uuid
-from typing import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,10 @@ VIEW_NAMES = ("stg_orders", "stg_products", "stg_aisles", "stg_departments", "st
 MART_NAMES = ("fact_order_items", "dim_orders", "dim_products", "dim_aisles", "dim_departments", "dim_users",
               "dim_product", "dim_order_slot", "fact_order", "order_features", "dim_user", "product_metrics")
 
+ALL_TABLES = ("fact_order_items", "dim_orders", "dim_products", "dim_aisles", "dim_departments", "order_baskets",
+              "dim_users", "dim_product", "dim_order_slot", "fact_order", "order_features", "dim_user",
+              "product_metrics")
+
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str], "Warehouse"] = {}
 
@@ -49,6 +54,7 @@ class Warehouse:
         self._tables: dict[str, DataFrame] = {}
         self._rows: dict[str, int] = {}
         self._lock = threading.RLock()
+        self._locks: dict[str, threading.Lock] = {}
 
     # ------------------------------------------------------------------ infra
     @classmethod
@@ -63,10 +69,22 @@ class Warehouse:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def _name_lock(self, name: str) -> threading.Lock:
+        with self._lock:
+            return self._locks.setdefault(name, threading.Lock())
+
     def materialise(self, name: str, build: Callable[[], DataFrame], layer: str = "marts",
                     partition_by: str | None = None) -> DataFrame:
-        """Write ``build()`` once as Parquet and return a DataFrame reading it back."""
-        with self._lock:
+        """Write ``build()`` once as Parquet and return a DataFrame reading it back.
+
+        One lock per table: independent tables can be written concurrently
+        (``build_all``) while a table needed by two builders is written once.
+        The dependency graph is acyclic, so nested locks cannot deadlock.
+        """
+        done = self._tables.get(name)
+        if done is not None:
+            return done
+        with self._name_lock(name):
             if name not in self._tables:
                 out = self.path(layer, name)
                 writer = build().write.mode("overwrite")
@@ -76,20 +94,27 @@ class Warehouse:
                 self._tables[name] = self.spark.read.parquet(out)
             return self._tables[name]
 
+    def build_all(self, names: Iterable[str] = ALL_TABLES, threads: int = 4) -> None:
+        """Materialise several tables with concurrent Spark jobs (each job is still fully distributed)."""
+        names = list(names)
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            for f in [pool.submit(getattr, self, n) for n in names]:
+                f.result()
+
     def rows(self, name: str) -> int:
         """Row count of a materialised table (read from the written files once)."""
-        with self._lock:
-            if name not in self._rows:
-                self._rows[name] = getattr(self, name).count()
-            return self._rows[name]
+        got = self._rows.get(name)
+        if got is None:
+            got = getattr(self, name).count()  # no lock held while a table may be building
+            self._rows[name] = got
+        return got
 
     def rows_raw(self, name: str) -> int:
         """Row count of a raw table (cached)."""
-        with self._lock:
-            key = f"raw_{name}"
-            if key not in self._rows:
-                self._rows[key] = self.raw(name).count()
-            return self._rows[key]
+        key = f"raw_{name}"
+        if key not in self._rows:
+            self._rows[key] = self.raw(name).count()
+        return self._rows[key]
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose raw tables, staging views and marts as temp views (the catalogue of S16/S20)."""

@@ -23,7 +23,7 @@ from trolley.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 def land_csv(wh: Warehouse) -> str:
     """Write the six raw tables as headed CSV files (the landing zone the loaders read)."""
     base = wh.path("landing", "csv")
-    with wh._lock:
+    with wh._name_lock("_landed"):
         if not getattr(wh, "_landed", False):
             for t in RAW_TABLES:
                 write_csv(wh.raw(t), f"{base}/{t}")

@@ -39,7 +39,7 @@ def drop_items(wh: Warehouse, files: int = 8) -> str:
     """Land the item fact as ``files`` Parquet files; rows are spread round-robin,
     so one order's items land in different files (the straddling case)."""
     path = wh.path("drop", "items")
-    with wh._lock:
+    with wh._name_lock("_items_dropped"):
         if not getattr(wh, "_items_dropped", False):
             wh.fact_order_item.repartition(files).write.mode("overwrite").parquet(path)
             wh._items_dropped = True
@@ -143,7 +143,7 @@ def drop_order_changes(wh: Warehouse) -> str:
     """A two-file change feed of orders: an early extract (gap not yet known, seq 1)
     followed by the final rows (seq 2)."""
     path = wh.path("drop", "order_changes")
-    with wh._lock:
+    with wh._name_lock("_changes_dropped"):
         if not getattr(wh, "_changes_dropped", False):
             o = wh.stg_orders
             early = o.withColumn("days_since_prior_order", F.lit(None).cast("double")).withColumn("_seq", F.lit(1))
