@@ -303,14 +303,20 @@ def eval_key_rule(wh: Warehouse, r: KeyRule) -> DataFrame:
                     F.coalesce(F.col("issue_count"), F.lit(0)).alias("issue_count"))
 
 
+def _key_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows per key value, combined map-side: a hot key becomes one row per task before any join."""
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def eval_ref_rule(wh: Warehouse, r: RefRule) -> DataFrame:
+    """Orphan child rows: child key counts LEFT ANTI parent keys, then summed."""
     child = table(wh, r.table).select(*r.column)
     if r.skip_null:
         for c in r.column:
             child = child.filter(F.col(c).isNotNull())
     parent = table(wh, r.parent).select(*[F.col(p).alias(c) for p, c in zip(r.parent_column, r.column)]).distinct()
-    orphans = child.join(parent, list(r.column), "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("issue_count")).select(
+    orphans = _key_counts(child, list(r.column)).join(parent, list(r.column), "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("issue_count")).select(
         F.lit(r.name).alias("check_name"), F.lit(r.table).alias("table_name"), "issue_count")
 
 
@@ -335,11 +341,12 @@ def _product_refs(wh: Warehouse) -> DataFrame:
 
 def _train_refs(wh: Warehouse) -> DataFrame:
     """Train items whose order or product is missing."""
-    t = wh.raw("order_products_train").select("order_id", "product_id")
+    t = _key_counts(wh.raw("order_products_train"), ["order_id", "product_id"])
     o = wh.raw("orders").select("order_id").distinct().withColumn("_o", F.lit(1))
     p = wh.raw("products").select("product_id").distinct().withColumn("_p", F.lit(1))
     j = t.join(o, "order_id", "left").join(small(p, wh.rows("dim_products")), "product_id", "left")
-    return j.agg(F.count_if(F.col("_o").isNull() | F.col("_p").isNull()).alias("issue_count")).select(
+    return j.agg(F.coalesce(F.sum(F.when(F.col("_o").isNull() | F.col("_p").isNull(), F.col("_n"))), F.lit(0))
+                 .alias("issue_count")).select(
         F.lit("train_refs").alias("check_name"), F.lit("raw_order_products_train").alias("table_name"), "issue_count")
 
 
@@ -348,8 +355,9 @@ def _partition_consistency(wh: Warehouse) -> list[DataFrame]:
     o = wh.raw("orders").select("order_id", "eval_set")
     out = []
     for s in ("prior", "train"):
-        items = wh.raw(f"order_products_{s}").select("order_id")
-        c = items.join(o, "order_id").agg(F.count_if(F.col("eval_set") != s).alias("issue_count"))
+        items = _key_counts(wh.raw(f"order_products_{s}"), ["order_id"])
+        c = items.join(o, "order_id").agg(
+            F.coalesce(F.sum(F.when(F.col("eval_set") != s, F.col("_n"))), F.lit(0)).alias("issue_count"))
         out.append(c.select(F.lit(f"partition_consistency_{s}").alias("check_name"),
                             F.lit(f"raw_order_products_{s}").alias("table_name"), "issue_count"))
     return out

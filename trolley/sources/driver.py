@@ -7,10 +7,9 @@ prefix in ``trolley.oracle.prefix``.
 
 Scale notes
 -----------
-* Items: lineitem is shuffled once on the order key; the (order, product)
-  de-duplication, the join to orders and the cart-position window reuse
-  that partitioning (only the catalogue-sized part->product map and the
-  order side move).
+* Items: (order, product) pairs are de-duplicated with map-side partial
+  aggregation (copied lines collapse before the shuffle); the join to
+  orders and the cart-position window share one exchange on order_id.
 * ``reordered`` uses ``min(order_number)`` over (user, product) -- a hot user
   still spreads over its products.
 * ``order_number`` / gap need a per-user ordered window.  Customers' order
@@ -94,13 +93,12 @@ def derive_items(spark: SparkSession, sf_dir: str, raw_orders: DataFrame, part_p
     lines = read_driver(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     # part -> product is catalogue-sized; the join strategy is left to AQE
     # (broadcast when the runtime size is under the threshold).
-    # One shuffle by order: the (order, product) de-dup, the join to orders
-    # and the cart-position window below all cluster on order_id.
+    # (order, product) de-dup with map-side partial aggregation first (copied
+    # lines collapse before the shuffle); the join to orders and the
+    # cart-position window then share one exchange on order_id.
     pairs = (
         lines.join(part_product, lines.l_partkey == part_product.p_partkey)
-        .select(F.col("l_orderkey").alias("order_id"), "product_id", "l_linenumber")
-        .repartition("order_id")
-        .groupBy("order_id", "product_id")
+        .groupBy(F.col("l_orderkey").alias("order_id"), "product_id")
         .agg(F.min("l_linenumber").alias("first_line"))
     )
     orders = raw_orders.select("order_id", "user_id", "order_number", "eval_set")

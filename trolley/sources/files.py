@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -166,21 +166,26 @@ def export_user_subset(wh: Warehouse, max_user_id: int = 20_000, compression: st
 def upsert(existing: DataFrame, batch: DataFrame, keys: list[str], order_col: str | None = None) -> DataFrame:
     """Merge ``batch`` into ``existing`` by ``keys`` (merge-duplicates, last wins).
 
-    Within the batch the last row per key wins (``order_col`` descending, a
-    row_number window partitioned by the key -- distributed by key); the
-    result is the existing rows whose key is not in the batch plus the
-    de-duplicated batch.
+    Within the batch the last row per key wins: ``max(struct(order_col,
+    payload...))`` per key is an ordinary aggregate with map-side partial
+    aggregation, so many copies of one key collapse inside each task
+    before the shuffle (ties on ``order_col`` resolve on the payload, so
+    the result is deterministic).  The result is the existing rows whose
+    key is not in the batch plus the de-duplicated batch.
     """
-    b = batch
-    if order_col is not None:
-        w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-        b = b.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", order_col)
-    else:
-        b = b.dropDuplicates(keys)
-    cols = [c for c in existing.columns]
+    cols = list(existing.columns)
+    payload = [c for c in cols if c not in keys]
+    b = last_per_key(batch, keys, payload, order_col)
     return existing.join(b.select(*keys), keys, "left_anti").select(*cols).unionByName(b.select(*cols))
 
 
+def last_per_key(df: DataFrame, keys: list[str], payload: list[str], order_col: str | None) -> DataFrame:
+    """One row per key: the one with the highest ``order_col`` (then highest payload) -- skew-safe aggregate."""
+    order = [order_col] if order_col else []
+    best = F.max(F.struct(*[F.col(c) for c in order + payload])).alias("_best")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in order + payload])
+
+
 def upsert_merge(wh: Warehouse) -> DataFrame:
     """Upsert the full item fact (composite key) over the prior-only load: the result is the full fact."""
     cols = ["order_id", "product_id", "add_to_cart_order", "reordered"]

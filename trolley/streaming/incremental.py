@@ -20,7 +20,7 @@ it stopped) and ``maxFilesPerTrigger`` (bounded micro-batches).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.operators.affinity import AFFINITY_PRODUCTS, top_k_products
@@ -158,10 +158,12 @@ def stream_upsert(wh: Warehouse, files_per_trigger: int = 1) -> DataFrame:
     """Keyed (order_id) last-wins upsert of the change feed; resumable and replay-safe.
 
     Each batch unions the current table with the batch and keeps the row
-    with the highest ``_seq`` per key (a window partitioned by the key), so
+    with the highest ``_seq`` per key (a skew-safe aggregate), so
     the result does not depend on file arrival order and a replayed batch
     is a no-op.  On a table format with MERGE the same step is a MERGE.
     """
+    from trolley.sources.files import last_per_key
+
     spark = wh.spark
     feed = drop_order_changes(wh)
     schema = ("order_id bigint, user_id bigint, eval_set string, order_number int, order_dow int, "
@@ -173,8 +175,8 @@ def stream_upsert(wh: Warehouse, files_per_trigger: int = 1) -> DataFrame:
         cur = _version(s, base, batch_id - 1)
         b = batch.drop("part")
         merged = b if cur is None else cur.unionByName(b)
-        w = Window.partitionBy("order_id").orderBy(F.col("_seq").desc())
-        last = merged.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        payload = [c for c in merged.columns if c not in ("order_id", "_seq")]
+        last = last_per_key(merged, ["order_id"], payload, "_seq").select(*merged.columns)
         _commit(s, last, base, batch_id)
 
     src = (spark.readStream.schema(schema + ", part int").option("maxFilesPerTrigger", files_per_trigger)
