@@ -97,6 +97,14 @@ def test_wrong_row_count_in_contract(tiny):
 def test_ingestion_log_checks(tiny):
     rep = {r.check_name: r.issue_count for r in io.check_ingestion_log(tiny).collect()}
     assert rep == {"log_row_count": 0, "log_table_count": 0, "log_failed_tables": 0, "log_count_mismatch": 0}
-    io.write_ingestion_log(tiny, expected={"aisles": 99})
     log = io.ingestion_log(tiny)  # a fresh run is written and is the latest
     assert log.count() == 6
+
+
+def test_ingestion_log_with_failed_table(tiny):
+    expected = {"aisles": 99, "departments": 2, "products": 3, "orders": 5, "order_products_prior": 5,
+                "order_products_train": 2}
+    io.write_ingestion_log(tiny, expected=expected)
+    rep = {r.check_name: r.issue_count for r in io.check_ingestion_log(tiny, write=False).collect()}
+    assert rep["log_failed_tables"] == 1 and rep["log_count_mismatch"] == 1
+    assert rep["log_row_count"] == 0 and rep["log_table_count"] == 0
