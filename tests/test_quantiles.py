@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -22,7 +23,11 @@ def _duck(vals, p):
        accuracy=st.sampled_from([20, 100_000]))
 def test_matches_duckdb(spark, vals, p, accuracy):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    assert exact_quantile(df, "x", p, accuracy=accuracy).first()[0] == _duck(vals, p)
+    got, want = exact_quantile(df, "x", p, accuracy=accuracy).first()[0], _duck(vals, p)
+    if p == 0.5:
+        assert got == want  # medians: interpolation by 0.5 is exact in both engines
+    else:
+        assert got == pytest.approx(want, rel=1e-12, abs=1e-15)  # DuckDB fuses the multiply-add
 
 
 def test_hot_value_and_empty(spark):

@@ -5,17 +5,21 @@ merge all of them in a single task -- fine for small domains (basket sizes,
 cart positions, department averages), not for per-customer rates at
 warehouse scale.  ``exact_quantile`` selects instead:
 
-1. one pass: ``count`` and a ``percentile_approx`` sketch (fixed size,
+1. one job: ``count`` and a ``percentile_approx`` sketch (fixed size,
    merged map-side) at ``p - delta`` and ``p + delta``;  with relative
    rank error ``1/accuracy`` and ``delta = 3/accuracy`` the exact
-   quantile's ranks lie inside the value band [lo, hi];
-2. one pass: values below the band are counted; values inside it are
-   grouped by value (a hot value collapses to one row);
+   quantile's ranks lie inside the value band [lo, hi].  Its three
+   scalars become literals, so the band filter reaches the Parquet scan;
+2. one pass: values inside the band are grouped by value (a hot value
+   collapses to one row) and values below it are counted under one
+   NULL key of the same aggregate;
 3. a cumulative count over the band's distinct values -- at most about
    ``2 * delta * n`` rows however large the table (all values when
    ``n <= accuracy``, i.e. at most ``accuracy`` rows) -- gives each value's
    rank range, and the two values around position ``p * (n - 1)`` are
-   interpolated linearly (``lo + frac * (hi - lo)``).
+   interpolated linearly (``lo * (1 - d) + hi * d``).  That equals DuckDB's
+   ``quantile_cont`` exactly for medians and integer-valued data; for other
+   fractions DuckDB fuses the multiply-add, so the last bit may differ.
 
 If the band ever misses a target rank, the query fails loudly via
 ``raise_error`` rather than returning a wrong value.
@@ -23,6 +27,8 @@ If the band ever misses a target rank, the query fails loudly via
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,48 +37,48 @@ DEFAULT_ACCURACY = 100_000
 
 def exact_quantile(df: DataFrame, column: str | Column, p: float, accuracy: int = DEFAULT_ACCURACY,
                    alias: str = "q") -> DataFrame:
-    """One row, one double column ``alias``: the linear-interpolated p-quantile of non-null values (NULL if none)."""
+    """One row, one double column ``alias``: the linear-interpolated p-quantile of non-null values (NULL if none).
+
+    Runs the sketch job immediately (its result is three scalars); the
+    returned frame is the lazy selection over the band.
+    """
+    spark = df.sparkSession
     x = (F.col(column) if isinstance(column, str) else column).cast("double")
     v = df.select(x.alias("x")).filter(F.col("x").isNotNull())
     delta = 3.0 / accuracy
     lo_p, hi_p = max(p - delta, 0.0), min(p + delta, 1.0)
-    bounds = v.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("x", F.array(F.lit(lo_p), F.lit(hi_p)), accuracy).alias("b"),
-    ).select("n", F.col("b")[0].alias("lo"), F.col("b")[1].alias("hi"))
-    b = F.broadcast(bounds)  # exactly one row
-    tagged = v.crossJoin(b)
-    # with n <= accuracy one rank step can exceed the sketch margin: the band is then every value
-    # (still at most `accuracy` distinct values in the ranking window)
-    whole = F.col("n") <= F.lit(accuracy)
-    below = tagged.agg(F.count_if(~whole & (F.col("x") < F.col("lo"))).alias("below"))
-    band = tagged.filter(whole | ((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))).groupBy("x").agg(
-        F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # over the band only
-    ranked = band.withColumn("cum", F.sum("c").over(w))
-    h = ((F.col("n") - 1).cast("double") * F.lit(p)).alias("h")
-    ctx = bounds.crossJoin(F.broadcast(below)).select("n", "below", h).select(
-        "n", "below", "h", F.floor("h").cast("bigint").alias("r0"), F.ceil("h").cast("bigint").alias("r1"))
-    j = ranked.crossJoin(F.broadcast(ctx))
+    row = v.agg(F.count(F.lit(1)).alias("n"),
+                F.percentile_approx("x", F.array(F.lit(lo_p), F.lit(hi_p)), accuracy).alias("b")).first()
+    n = int(row["n"])
+    if n == 0:
+        return spark.createDataFrame([(None,)], f"{alias} double")
+    h = (n - 1) * float(p)
+    r0, r1 = math.floor(h), math.ceil(h)
+    frac = h - r0
+    xc = F.col("x")
+    if n <= accuracy:
+        # one rank step can exceed the sketch margin: the band is every value (<= accuracy rows)
+        keyed = v.select(xc.alias("k"))
+    else:
+        lo, hi = float(row["b"][0]), float(row["b"][1])
+        # values below the band share the NULL key, so one aggregate yields the band and the count below it
+        keyed = v.filter(xc <= F.lit(hi)).select(F.when(xc < F.lit(lo), F.lit(None)).otherwise(xc).alias("k"))
+    counts = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("c"))
+    below = counts.agg(F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("c"))), F.lit(0)).alias("below"))
+    band = counts.filter(F.col("k").isNotNull())
+    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # over the band only
+    ranked = band.withColumn("cum", F.sum("c").over(w)).crossJoin(F.broadcast(below))  # one-row right side
     first = F.col("below") + F.col("cum") - F.col("c")  # rank of the value's first copy
     last = F.col("below") + F.col("cum") - 1
-    hit0 = (first <= F.col("r0")) & (F.col("r0") <= last)
-    hit1 = (first <= F.col("r1")) & (F.col("r1") <= last)
-    picked = j.agg(
-        F.max(F.when(hit0, F.col("x"))).alias("v0"),
-        F.max(F.when(hit1, F.col("x"))).alias("v1"),
-        F.first("h", ignorenulls=True).alias("h"),
-        F.first("r0", ignorenulls=True).alias("r0"),
+    picked = ranked.agg(
+        F.max(F.when((first <= r0) & (F.lit(r0) <= last), F.col("k"))).alias("v0"),
+        F.max(F.when((first <= r1) & (F.lit(r1) <= last), F.col("k"))).alias("v1"),
     )
-    # a global aggregate always yields one row; re-attach n so an empty input gives NULL, not an error
-    out = ctx.select("n").crossJoin(picked)
-    frac = F.col("h") - F.col("r0")
-    value = F.col("v0") + frac * (F.col("v1") - F.col("v0"))
+    value = F.col("v0") * F.lit(1.0 - frac) + F.col("v1") * F.lit(frac)
     missed = F.col("v0").isNull() | F.col("v1").isNull()
-    return out.select(
-        F.when(F.col("n") == 0, F.lit(None).cast("double"))
-        .when(missed, F.raise_error(F.lit("exact_quantile: target rank outside the sketch band")).cast("double"))
-        .otherwise(F.when(frac == 0, F.col("v0")).otherwise(value)).alias(alias))
+    return picked.select(
+        F.when(missed, F.raise_error(F.lit("exact_quantile: target rank outside the sketch band")).cast("double"))
+        .otherwise(value if frac else F.col("v0")).alias(alias))
 
 
 def exact_median(df: DataFrame, column: str | Column, alias: str = "median",
