@@ -10,6 +10,7 @@ from trolley.functions.columns import day_part
 from trolley.operators import affinity as af
 from trolley.operators import metrics as m
 from trolley.plans import staging as st
+from trolley.sources import files as io
 
 
 def _map(df, key, val):
@@ -146,3 +147,30 @@ def test_segment_invariant_on_driver_data(spark):
 def test_ntz_dates_are_used(spark):
     wh = warehouse(spark)
     assert wh.stg_orders.filter(F.col("order_dow") > 6).count() == 0
+
+
+def test_department_products_bound_parameter(tiny):
+    rows = m.department_products(tiny, department="dairy eggs", n=5).collect()
+    assert {r.department_name for r in rows} == {"dairy eggs"}
+    assert m.department_products(tiny, department="it's nowhere").count() == 0  # quote-safe
+
+
+def test_optional_in_list_filter(tiny):
+    assert {r.department_name for r in m.dept_dow_share(tiny, ["produce"]).collect()} == {"produce"}
+    assert {r.department_name for r in m.dept_dow_share(tiny).collect()} == {"produce", "dairy eggs"}
+
+
+def test_join_guards(spark):
+    from trolley.plans.features import order_features
+    from trolley.plans.marts import dim_product
+    wh = warehouse(spark, aisles=[(1, "fresh fruits"), (2, "yogurt"), (2, "yogurt again")])
+    with pytest.raises(ValueError, match="aisles"):
+        dim_product(wh.raw("products"), wh.raw("aisles"), wh.raw("departments"), validate=True)
+    ok = warehouse(spark)
+    assert order_features(ok.stg_orders, ok.order_baskets, validate=True).count() == 4
+
+
+def test_compressed_subset_export(tiny):
+    counts = {r.table_name: r.row_count for r in io.export_user_subset(tiny, max_user_id=2,
+                                                                        compression="gzip").collect()}
+    assert counts["orders"] == 5

@@ -437,7 +437,9 @@ def department_products(wh: Warehouse, department: str | None = None, n: int = 5
         chosen = top_k(_dept_items(wh).select("department_name", "item_count"), 1,
                        F.col("item_count").desc(), F.col("department_name").asc()).select("department_name")
     else:
-        chosen = wh.spark.createDataFrame([(department,)], "department_name string")
+        # bound named parameter, never string interpolation of the value (names may contain quotes)
+        chosen = wh.spark.sql("SELECT department_name FROM {d} WHERE department_name = :dept",
+                              args={"dept": department}, d=wh.dim_departments)
     return _rank_both(_dept_product_counts(wh, chosen), n).orderBy("ranking", "rank")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.functions.columns import day_part, safe_ratio, slot_code
-from trolley.functions.joins import small
+from trolley.functions.joins import assert_unique, small
 
 FACT_ORDER_ITEMS_COLUMNS = (
     "order_id", "user_id", "product_id", "aisle_id", "department_id", "eval_set", "order_number",
@@ -84,8 +84,16 @@ def dim_users(baskets: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def dim_product(products: DataFrame, aisles: DataFrame, departments: DataFrame,
-                aisles_rows: int | None = None, departments_rows: int | None = None) -> DataFrame:
-    """Denormalised product: products LEFT JOIN aisles LEFT JOIN departments."""
+                aisles_rows: int | None = None, departments_rows: int | None = None,
+                validate: bool = False) -> DataFrame:
+    """Denormalised product: products LEFT JOIN aisles LEFT JOIN departments.
+
+    ``validate=True`` checks the many-to-one contract first (the right keys
+    are unique), as the reference's merges do.
+    """
+    if validate:
+        assert_unique(aisles, ["aisle_id"], "aisles")
+        assert_unique(departments, ["department_id"], "departments")
     return (
         products.join(small(aisles, aisles_rows), "aisle_id", "left")
         .join(small(departments, departments_rows), "department_id", "left")
