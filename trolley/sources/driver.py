@@ -14,9 +14,11 @@ Scale notes
   computed as an aggregate (map-side combined) and joined back, so a hot
   (user, product) pair is neither a single-task window nor unsplittable
   (AQE can split a skewed join partition).
-* ``order_number`` / gap need a per-user ordered window.  Customers' order
-  histories are small; a window partition spills to disk rather than
-  failing if a single user were huge.
+* ``order_number`` / gap: the per-user sequence is split by (user, day) --
+  offsets and previous order days come from a window over a user's
+  distinct days (bounded by the calendar), the rank within a day from a
+  window per (user, day); so a user holding a third of all orders is
+  spread over as many tasks as it has order days.
 * Product / aisle / department ids are dense ranks over the distinct
   catalogue keys (bounded by catalogue size, not by fact size).
 """
@@ -66,12 +68,23 @@ def derive_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("user_id"),
         F.to_date("o_orderdate").alias("odate"),
     )
-    w_seq = Window.partitionBy("user_id").orderBy("odate", "order_id")
-    w_user = Window.partitionBy("user_id")
+    # A user's sequence is split by day so no window ever holds one user's whole history:
+    # per-(user, day) counts -> each day's offset and the previous order day come from a
+    # window over the user's *days*; the rank inside a day is a window per (user, day).
+    days = base.groupBy("user_id", "odate").agg(F.count(F.lit(1)).alias("n_day"))
+    w_days = Window.partitionBy("user_id").orderBy("odate")
+    days = days.select(
+        "user_id", "odate",
+        (F.sum("n_day").over(w_days.rowsBetween(Window.unboundedPreceding, -1))).alias("before"),
+        F.lag("odate").over(w_days).alias("prev_day"),
+        F.sum("n_day").over(Window.partitionBy("user_id")).alias("n_orders"),
+    )
+    w_in_day = Window.partitionBy("user_id", "odate").orderBy("order_id")
     seq = (
-        base.withColumn("order_number", F.row_number().over(w_seq).cast("int"))
-        .withColumn("prev_date", F.lag("odate").over(w_seq))
-        .withColumn("n_orders", F.count(F.lit(1)).over(w_user))
+        base.withColumn("_r", F.row_number().over(w_in_day))
+        .join(days, ["user_id", "odate"])
+        .withColumn("order_number", (F.coalesce(F.col("before"), F.lit(0)) + F.col("_r")).cast("int"))
+        .withColumn("prev_date", F.when(F.col("_r") > 1, F.col("odate")).otherwise(F.col("prev_day")))
     )
     last = F.col("order_number") == F.col("n_orders")
     eval_set = (
