@@ -51,12 +51,19 @@ def _stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int)
 
 
 def _latest(spark: SparkSession, base: str) -> DataFrame | None:
-    """The newest committed version under ``base`` (versions are ``v=<batch id>`` folders)."""
-    marker = f"{base}/_latest"
-    if not _exists(spark, marker):
+    """The newest committed version under ``base``: the highest ``v=<batch id>`` folder whose write
+    committed (has ``_SUCCESS``).  Listing is metadata only."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
         return None
-    v = spark.read.text(marker).first()[0]
-    return spark.read.parquet(f"{base}/v={v}")
+    versions = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            versions.append(int(name[2:]))
+    return spark.read.parquet(f"{base}/v={max(versions)}") if versions else None
 
 
 def _version(spark: SparkSession, base: str, v: int) -> DataFrame | None:
@@ -66,9 +73,8 @@ def _version(spark: SparkSession, base: str, v: int) -> DataFrame | None:
 
 
 def _commit(spark: SparkSession, df: DataFrame, base: str, batch_id: int) -> None:
-    """Write version ``batch_id`` (overwrite = idempotent on replay), then move the pointer."""
+    """Write version ``batch_id``; overwrite makes a replayed batch idempotent."""
     df.write.mode("overwrite").parquet(f"{base}/v={batch_id}")
-    spark.createDataFrame([(str(batch_id),)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/_latest")
 
 
 # ---------------------------------------------------------------------------- I1
