@@ -22,10 +22,6 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _stack(df: DataFrame, n: int, cells: list[str], names: str) -> DataFrame:
-    return df.selectExpr(f"stack({n}, {', '.join(cells)}) as ({names})")
-
-
 def profile_missing(wh: Warehouse) -> DataFrame:
     """Per column type, total, non-null, missing and missing % (2 dp)."""
     parts = []
