@@ -74,3 +74,34 @@ def test_table_copy_appends_in_bounded_files(tiny):
     copied = io.table_copy(tiny, "orders", batch_rows=2)
     assert copied.count() == len(ORDERS)
     assert len(copied.inputFiles()) >= 3
+
+
+def test_warehouse_from_source_files(spark, tiny, tmp_path):
+    from trolley.plans.warehouse import Warehouse
+    from trolley.sources.schemas import SOURCE_FILES
+    from trolley import catalog
+    for t, fname in SOURCE_FILES.items():
+        io.write_csv(tiny.raw(t), str(tmp_path / fname))
+    wh = Warehouse.from_files(spark, str(tmp_path))
+    assert _rows(wh.dim_user, "user_id", "total_orders", "total_items") == \
+        _rows(tiny.dim_user, "user_id", "total_orders", "total_items")
+    reg = catalog.registry()
+    assert _rows(reg["department_counts"].on(wh), "department_name", "item_count") == \
+        _rows(reg["department_counts"].on(tiny), "department_name", "item_count")
+
+
+def test_missing_source_files_all_listed(spark, tmp_path):
+    import pytest
+    from trolley.plans.warehouse import Warehouse
+    wh = Warehouse.from_files(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError) as err:
+        wh.raw("orders")
+    assert "aisles" in str(err.value) and "order_products_train" in str(err.value)
+
+
+def test_nan_cells_become_null(spark, tmp_path):
+    p = tmp_path / "orders.csv"
+    p.write_text("order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n"
+                 "1,1,prior,1,0,8,NaN\n2,1,prior,2,3,12,7.0\n3,1,train,3,3,18,\n")
+    df = io.ingest_file(spark, str(p), "orders")
+    assert [r.days_since_prior_order for r in df.orderBy("order_id").collect()] == [None, 7.0, None]

@@ -25,14 +25,18 @@ def _wh(fn: Callable[..., DataFrame], **params) -> Query:
         return fn(Warehouse.get(spark, sf_dir), **params)
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
+    run.on = lambda wh: fn(wh, **params)  # the same query over any Warehouse (e.g. from_files)
     return run
 
 
 def _table(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        wh = Warehouse.get(spark, sf_dir)
+    def on(wh: Warehouse) -> DataFrame:
         return wh.raw(name[4:]) if name.startswith("raw_") else getattr(wh, name)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return on(Warehouse.get(spark, sf_dir))
     run.__name__ = name
+    run.on = on
     return run
 
 

@@ -45,9 +45,12 @@ class Warehouse:
     """Lazily built, memoised tables for one (session, source) pair."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None,
-                 raw: dict[str, DataFrame] | None = None):
+                 raw: dict[str, DataFrame] | None = None, files: dict[str, str] | None = None,
+                 file_format: str = "csv"):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._files = files
+        self._file_format = file_format
         tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:10]
         self.root = root or os.path.join(work_dir(spark), "trolley", f"{tag}-{uuid.uuid4().hex[:8]}")
         self._raw_override = raw
@@ -57,6 +60,21 @@ class Warehouse:
         self._locks: dict[str, threading.Lock] = {}
 
     # ------------------------------------------------------------------ infra
+    @classmethod
+    def from_files(cls, spark: SparkSession, source_dir: str, file_format: str = "csv",
+                   names: dict[str, str] | None = None, root: str | None = None) -> "Warehouse":
+        """A warehouse over the six source files themselves (logical name -> file, ``SOURCE_FILES``).
+
+        Raw tables are ingested once with the declared schemas (fail-fast on a
+        malformed value; ``NaN`` cells become NULL) and written as Parquet; all
+        models and queries then run unchanged.
+        """
+        from trolley.sources.schemas import SOURCE_FILES
+        names = names or SOURCE_FILES
+        base = source_dir.rstrip("/")
+        files = {t: f"{base}/{names[t]}" for t in RAW_TABLES}
+        return cls(spark, base, root=root, files=files, file_format=file_format)
+
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
@@ -141,6 +159,14 @@ class Warehouse:
             raise KeyError(name)
         if self._raw_override is not None:
             return self._raw_override[name]
+        if self._files is not None:
+            from trolley.sources.files import ingest_file, require_sources
+            with self._name_lock("_required"):
+                if not getattr(self, "_checked", False):
+                    require_sources(self.spark, self._files)  # all missing files reported at once
+                    self._checked = True
+            return self.materialise(
+                name, lambda: ingest_file(self.spark, self._files[name], name, self._file_format), layer="raw")
         if name in ("order_products_prior", "order_products_train"):
             source = name.rsplit("_", 1)[1]
             # partition pruning on eval_set=... directories

@@ -55,6 +55,21 @@ def ingest_typed(spark: SparkSession, path: str, table: str, null_value: str = "
             .schema(RAW_SCHEMAS[table]).csv(path))
 
 
+def ingest_file(spark: SparkSession, path: str, table: str, file_format: str = "csv",
+                mode: str = "FAILFAST") -> DataFrame:
+    """Typed ingest of one source file; double columns map ``NaN`` to NULL (never store NaN)."""
+    schema = RAW_SCHEMAS[table]
+    if file_format == "csv":
+        df = (spark.read.option("header", True).option("mode", mode).option("nullValue", "")
+              .option("nanValue", "NaN").schema(schema).csv(path))
+    else:
+        df = spark.read.format(file_format).load(path).select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[
+        (F.when(~F.isnan(f.name), F.col(f.name)) if f.dataType.simpleString() == "double" else F.col(f.name))
+        .alias(f.name) for f in schema.fields])
+
+
 def load_raw(wh: Warehouse, typed: bool = True) -> dict[str, DataFrame]:
     """Read all six landed tables after checking they all exist."""
     base = land_csv(wh)

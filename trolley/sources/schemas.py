@@ -48,6 +48,16 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
     ]),
 }
 
+# Logical raw table -> file name of the public six-file data set.
+SOURCE_FILES: dict[str, str] = {
+    "aisles": "aisles.csv",
+    "departments": "departments.csv",
+    "products": "products.csv",
+    "orders": "orders.csv",
+    "order_products_prior": "order_products__prior.csv",
+    "order_products_train": "order_products__train.csv",
+}
+
 # Primary keys of the raw tables (composite for the item tables).
 RAW_KEYS: dict[str, tuple[str, ...]] = {
     "aisles": ("aisle_id",),
