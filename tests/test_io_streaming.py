@@ -49,23 +49,23 @@ def test_stream_pairs_equal_batch_pairs(tiny):
 
 def test_stream_product_counts_equal_metrics(tiny):
     want = _rows(tiny.product_metrics, "product_id", "purchase_count", "reordered_count")
-    got = _rows(inc.stream_product_counts(tiny), "product_id", "purchase_count", "reordered_count")
+    got = _rows(inc.stream_product_counts(tiny, files_per_trigger=2), "product_id", "purchase_count", "reordered_count")
     assert got == want
 
 
 def test_stream_upsert_keeps_final_rows(tiny):
-    got = inc.stream_upsert(tiny)
+    got = inc.stream_upsert(tiny, files_per_trigger=1)
     assert sorted(got.collect()) == sorted(tiny.stg_orders.collect())
 
 
 def test_incremental_load_resumes(spark):
     wh = warehouse(spark)
-    first = inc.incremental_load(wh)
+    first = inc.incremental_load(wh, files_per_trigger=1)
     assert first.count() == len(ORDERS)
     # a new file lands; a re-run loads only that file
     extra = spark.createDataFrame([(9, 3, "prior", 1, 2, 5, None)], first.schema)
     io.write_csv(extra, f"{io.land_csv(wh)}/orders", mode="append")
-    second = inc.incremental_load(wh)
+    second = inc.incremental_load(wh, files_per_trigger=1)
     assert second.count() == len(ORDERS) + 1
     assert second.filter("order_id = 9").count() == 1
 
@@ -105,3 +105,11 @@ def test_nan_cells_become_null(spark, tmp_path):
                  "1,1,prior,1,0,8,NaN\n2,1,prior,2,3,12,7.0\n3,1,train,3,3,18,\n")
     df = io.ingest_file(spark, str(p), "orders")
     assert [r.days_since_prior_order for r in df.orderBy("order_id").collect()] == [None, 7.0, None]
+
+
+def test_stream_pairs_multi_batch_on_driver_data(spark):
+    from trolley.plans.warehouse import Warehouse
+    wh = Warehouse(spark, "/root/testdata/sf0.001")  # fresh checkpoints
+    want = _rows(af.product_pairs(wh), "product_a_id", "product_b_id", "pair_order_count")
+    got = _rows(inc.stream_pair_counts(wh, files_per_trigger=3), "product_a_id", "product_b_id", "pair_order_count")
+    assert got == want

@@ -28,6 +28,9 @@ from trolley.plans.warehouse import Warehouse
 
 ITEM_SCHEMA = "order_id bigint, product_id int, add_to_cart_order int, reordered int"
 
+# Micro-batch bound: files per trigger (the file source's default is unbounded).
+FILES_PER_TRIGGER = 1000
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -80,7 +83,7 @@ def _commit(spark: SparkSession, df: DataFrame, base: str, batch_id: int) -> Non
 # ---------------------------------------------------------------------------- I1
 
 
-def stream_product_counts(wh: Warehouse, files_per_trigger: int = 2) -> DataFrame:
+def stream_product_counts(wh: Warehouse, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Running per-product purchase and reorder totals; equals ``product_metrics`` counts when drained."""
     spark = wh.spark
     src = _stream(spark, drop_items(wh), ITEM_SCHEMA, files_per_trigger)
@@ -101,7 +104,7 @@ def stream_product_counts(wh: Warehouse, files_per_trigger: int = 2) -> DataFram
 # ---------------------------------------------------------------------------- I2
 
 
-def stream_pair_counts(wh: Warehouse, k: int = AFFINITY_PRODUCTS, files_per_trigger: int = 2) -> DataFrame:
+def stream_pair_counts(wh: Warehouse, k: int = AFFINITY_PRODUCTS, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Unordered pair counts among the top-k products, correct when orders straddle files."""
     spark = wh.spark
     top = top_k_products(wh, k).select("product_id")
@@ -160,7 +163,7 @@ def drop_order_changes(wh: Warehouse) -> str:
     return path
 
 
-def stream_upsert(wh: Warehouse, files_per_trigger: int = 1) -> DataFrame:
+def stream_upsert(wh: Warehouse, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Keyed (order_id) last-wins upsert of the change feed; resumable and replay-safe.
 
     Each batch unions the current table with the batch and keeps the row
@@ -197,7 +200,7 @@ def stream_upsert(wh: Warehouse, files_per_trigger: int = 1) -> DataFrame:
 __all__ = ["stream_product_counts", "stream_pair_counts", "stream_upsert"]
 
 
-def incremental_load(wh: Warehouse, table: str = "orders", files_per_trigger: int = 1) -> DataFrame:
+def incremental_load(wh: Warehouse, table: str = "orders", files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Load a landed CSV table into Parquet in bounded batches, resuming from the last committed file.
 
     The file source's checkpoint records which files were loaded, so a
