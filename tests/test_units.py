@@ -132,8 +132,16 @@ def test_lenient_and_strict_casts(spark):
     df = spark.createDataFrame([("",), ("NaN",), ("abc",), ("3.0",)], "x string")
     vals = [r.x for r in st.coerce_lenient(df, "x").collect()]
     assert vals == [None, None, None, 3.0]
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="cannot convert"):
         st.coerce_strict(df, "x", "bigint").collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="cannot convert"):
+            st.coerce_strict(df, "x", "double").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    ok = spark.createDataFrame([("1",), (None,), ("3",)], "x string")
+    assert [r.x for r in st.coerce_strict(ok, "x", "bigint").collect()] == [1, None, 3]
 
 
 def test_segment_invariant_on_driver_data(spark):

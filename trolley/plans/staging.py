@@ -61,5 +61,13 @@ def coerce_lenient(df: DataFrame, column: str, to: str = "double") -> DataFrame:
 
 
 def coerce_strict(df: DataFrame, column: str, to: str = "bigint") -> DataFrame:
-    """Text -> number; a malformed value fails the job (ANSI ``cast``)."""
-    return df.withColumn(column, F.expr(f"cast(`{column}` as {to})"))
+    """Text -> number; a non-null value that does not convert fails the job.
+
+    Explicit (``try_cast`` + ``raise_error``) rather than relying on the
+    session's ANSI mode, so it is strict under any configuration.
+    """
+    value = F.expr(f"try_cast(`{column}` as {to})")
+    bad = F.col(column).isNotNull() & value.isNull()
+    message = F.concat(F.lit(f"coerce_strict: cannot convert {column} value '"),
+                       F.col(column).cast("string"), F.lit(f"' to {to}"))
+    return df.withColumn(column, F.when(bad, F.raise_error(message)).otherwise(value))
