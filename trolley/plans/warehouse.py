@@ -58,6 +58,15 @@ class Warehouse:
         self._rows: dict[str, int] = {}
         self._lock = threading.RLock()
         self._locks: dict[str, threading.Lock] = {}
+        # Order-keyed tables are bucketed by order_id so order-level joins and aggregates need no
+        # exchange.  Bucket count: spark.trolley.orderBuckets (default: spark.sql.shuffle.partitions).
+        # order_id is a safe bucket key: an order holds at most one row per product (the
+        # (order_id, product_id) key is checked by dq_item_pair_unique), so the largest group in a
+        # bucket is bounded by the catalogue size, never by the data size.
+        conf = spark.conf
+        self.bucketing = conf.get("spark.trolley.bucketing", "true").lower() == "true"
+        self.buckets = int(conf.get("spark.trolley.orderBuckets", conf.get("spark.sql.shuffle.partitions", "200")))
+        self._table_prefix = "trolley_" + hashlib.sha1(self.root.encode()).hexdigest()[:12] + "_"
 
     # ------------------------------------------------------------------ infra
     @classmethod
@@ -92,12 +101,16 @@ class Warehouse:
             return self._locks.setdefault(name, threading.Lock())
 
     def materialise(self, name: str, build: Callable[[], DataFrame], layer: str = "marts",
-                    partition_by: str | None = None) -> DataFrame:
+                    partition_by: str | None = None, bucket_by: str | None = None) -> DataFrame:
         """Write ``build()`` once as Parquet and return a DataFrame reading it back.
 
-        One lock per table: independent tables can be written concurrently
-        (``build_all``) while a table needed by two builders is written once.
-        The dependency graph is acyclic, so nested locks cannot deadlock.
+        With ``bucket_by`` the table is written bucketed (and sorted) on that
+        column as an external catalogue table at the same shared path, so
+        joins and aggregates on the bucket key between such tables skip the
+        exchange.  One lock per table: independent tables can be written
+        concurrently (``build_all``) while a table needed by two builders is
+        written once; the dependency graph is acyclic, so nested locks cannot
+        deadlock.
         """
         done = self._tables.get(name)
         if done is not None:
@@ -108,8 +121,13 @@ class Warehouse:
                 writer = build().write.mode("overwrite")
                 if partition_by:
                     writer = writer.partitionBy(partition_by)
-                writer.parquet(out)
-                self._tables[name] = self.spark.read.parquet(out)
+                if bucket_by and self.bucketing:
+                    table = self._table_prefix + name
+                    writer.bucketBy(self.buckets, bucket_by).sortBy(bucket_by).option("path", out).saveAsTable(table)
+                    self._tables[name] = self.spark.table(table)
+                else:
+                    writer.parquet(out)
+                    self._tables[name] = self.spark.read.parquet(out)
             return self._tables[name]
 
     def build_all(self, names: Iterable[str] = ALL_TABLES, threads: int = 4) -> None:
@@ -148,10 +166,17 @@ class Warehouse:
 
     # -------------------------------------------------------------------- raw
     def _raw_items(self) -> DataFrame:
+        """Prior and train items in one table: partitioned by eval_set, bucketed by order_id."""
         def build() -> DataFrame:
+            if self._files is not None:
+                from trolley.sources.files import ingest_file
+                return ingest_file(self.spark, self._files["order_products_prior"], "order_products_prior",
+                                   self._file_format).withColumn("eval_set", F.lit("prior")).unionByName(
+                    ingest_file(self.spark, self._files["order_products_train"], "order_products_train",
+                                self._file_format).withColumn("eval_set", F.lit("train")))
             part_product = driver.derive_catalogue(self.spark, self.sf_dir)["_part_product"]
             return driver.derive_items(self.spark, self.sf_dir, self.raw("orders"), part_product)
-        return self.materialise("items", build, layer="raw", partition_by="eval_set")
+        return self.materialise("items", build, layer="raw", partition_by="eval_set", bucket_by="order_id")
 
     def raw(self, name: str) -> DataFrame:
         """One of the six raw tables (``RAW_TABLES``)."""
@@ -165,14 +190,17 @@ class Warehouse:
                 if not getattr(self, "_checked", False):
                     require_sources(self.spark, self._files)  # all missing files reported at once
                     self._checked = True
-            return self.materialise(
-                name, lambda: ingest_file(self.spark, self._files[name], name, self._file_format), layer="raw")
+            if name not in ("order_products_prior", "order_products_train"):
+                return self.materialise(
+                    name, lambda: ingest_file(self.spark, self._files[name], name, self._file_format), layer="raw",
+                    bucket_by="order_id" if name == "orders" else None)
         if name in ("order_products_prior", "order_products_train"):
             source = name.rsplit("_", 1)[1]
             # partition pruning on eval_set=... directories
             return self._raw_items().filter(F.col("eval_set") == source).drop("eval_set")
         if name == "orders":
-            return self.materialise(name, lambda: driver.derive_orders(self.spark, self.sf_dir), layer="raw")
+            return self.materialise(name, lambda: driver.derive_orders(self.spark, self.sf_dir), layer="raw",
+                                    bucket_by="order_id")
         return self.materialise(
             name, lambda: driver.derive_catalogue(self.spark, self.sf_dir)[name], layer="raw")
 
@@ -233,7 +261,8 @@ class Warehouse:
 
     @property
     def order_baskets(self) -> DataFrame:
-        return self.materialise("order_baskets", lambda: mt.order_baskets(self.int_order_products))
+        return self.materialise("order_baskets", lambda: mt.order_baskets(self.int_order_products),
+                                bucket_by="order_id")
 
     @property
     def dim_users(self) -> DataFrame:
