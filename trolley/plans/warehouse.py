@@ -118,7 +118,11 @@ class Warehouse:
         with self._name_lock(name):
             if name not in self._tables:
                 out = self.path(layer, name)
-                writer = build().write.mode("overwrite")
+                df = build()
+                if bucket_by and self.bucketing:
+                    # one task per bucket (same hash as bucketing): one file per bucket and partition value
+                    df = df.repartition(self.buckets, bucket_by)
+                writer = df.write.mode("overwrite")
                 if partition_by:
                     writer = writer.partitionBy(partition_by)
                 if bucket_by and self.bucketing:
@@ -175,7 +179,8 @@ class Warehouse:
                     ingest_file(self.spark, self._files["order_products_train"], "order_products_train",
                                 self._file_format).withColumn("eval_set", F.lit("train")))
             part_product = driver.derive_catalogue(self.spark, self.sf_dir)["_part_product"]
-            return driver.derive_items(self.spark, self.sf_dir, self.raw("orders"), part_product)
+            items = driver.derive_items(self.spark, self.sf_dir, self.raw("orders"), part_product)
+            return items.filter(F.col("eval_set").isin("prior", "train"))  # test orders have no basket
         return self.materialise("items", build, layer="raw", partition_by="eval_set", bucket_by="order_id")
 
     def raw(self, name: str) -> DataFrame:
