@@ -33,16 +33,17 @@ def top_k_products(wh: Warehouse, k: int = AFFINITY_PRODUCTS) -> DataFrame:
 
 
 def _basket_rows(wh: Warehouse, k: int) -> DataFrame:
-    """Distinct (order, product) rows of top-k products, hash-partitioned by order_id.
+    """Distinct (order, product) rows of top-k products.
 
-    The de-duplication runs first, with map-side partial aggregation, so a
-    group of copied rows collapses inside each task before any shuffle;
-    afterwards an order holds at most k rows, and one exchange on order_id
-    serves both sides of the per-order self-join.
+    The items are bucketed by order_id, so the de-duplication and both sides
+    of the per-order self-join run without an exchange; on unbucketed input
+    the planner de-duplicates with map-side partial aggregation (copies
+    collapse inside each task) and then shuffles once on order_id for the
+    join.  After the semi join an order holds at most k rows.
     """
     top = F.broadcast(top_k_products(wh, k).select("product_id"))  # k rows
     rows = wh.fact_order_item.select("order_id", "product_id").join(top, "product_id", "left_semi")
-    return rows.distinct().repartition("order_id")
+    return rows.distinct()
 
 
 def product_pairs(wh: Warehouse, k: int = AFFINITY_PRODUCTS) -> DataFrame:
