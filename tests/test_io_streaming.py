@@ -113,3 +113,22 @@ def test_stream_pairs_multi_batch_on_driver_data(spark):
     want = _rows(af.product_pairs(wh), "product_a_id", "product_b_id", "pair_order_count")
     got = _rows(inc.stream_pair_counts(wh, files_per_trigger=3), "product_a_id", "product_b_id", "pair_order_count")
     assert got == want
+
+
+def test_bucketing_does_not_change_results(spark):
+    from trolley.plans.warehouse import Warehouse
+    sf = "/root/testdata/sf0.001"
+    spark.conf.set("spark.trolley.bucketing", "false")
+    try:
+        plain = Warehouse(spark, sf)
+    finally:
+        spark.conf.set("spark.trolley.bucketing", "true")
+    bucketed = Warehouse(spark, sf)
+    assert bucketed.bucketing and not plain.bucketing
+    for name in ("fact_order_items", "order_baskets", "dim_users", "dim_user", "fact_order"):
+        a, b = getattr(plain, name), getattr(bucketed, name)
+        assert sorted(a.collect()) == sorted(b.collect()), name
+    def plan(df):
+        return df.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan(bucketed.raw("orders"))  # grouped straight off the buckets
+    assert "Exchange hashpartitioning" in plan(plain.raw("orders"))
