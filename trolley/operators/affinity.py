@@ -83,7 +83,7 @@ def pair_matrix(wh: Warehouse, n: int = MATRIX_PRODUCTS) -> DataFrame:
     pairs = product_pairs(wh, n)
     ra = ranks.select(F.col("product_id").alias("product_a_id"), F.col("rank").alias("ra"))
     rb = ranks.select(F.col("product_id").alias("product_b_id"), F.col("rank").alias("rb"))
-    ranked = pairs.join(F.broadcast(ra), "product_a_id").join(F.broadcast(rb), "product_b_id")
+    ranked = pairs.join(F.broadcast(ra), "product_a_id").join(F.broadcast(rb), "product_b_id")  # n rows each
     both = (ranked.select(F.col("ra").alias("rank"), F.col("rb").alias("col"), "pair_order_count")
             .unionByName(ranked.select(F.col("rb").alias("rank"), F.col("ra").alias("col"), "pair_order_count")))
     piv = both.groupBy("rank").pivot("col", list(range(1, n + 1))).agg(F.sum("pair_order_count"))
@@ -102,7 +102,7 @@ def pair_matrix_lower(wh: Warehouse, n: int = MATRIX_PRODUCTS) -> DataFrame:
     long = m.selectExpr("product_rank as row_rank", "product_name as row_product", stack)
     names = m.select(F.col("product_rank").alias("col_rank"), F.col("product_name").alias("col_product"))
     return (long.filter(F.col("row_rank") > F.col("col_rank"))
-            .join(F.broadcast(names), "col_rank")
+            .join(F.broadcast(names), "col_rank")  # n rows
             .select("row_rank", "row_product", "col_rank", "col_product", "pair_order_count")
             .orderBy("row_rank", "col_rank"))
 
@@ -121,8 +121,8 @@ def association_rules(wh: Warehouse, k: int = AFFINITY_PRODUCTS) -> DataFrame:
     pb = per_product.select(F.col("product_id").alias("product_b_id"), F.col("n").alias("orders_b"))
     pairs = product_pairs(wh, k)
     c = F.col("pair_order_count").cast("double")
-    return (pairs.join(F.broadcast(pa), "product_a_id").join(F.broadcast(pb), "product_b_id")
-            .crossJoin(F.broadcast(n_orders))
+    return (pairs.join(F.broadcast(pa), "product_a_id").join(F.broadcast(pb), "product_b_id")  # k rows each
+            .crossJoin(F.broadcast(n_orders))  # one-row aggregate
             .select("product_a_id", "product_b_id", "pair_order_count",
                     (c / F.col("n_orders")).alias("support"),
                     (c / F.col("orders_a")).alias("confidence_ab"),

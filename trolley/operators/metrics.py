@@ -32,7 +32,7 @@ def _products(wh: Warehouse) -> DataFrame:
 
 
 def _slots(wh: Warehouse) -> DataFrame:
-    return F.broadcast(wh.dim_order_slot)  # <= 7 x 24 rows by domain
+    return small(wh.dim_order_slot, wh.rows("dim_order_slot"))  # 7 x 24 rows for valid codes; checked
 
 
 def _orders_with_time(wh: Warehouse) -> DataFrame:
@@ -335,7 +335,7 @@ def dept_cart_position(wh: Warehouse) -> DataFrame:
     """Q28: average cart position per department, labelled against the median of department averages."""
     d = _dept_items(wh).select("department_name", "avg_add_to_cart_order", "item_count")
     med = d.agg(F.median("avg_add_to_cart_order").alias("_m"))  # over <= #departments rows
-    return (d.crossJoin(F.broadcast(med))
+    return (d.crossJoin(F.broadcast(med))  # one-row aggregate
             .withColumn("group", F.when(F.col("avg_add_to_cart_order") <= F.col("_m"), F.lit("Added earlier"))
                         .otherwise(F.lit("Added later")))
             .drop("_m").orderBy("avg_add_to_cart_order", "department_name"))
@@ -481,7 +481,7 @@ def customer_histograms(wh: Warehouse, bins=CUSTOMER_HISTOGRAM_BINS) -> DataFram
     for measure, n in bins:
         x = F.col(measure).cast("double")
         rng = u.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-        b = u.filter(x.isNotNull()).crossJoin(F.broadcast(rng)).select(
+        b = u.filter(x.isNotNull()).crossJoin(F.broadcast(rng)).select(  # one-row aggregate
             equal_width_bin(x, F.col("_lo"), F.col("_hi"), n).alias("bin"), "_lo", "_hi")
         h = b.groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
         width = (F.col("_hi") - F.col("_lo")) / n
@@ -525,7 +525,7 @@ def user_history(wh: Warehouse, user_id: int | None = None) -> DataFrame:
     if user_id is None:
         pick = top_k(wh.dim_user.select("user_id", "total_orders"), 1, F.col("total_orders").desc(),
                      F.col("user_id").asc()).select("user_id")
-        fo = fo.join(F.broadcast(pick), "user_id", "left_semi")
+        fo = fo.join(F.broadcast(pick), "user_id", "left_semi")  # top-1: one row
     else:
         fo = fo.filter(F.col("user_id") == user_id)
     return fo.orderBy("order_number")

@@ -82,7 +82,7 @@ def iqr_outliers(wh: Warehouse, columns=IQR_COLUMNS, k: float = 1.5) -> DataFram
         fences = q.select("q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr")).select(
             "q1", "q3", "iqr", (F.col("q1") - k * F.col("iqr")).alias("lower"),
             (F.col("q3") + k * F.col("iqr")).alias("upper"))
-        counts = df.crossJoin(F.broadcast(fences)).agg(
+        counts = df.crossJoin(F.broadcast(fences)).agg(  # one-row aggregate
             F.first("q1").alias("q1"), F.first("q3").alias("q3"), F.first("iqr").alias("iqr"),
             F.first("lower").alias("lower"), F.first("upper").alias("upper"),
             F.count_if((x < F.col("lower")) | (x > F.col("upper"))).alias("outlier_count"),

@@ -133,7 +133,7 @@ def product_first_added(items: DataFrame) -> DataFrame:
         F.count_if(F.col("add_to_cart_order") == 1).alias("first_added_count"),
     )
     n_orders = items.agg(F.count_distinct("order_id").alias("n_orders"))
-    return per_product.crossJoin(F.broadcast(n_orders)).select(
+    return per_product.crossJoin(F.broadcast(n_orders)).select(  # one-row aggregate
         "product_id", "purchase_count", "first_added_count",
         (F.col("first_added_count") / F.col("purchase_count")).alias("first_added_rate"),
         (F.col("first_added_count") / F.col("n_orders")).alias("share_of_orders"),

@@ -118,12 +118,14 @@ def dim_order_slot(orders: DataFrame) -> DataFrame:
     )
 
 
-def fact_order(orders: DataFrame, slots: DataFrame, baskets: DataFrame) -> DataFrame:
+def fact_order(orders: DataFrame, slots: DataFrame, baskets: DataFrame, slots_rows: int | None = None) -> DataFrame:
     """Orders LEFT JOIN slots on (dow, hour) LEFT JOIN basket measures.
 
-    Test orders have no items, so their basket measures stay NULL.
+    Test orders have no items, so their basket measures stay NULL.  The slot
+    dimension is 168 rows for valid codes; it is broadcast on its checked
+    row count (invalid codes could make it larger).
     """
-    s = F.broadcast(slots.select("slot_key", "order_dow", "order_hour_of_day"))  # <= 168 rows by domain
+    s = small(slots.select("slot_key", "order_dow", "order_hour_of_day"), slots_rows)
     return (
         orders.join(s, ["order_dow", "order_hour_of_day"], "left")
         .join(baskets, "order_id", "left")

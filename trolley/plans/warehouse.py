@@ -287,7 +287,7 @@ class Warehouse:
     @property
     def fact_order(self) -> DataFrame:
         return self.materialise("fact_order", lambda: mt.fact_order(
-            self.stg_orders, self.dim_order_slot, self.order_baskets))
+            self.stg_orders, self.dim_order_slot, self.order_baskets, self.rows("dim_order_slot")))
 
     @property
     def fact_order_item(self) -> DataFrame:

@@ -47,6 +47,7 @@ def derive_catalogue(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "aisle_id", F.col("p_brand").alias("aisle"))
     prod_keys = _dense_ids(part.select("p_brand", "p_type").distinct(), ["p_brand", "p_type"], "product_id")
     products = (
+        # aisles / departments are distinct catalogue attributes (one row per brand / type)
         prod_keys.join(F.broadcast(aisles), prod_keys.p_brand == aisles.aisle)
         .join(F.broadcast(departments), prod_keys.p_type == departments.department)
         .select(
