@@ -59,13 +59,14 @@ class Warehouse:
         self._lock = threading.RLock()
         self._locks: dict[str, threading.Lock] = {}
         # Order-keyed tables are bucketed by order_id so order-level joins and aggregates need no
-        # exchange.  Bucket count: spark.trolley.orderBuckets (default: spark.sql.shuffle.partitions).
+        # exchange.  Bucket count: spark.trolley.orderBuckets, else sized from the input (_bucket_count).
         # order_id is a safe bucket key: an order holds at most one row per product (the
         # (order_id, product_id) key is checked by dq_item_pair_unique), so the largest group in a
         # bucket is bounded by the catalogue size, never by the data size.
         conf = spark.conf
         self.bucketing = conf.get("spark.trolley.bucketing", "true").lower() == "true"
-        self.buckets = int(conf.get("spark.trolley.orderBuckets", conf.get("spark.sql.shuffle.partitions", "200")))
+        configured = conf.get("spark.trolley.orderBuckets", None)
+        self.buckets = int(configured) if configured else self._bucket_count()
         self._table_prefix = "trolley_" + hashlib.sha1(self.root.encode()).hexdigest()[:12] + "_"
 
     # ------------------------------------------------------------------ infra
@@ -93,6 +94,28 @@ class Warehouse:
                 wh = _CACHE[key] = cls(spark, sf_dir)
             return wh
 
+    def _input_paths(self) -> list[str]:
+        if self._files is not None:
+            return list(self._files.values())
+        if self._raw_override is not None:
+            return []
+        return [f"{self.sf_dir}/{t}.parquet" for t in ("orders", "lineitem")]
+
+    def _bucket_count(self, target_bytes: int = 256 << 20) -> int:
+        """min(shuffle partitions, max(default parallelism, input bytes / 256 MB)): enough buckets to
+        keep each near a normal partition's size, never more than the shuffle width."""
+        sc = self.spark.sparkContext
+        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        total = 0
+        conf = sc._jsc.hadoopConfiguration()
+        for p in self._input_paths():
+            hp = sc._jvm.org.apache.hadoop.fs.Path(p)
+            fs = hp.getFileSystem(conf)
+            if fs.exists(hp):
+                total += fs.getContentSummary(hp).getLength()
+        by_size = -(-total // target_bytes)
+        return max(1, min(shuffle, max(sc.defaultParallelism, by_size)))
+
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
