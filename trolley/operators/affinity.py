@@ -116,15 +116,14 @@ def association_rules(wh: Warehouse, k: int = AFFINITY_PRODUCTS) -> DataFrame:
     """
     rows = _basket_rows(wh, k)
     per_product = rows.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))  # k rows
-    n_orders = wh.order_baskets.agg(F.count(F.lit(1)).alias("n_orders"))
+    n_orders = wh.order_baskets.agg(F.count(F.lit(1))).scalar()  # scalar subquery
     pa = per_product.select(F.col("product_id").alias("product_a_id"), F.col("n").alias("orders_a"))
     pb = per_product.select(F.col("product_id").alias("product_b_id"), F.col("n").alias("orders_b"))
     pairs = product_pairs(wh, k)
     c = F.col("pair_order_count").cast("double")
     return (pairs.join(F.broadcast(pa), "product_a_id").join(F.broadcast(pb), "product_b_id")  # k rows each
-            .crossJoin(F.broadcast(n_orders))  # one-row aggregate
             .select("product_a_id", "product_b_id", "pair_order_count",
-                    (c / F.col("n_orders")).alias("support"),
+                    (c / n_orders).alias("support"),
                     (c / F.col("orders_a")).alias("confidence_ab"),
                     (c / F.col("orders_b")).alias("confidence_ba"),
-                    (c * F.col("n_orders") / (F.col("orders_a").cast("double") * F.col("orders_b"))).alias("lift")))
+                    (c * n_orders / (F.col("orders_a").cast("double") * F.col("orders_b"))).alias("lift")))

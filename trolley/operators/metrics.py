@@ -49,7 +49,7 @@ def _summary(df: DataFrame, c: str) -> DataFrame:
         F.min(x).cast("double").alias("min"),
         F.max(x).cast("double").alias("max"),
     )
-    return moments.crossJoin(exact_median(df, c, "median")).select("n", "mean", "median", "min", "max")
+    return moments.select("n", "mean", exact_median(df, c).scalar().alias("median"), "min", "max")
 
 
 def _dept_items(wh: Warehouse) -> DataFrame:
@@ -118,9 +118,12 @@ def kpis_all(wh: Warehouse) -> DataFrame:
         F.round(F.avg("average_days_between_orders"), 6).alias("average_days_between_orders"),
     )
     products = wh.dim_product.agg(F.count_distinct("product_id").alias("total_products"))
-    return orders.crossJoin(users).crossJoin(products).select(
-        "total_orders", "total_customers", "total_products", "average_basket_size",
-        "average_customer_reorder_rate", "average_days_between_orders")
+    # three one-row aggregates combined as scalar subqueries
+    return orders.select(
+        "total_orders", users.select("total_customers").scalar().alias("total_customers"),
+        products.scalar().alias("total_products"), "average_basket_size",
+        users.select("average_customer_reorder_rate").scalar().alias("average_customer_reorder_rate"),
+        users.select("average_days_between_orders").scalar().alias("average_days_between_orders"))
 
 
 def fact_summary(wh: Warehouse) -> DataFrame:
@@ -334,11 +337,10 @@ def peak_dow_by_department(wh: Warehouse) -> DataFrame:
 def dept_cart_position(wh: Warehouse) -> DataFrame:
     """Q28: average cart position per department, labelled against the median of department averages."""
     d = _dept_items(wh).select("department_name", "avg_add_to_cart_order", "item_count")
-    med = d.agg(F.median("avg_add_to_cart_order").alias("_m"))  # over <= #departments rows
-    return (d.crossJoin(F.broadcast(med))  # one-row aggregate
-            .withColumn("group", F.when(F.col("avg_add_to_cart_order") <= F.col("_m"), F.lit("Added earlier"))
-                        .otherwise(F.lit("Added later")))
-            .drop("_m").orderBy("avg_add_to_cart_order", "department_name"))
+    med = d.agg(F.median("avg_add_to_cart_order")).scalar()  # over <= #departments rows
+    return (d.withColumn("group", F.when(F.col("avg_add_to_cart_order") <= med, F.lit("Added earlier"))
+                         .otherwise(F.lit("Added later")))
+            .orderBy("avg_add_to_cart_order", "department_name"))
 
 
 def dept_order_gap(wh: Warehouse) -> DataFrame:
@@ -480,9 +482,9 @@ def customer_histograms(wh: Warehouse, bins=CUSTOMER_HISTOGRAM_BINS) -> DataFram
     parts = []
     for measure, n in bins:
         x = F.col(measure).cast("double")
-        rng = u.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-        b = u.filter(x.isNotNull()).crossJoin(F.broadcast(rng)).select(  # one-row aggregate
-            equal_width_bin(x, F.col("_lo"), F.col("_hi"), n).alias("bin"), "_lo", "_hi")
+        lo, hi = u.agg(F.min(x)).scalar(), u.agg(F.max(x)).scalar()  # scalar subqueries
+        b = u.filter(x.isNotNull()).select(
+            equal_width_bin(x, lo, hi, n).alias("bin"), lo.alias("_lo"), hi.alias("_hi"))
         h = b.groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
         width = (F.col("_hi") - F.col("_lo")) / n
         parts.append(h.select(
@@ -536,10 +538,12 @@ def customer_segments(wh: Warehouse) -> DataFrame:
     from trolley.functions.columns import customer_segment
     from trolley.plans.features import segment_thresholds
 
-    t = F.broadcast(segment_thresholds(wh.dim_user))  # exactly one row
-    return wh.dim_user.select("user_id", "total_orders", "customer_reorder_rate").crossJoin(t).withColumn(
-        "customer_segment",
-        customer_segment("total_orders", "customer_reorder_rate", F.col("order_threshold"), F.col("reorder_threshold")))
+    t = segment_thresholds(wh.dim_user)  # one row
+    orders_t, rate_t = t.select("order_threshold").scalar(), t.select("reorder_threshold").scalar()
+    return wh.dim_user.select(
+        "user_id", "total_orders", "customer_reorder_rate", orders_t.alias("order_threshold"),
+        rate_t.alias("reorder_threshold"),
+        customer_segment("total_orders", "customer_reorder_rate", orders_t, rate_t).alias("customer_segment"))
 
 
 def dashboard_checks(wh: Warehouse) -> DataFrame:
@@ -551,10 +555,10 @@ def dashboard_checks(wh: Warehouse) -> DataFrame:
         return issues.select(F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
                              F.col("issue_count").cast("bigint").alias("issue_count"))
 
-    n_orders = wh.fact_order.agg(F.count(F.lit(1)).alias("n"),
-                                 F.count("basket_size").alias("nb"))
-    users = wh.dim_user.agg(F.count(F.lit(1)).alias("u"))
-    items = wh.order_baskets.agg(F.sum("basket_size").alias("i"))
+    n_orders = wh.fact_order.agg(F.count(F.lit(1))).scalar()  # scalar subqueries
+    n_baskets = wh.fact_order.agg(F.count("basket_size")).scalar()
+    users = wh.dim_user.agg(F.count(F.lit(1))).scalar()
+    items = wh.order_baskets.agg(F.sum("basket_size")).scalar()
     ot = order_time(wh)
     bd = basket_distribution(wh)
     pm = dashboard_product_metrics(wh)
@@ -565,12 +569,11 @@ def dashboard_checks(wh: Warehouse) -> DataFrame:
     parts = [
         row("kpis_single_row", "dashboard_kpis", kp.agg(F.abs(F.count(F.lit(1)) - 1).alias("issue_count"))),
         row("kpis_missing", "dashboard_kpis", kp.agg(null_cells(kp).alias("issue_count"))),
-        row("order_time_total", "dashboard_order_time", ot.agg(F.sum("order_count").alias("s")).crossJoin(n_orders)
-            .select(F.abs(F.col("s") - F.col("n")).alias("issue_count"))),
+        row("order_time_total", "dashboard_order_time",
+            ot.agg(F.abs(F.sum("order_count") - n_orders).alias("issue_count"))),
         row("order_time_missing", "dashboard_order_time", ot.agg(null_cells(ot).alias("issue_count"))),
         row("basket_distribution_total", "dashboard_basket_distribution",
-            bd.agg(F.sum("order_count").alias("s")).crossJoin(n_orders)
-            .select(F.abs(F.col("s") - F.col("nb")).alias("issue_count"))),
+            bd.agg(F.abs(F.sum("order_count") - n_baskets).alias("issue_count"))),
         row("basket_distribution_missing", "dashboard_basket_distribution",
             bd.agg(null_cells(bd).alias("issue_count"))),
         row("product_metrics_duplicate_ids", "dashboard_product_metrics",
@@ -579,11 +582,9 @@ def dashboard_checks(wh: Warehouse) -> DataFrame:
         row("product_metrics_rate_range", "dashboard_product_metrics",
             pm.agg(F.count_if(~F.col("product_reorder_rate").between(0, 1)).alias("issue_count"))),
         row("product_metrics_total", "dashboard_product_metrics",
-            pm.agg(F.sum("purchase_count").alias("s")).crossJoin(items)
-            .select(F.abs(F.col("s") - F.col("i")).alias("issue_count"))),
+            pm.agg(F.abs(F.sum("purchase_count") - items).alias("issue_count"))),
         row("customer_segments_total", "dashboard_customer_segments",
-            seg.agg(F.sum("customer_count").alias("s")).crossJoin(users)
-            .select(F.abs(F.col("s") - F.col("u")).alias("issue_count"))),
+            seg.agg(F.abs(F.sum("customer_count") - users).alias("issue_count"))),
     ]
     out = parts[0]
     for p in parts[1:]:

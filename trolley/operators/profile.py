@@ -54,11 +54,11 @@ def profile_duplicates(wh: Warehouse) -> DataFrame:
         rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")).agg(
             (F.sum("n") - F.count(F.lit(1))).alias("duplicate_rows"))
         key_dups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(
-            (F.sum("n") - F.count(F.lit(1))).alias("duplicate_keys"))
-        parts.append(rows.crossJoin(key_dups).select(
+            (F.sum("n") - F.count(F.lit(1)))).scalar()
+        parts.append(rows.select(
             F.lit(t).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"),
             F.coalesce("duplicate_rows", F.lit(0)).cast("bigint").alias("duplicate_rows"),
-            F.coalesce("duplicate_keys", F.lit(0)).cast("bigint").alias("duplicate_keys")))
+            F.coalesce(key_dups, F.lit(0)).cast("bigint").alias("duplicate_keys")))
     return _union(parts)
 
 
@@ -78,17 +78,13 @@ def iqr_outliers(wh: Warehouse, columns=IQR_COLUMNS, k: float = 1.5) -> DataFram
     for t, c in columns:
         x = F.col(c).cast("double")
         df = wh.raw(t)
-        q = df.agg(F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.75).alias("q3"))
-        fences = q.select("q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr")).select(
-            "q1", "q3", "iqr", (F.col("q1") - k * F.col("iqr")).alias("lower"),
-            (F.col("q3") + k * F.col("iqr")).alias("upper"))
-        counts = df.crossJoin(F.broadcast(fences)).agg(  # one-row aggregate
-            F.first("q1").alias("q1"), F.first("q3").alias("q3"), F.first("iqr").alias("iqr"),
-            F.first("lower").alias("lower"), F.first("upper").alias("upper"),
-            F.count_if((x < F.col("lower")) | (x > F.col("upper"))).alias("outlier_count"),
-            F.count(F.lit(1)).alias("_n"))
+        q1, q3 = df.agg(F.percentile(x, 0.25)).scalar(), df.agg(F.percentile(x, 0.75)).scalar()
+        iqr = q3 - q1
+        lower, upper = q1 - k * iqr, q3 + k * iqr
+        counts = df.agg(F.count_if((x < lower) | (x > upper)).alias("outlier_count"), F.count(F.lit(1)).alias("_n"))
         parts.append(counts.select(
-            F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "q1", "q3", "iqr", "lower", "upper",
+            F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), q1.alias("q1"), q3.alias("q3"),
+            iqr.alias("iqr"), lower.alias("lower"), upper.alias("upper"),
             "outlier_count", F.round(F.col("outlier_count") / F.col("_n") * 100.0, 2).alias("outlier_pct")))
     return _union(parts)
 
@@ -106,22 +102,23 @@ def profile_describe(wh: Warehouse, table: str = "orders") -> DataFrame:
         c = F.col(f.name)
         numeric = type_name(f.dataType) in ("int", "bigint", "double", "float", "smallint", "tinyint")
         freq = df.filter(c.isNotNull()).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        top = freq.agg(F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"))
-        best = freq.orderBy(F.col("n").desc(), F.col("v").asc()).limit(1).select(F.col("v").cast("string").alias("top"))
+        unique, most = freq.agg(F.count(F.lit(1))).scalar(), freq.agg(F.max("n")).scalar()
+        best = freq.orderBy(F.col("n").desc(), F.col("v").asc()).limit(1).select(F.col("v").cast("string")).scalar()
         x = c.cast("double")
         if numeric:
             # quartiles by sketch-bounded exact selection: id columns have as many distinct values as rows
-            qs = [exact_quantile(df, x, p, alias=a) for p, a in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
+            qs = [exact_quantile(df, x, p).scalar().alias(a) for p, a in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
             stats = df.agg(F.count(c).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                           F.min(x).alias("min"), F.max(x).alias("max"))
-            stats = stats.crossJoin(qs[0]).crossJoin(qs[1]).crossJoin(qs[2])
+                           F.min(x).alias("min"), F.max(x).alias("max")).select(
+                "count", "mean", "std", "min", *qs, "max")
         else:
             nul = F.lit(None).cast("double")
             stats = df.agg(F.count(c).alias("count")).select(
                 "count", nul.alias("mean"), nul.alias("std"), nul.alias("min"), nul.alias("q25"), nul.alias("q50"),
                 nul.alias("q75"), nul.alias("max"))
-        # every frame here is a one-row aggregate: the cross joins pair single rows
-        parts.append(stats.crossJoin(top).crossJoin(best).select(
-            F.lit(table).alias("table_name"), F.lit(f.name).alias("column_name"), "count", "unique", "top", "freq",
+        # one-row aggregate plus scalar subqueries
+        parts.append(stats.select(
+            F.lit(table).alias("table_name"), F.lit(f.name).alias("column_name"), "count", unique.alias("unique"),
+            best.alias("top"), most.alias("freq"),
             F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "q25", "q50", "q75", "max"))
     return _union(parts)

@@ -99,16 +99,17 @@ def segment_thresholds(users: DataFrame, approx: bool = False, accuracy: int = 1
             F.percentile_approx("customer_reorder_rate", 0.5, accuracy).cast("double").alias("reorder_threshold"))
     orders_med = exact_median(users, "total_orders", "order_threshold")
     rate_med = exact_median(users, "customer_reorder_rate", "reorder_threshold")
-    return orders_med.crossJoin(rate_med)  # two one-row frames
+    return orders_med.select("order_threshold", rate_med.scalar().alias("reorder_threshold"))
 
 
 def dim_user_segmented(users: DataFrame, approx: bool = False) -> DataFrame:
     """dim_user plus the four-way median-split ``customer_segment``."""
-    t = F.broadcast(segment_thresholds(users, approx))  # exactly one row
-    return users.crossJoin(t).withColumn(
+    t = segment_thresholds(users, approx)  # one row: two scalar subqueries, evaluated once
+    return users.withColumn(
         "customer_segment",
-        customer_segment("total_orders", "customer_reorder_rate", F.col("order_threshold"), F.col("reorder_threshold")),
-    ).drop("order_threshold", "reorder_threshold")
+        customer_segment("total_orders", "customer_reorder_rate", t.select("order_threshold").scalar(),
+                         t.select("reorder_threshold").scalar()),
+    )
 
 
 def product_metrics(items: DataFrame, dim_product_df: DataFrame, dim_product_rows: int | None = None) -> DataFrame:
@@ -132,9 +133,9 @@ def product_first_added(items: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("purchase_count"),
         F.count_if(F.col("add_to_cart_order") == 1).alias("first_added_count"),
     )
-    n_orders = items.agg(F.count_distinct("order_id").alias("n_orders"))
-    return per_product.crossJoin(F.broadcast(n_orders)).select(  # one-row aggregate
+    n_orders = items.agg(F.count_distinct("order_id")).scalar()  # scalar subquery
+    return per_product.select(
         "product_id", "purchase_count", "first_added_count",
         (F.col("first_added_count") / F.col("purchase_count")).alias("first_added_rate"),
-        (F.col("first_added_count") / F.col("n_orders")).alias("share_of_orders"),
+        (F.col("first_added_count") / n_orders).alias("share_of_orders"),
     )
