@@ -61,15 +61,16 @@ def _rank_both(filter_cte: tuple[str, str], n: int) -> str:
 def _histograms(bins) -> str:
     parts = []
     for measure, n in bins:
+        lo = f"(SELECT CAST(min({measure}) AS DOUBLE) FROM dim_user)"
+        hi = f"(SELECT CAST(max({measure}) AS DOUBLE) FROM dim_user)"
         parts.append(f"""
-        SELECT '{measure}' AS measure, bin, round(lo + bin * ((hi - lo) / {n}), 9) AS lo,
-               round(lo + (bin + 1) * ((hi - lo) / {n}), 9) AS hi, count(*) AS n
-        FROM (SELECT CASE WHEN (r.hi - r.lo) / {n} <= 0 THEN 0
-                          ELSE CAST(least(floor((CAST(u.{measure} AS DOUBLE) - r.lo) / ((r.hi - r.lo) / {n})), {n - 1}) AS INTEGER) END AS bin,
-                     r.lo, r.hi
-              FROM dim_user u CROSS JOIN (SELECT CAST(min({measure}) AS DOUBLE) AS lo, CAST(max({measure}) AS DOUBLE) AS hi FROM dim_user) r
-              WHERE u.{measure} IS NOT NULL)
-        GROUP BY bin, lo, hi""")
+        SELECT '{measure}' AS measure, bin, round({lo} + bin * (({hi} - {lo}) / {n}), 9) AS lo,
+               round({lo} + (bin + 1) * (({hi} - {lo}) / {n}), 9) AS hi, count(*) AS n
+        FROM (SELECT CASE WHEN ({hi} - {lo}) / {n} <= 0 THEN 0
+                          ELSE CAST(least(floor((CAST({measure} AS DOUBLE) - {lo}) / (({hi} - {lo}) / {n})), {n - 1})
+                                    AS INTEGER) END AS bin
+              FROM dim_user WHERE {measure} IS NOT NULL)
+        GROUP BY bin""")
     return sql("\nUNION ALL\n".join(parts))
 
 
@@ -230,9 +231,10 @@ def metric_sql(min_orders: int, hist_bins) -> dict[str, str]:
                round(avg(average_basket_size), 6) AS average_basket_size
         FROM dim_user_segmented GROUP BY customer_segment""")
     q["customer_segments"] = sql("""
-        SELECT u.user_id, u.total_orders, u.customer_reorder_rate, t.order_threshold, t.reorder_threshold,
-               u.customer_segment
-        FROM dim_user_segmented u CROSS JOIN _thresholds t""")
+        SELECT u.user_id, u.total_orders, u.customer_reorder_rate,
+               (SELECT order_threshold FROM _thresholds) AS order_threshold,
+               (SELECT reorder_threshold FROM _thresholds) AS reorder_threshold, u.customer_segment
+        FROM dim_user_segmented u""")
 
     def nulls(cols):
         return " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)

@@ -161,14 +161,14 @@ CTES: list[tuple[str, str]] = [
         FROM dim_user"""),
     ("dim_user_segmented", """
         SELECT u.*,
-               CASE WHEN u.total_orders >= t.order_threshold AND u.customer_reorder_rate >= t.reorder_threshold
+               CASE WHEN u.total_orders >= (SELECT order_threshold FROM _thresholds) AND u.customer_reorder_rate >= (SELECT reorder_threshold FROM _thresholds)
                         THEN 'Frequent Repeat Customers'
-                    WHEN u.total_orders >= t.order_threshold AND u.customer_reorder_rate < t.reorder_threshold
+                    WHEN u.total_orders >= (SELECT order_threshold FROM _thresholds) AND u.customer_reorder_rate < (SELECT reorder_threshold FROM _thresholds)
                         THEN 'Frequent Variety Customers'
-                    WHEN u.total_orders < t.order_threshold AND u.customer_reorder_rate >= t.reorder_threshold
+                    WHEN u.total_orders < (SELECT order_threshold FROM _thresholds) AND u.customer_reorder_rate >= (SELECT reorder_threshold FROM _thresholds)
                         THEN 'Occasional Repeat Customers'
                     ELSE 'Occasional Variety Customers' END AS customer_segment
-        FROM dim_user u CROSS JOIN _thresholds t"""),
+        FROM dim_user u"""),
     ("product_metrics", """
         SELECT a.product_id, a.purchase_count, a.reordered_count,
                CAST(a.reordered_count AS DOUBLE) / a.purchase_count AS product_reorder_rate,

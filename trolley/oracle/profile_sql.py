@@ -35,16 +35,16 @@ def profile_sql() -> dict[str, str]:
     q["profile_duplicates"] = sql("\nUNION ALL\n".join(dup))
     iqr = []
     for t, c in IQR_COLUMNS:
+        x = f"CAST({c} AS DOUBLE)"
+        q1 = f"(SELECT quantile_cont({x}, 0.25) FROM raw_{t})"
+        q3 = f"(SELECT quantile_cont({x}, 0.75) FROM raw_{t})"
+        lower, upper = f"({q1} - 1.5 * ({q3} - {q1}))", f"({q3} + 1.5 * ({q3} - {q1}))"
         iqr.append(f"""
-            SELECT '{t}' AS table_name, '{c}' AS column_name, q1, q3, iqr, lower, upper,
-                   count(*) FILTER (WHERE CAST(x.{c} AS DOUBLE) < lower OR CAST(x.{c} AS DOUBLE) > upper) AS outlier_count,
-                   round(count(*) FILTER (WHERE CAST(x.{c} AS DOUBLE) < lower OR CAST(x.{c} AS DOUBLE) > upper)
-                         / count(*) * 100.0, 2) AS outlier_pct
-            FROM raw_{t} x CROSS JOIN (
-                SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper
-                FROM (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3
-                      FROM raw_{t})) f
-            GROUP BY q1, q3, iqr, lower, upper""")
+            SELECT '{t}' AS table_name, '{c}' AS column_name, {q1} AS q1, {q3} AS q3, {q3} - {q1} AS iqr,
+                   {lower} AS lower, {upper} AS upper,
+                   count(*) FILTER (WHERE {x} < {lower} OR {x} > {upper}) AS outlier_count,
+                   round(count(*) FILTER (WHERE {x} < {lower} OR {x} > {upper}) / count(*) * 100.0, 2) AS outlier_pct
+            FROM raw_{t}""")
     q["iqr_outliers"] = sql("\nUNION ALL\n".join(iqr))
     desc = []
     for f in RAW_SCHEMAS["orders"].fields:
