@@ -9,11 +9,12 @@ it stopped) and ``maxFilesPerTrigger`` (bounded micro-batches).
   a streaming ``groupBy`` whose state lives in the state store.
 * I2 ``stream_pair_counts`` -- pair counts where an order's items can
   arrive in different files.  ``foreachBatch`` keeps the top-k items seen
-  so far per order (a keyed table) and, for each batch, pairs new items
-  with each other and with the earlier items of the *same orders only*
-  (semi join on the batch's order ids), then adds the new pairs to the
-  running counts.  Each batch writes a new version named by its batch id,
-  so a replayed batch overwrites its own output instead of double counting.
+  so far in an append-only store (one folder per batch) and, for each
+  batch, pairs new items with each other and with the earlier items of the
+  *same orders only* (semi join on the batch's order ids), then adds the
+  new pairs to the running counts (at most k(k-1)/2 rows, rewritten per
+  batch as a version named by the batch id).  A replayed batch reads only
+  earlier batches and overwrites its own outputs, so it never double counts.
 * I3 ``stream_upsert`` -- keyed last-wins upsert of a change feed with
   resume; versioned like I2.
 """
@@ -117,10 +118,12 @@ def stream_pair_counts(wh: Warehouse, k: int = AFFINITY_PRODUCTS, files_per_trig
         s = batch.sparkSession
         universe = F.broadcast(s.read.parquet(top_path))  # k rows
         new = batch.select("order_id", "product_id").join(universe, "product_id", "left_semi").distinct()
-        seen = _version(s, seen_base, batch_id - 1)
-        if seen is None:
+        # items seen in earlier batches (append-only store, one folder per batch, pruned by b < batch_id),
+        # restricted to the orders present in this batch
+        if _exists(s, seen_base):
+            seen = s.read.parquet(seen_base).filter(F.col("b") < batch_id).select("order_id", "product_id")
+        else:
             seen = s.createDataFrame([], "order_id bigint, product_id int")
-        # earlier items of the orders present in this batch only
         old = seen.join(new.select("order_id").distinct(), "order_id", "left_semi")
         new = new.join(old, ["order_id", "product_id"], "left_anti")  # a replayed item is not new
         a = new.select("order_id", F.col("product_id").alias("x"))
@@ -135,7 +138,7 @@ def stream_pair_counts(wh: Warehouse, k: int = AFFINITY_PRODUCTS, files_per_trig
         total = prev.unionByName(fresh).groupBy("product_a_id", "product_b_id").agg(
             F.sum("pair_order_count").cast("bigint").alias("pair_order_count"))
         _commit(s, total, counts_base, batch_id)
-        _commit(s, seen.unionByName(new), seen_base, batch_id)
+        new.write.mode("overwrite").parquet(f"{seen_base}/b={batch_id}")  # only this batch's new items
 
     src = _stream(spark, drop_items(wh), ITEM_SCHEMA, files_per_trigger)
     q = (src.writeStream.foreachBatch(step)
