@@ -56,6 +56,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     spark = _session(args.local)
     wh = _warehouse(spark, args)
+    from trolley.session import size_shuffles
+    size_shuffles(spark, wh.input_bytes())
     if args.cmd == "build":
         from trolley.operators import quality
         wh.build_all(threads=args.threads)

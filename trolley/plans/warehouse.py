@@ -101,11 +101,9 @@ class Warehouse:
             return []
         return [f"{self.sf_dir}/{t}.parquet" for t in ("orders", "lineitem")]
 
-    def _bucket_count(self, target_bytes: int = 256 << 20) -> int:
-        """min(shuffle partitions, max(default parallelism, input bytes / 256 MB)): enough buckets to
-        keep each near a normal partition's size, never more than the shuffle width."""
+    def input_bytes(self) -> int:
+        """Total size of the source files (metadata only)."""
         sc = self.spark.sparkContext
-        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
         total = 0
         conf = sc._jsc.hadoopConfiguration()
         for p in self._input_paths():
@@ -113,7 +111,14 @@ class Warehouse:
             fs = hp.getFileSystem(conf)
             if fs.exists(hp):
                 total += fs.getContentSummary(hp).getLength()
-        by_size = -(-total // target_bytes)
+        return total
+
+    def _bucket_count(self, target_bytes: int = 256 << 20) -> int:
+        """min(shuffle partitions, max(default parallelism, input bytes / 256 MB)): enough buckets to
+        keep each near a normal partition's size, never more than the shuffle width."""
+        sc = self.spark.sparkContext
+        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        by_size = -(-self.input_bytes() // target_bytes)
         return max(1, min(shuffle, max(sc.defaultParallelism, by_size)))
 
     def path(self, layer: str, name: str) -> str:

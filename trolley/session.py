@@ -34,6 +34,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Start AQE's shuffles wide enough for the input (about ``target_bytes`` per partition) and let it
+    coalesce down; only when the session does not set the initial width itself.  Returns the width."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(key, None):
+        return int(spark.conf.get(key))
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-input_bytes // target_bytes))
+    spark.conf.set(key, str(width))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return width
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for materialised tables and streaming checkpoints.
 
