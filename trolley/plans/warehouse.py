@@ -27,7 +27,7 @@ from trolley.session import work_dir
 from trolley.sources import driver
 from trolley.sources.schemas import RAW_TABLES
 
-# staging + intermediate models are views; marts are written tables
+# staging + intermediate models and projection marts are views; other marts are written tables
 VIEW_NAMES = ("stg_orders", "stg_products", "stg_aisles", "stg_departments", "stg_order_products_prior",
               "stg_order_products_train", "int_order_products", "int_order_items_enriched")
 MART_NAMES = ("fact_order_items", "dim_orders", "dim_products", "dim_aisles", "dim_departments", "dim_users",
@@ -35,7 +35,7 @@ MART_NAMES = ("fact_order_items", "dim_orders", "dim_products", "dim_aisles", "d
 
 ALL_TABLES = ("fact_order_items", "dim_orders", "dim_products", "dim_aisles", "dim_departments", "order_baskets",
               "dim_users", "dim_product", "dim_order_slot", "fact_order", "order_features", "dim_user",
-              "product_metrics")
+              "product_metrics")  # the four projection dims are views; building them just writes their raw table
 
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str], "Warehouse"] = {}
@@ -276,21 +276,23 @@ class Warehouse:
     def fact_order_items(self) -> DataFrame:
         return self.materialise("fact_order_items", lambda: mt.fact_order_items(self.int_order_items_enriched))
 
+    # Projection marts are views over the written raw tables: a second copy would add a write and,
+    # for dim_orders, lose the order_id bucketing that its uniqueness check and joins use.
     @property
     def dim_orders(self) -> DataFrame:
-        return self.materialise("dim_orders", lambda: mt.dim_orders(self.stg_orders))
+        return mt.dim_orders(self.stg_orders)
 
     @property
     def dim_products(self) -> DataFrame:
-        return self.materialise("dim_products", lambda: mt.dim_products(self.stg_products))
+        return mt.dim_products(self.stg_products)
 
     @property
     def dim_aisles(self) -> DataFrame:
-        return self.materialise("dim_aisles", lambda: mt.dim_aisles(self.stg_aisles))
+        return mt.dim_aisles(self.stg_aisles)
 
     @property
     def dim_departments(self) -> DataFrame:
-        return self.materialise("dim_departments", lambda: mt.dim_departments(self.stg_departments))
+        return mt.dim_departments(self.stg_departments)
 
     @property
     def order_baskets(self) -> DataFrame:
