@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 from trolley.functions.joins import small
 from trolley.plans.warehouse import Warehouse
 
-REPORT_SCHEMA = "check_name string, table_name string, issue_count bigint, status string"
-
-
 @dataclass(frozen=True)
 class RowRule:
     name: str

@@ -4,11 +4,6 @@ from __future__ import annotations
 
 from trolley.oracle.prefix import sql
 
-DAY_PART_CASE = """CASE WHEN order_hour_of_day > -1 AND order_hour_of_day <= 5 THEN 'Night'
-    WHEN order_hour_of_day > 5 AND order_hour_of_day <= 11 THEN 'Morning'
-    WHEN order_hour_of_day > 11 AND order_hour_of_day <= 17 THEN 'Afternoon'
-    WHEN order_hour_of_day > 17 AND order_hour_of_day <= 23 THEN 'Evening' END"""
-
 PNS = ("pns", """
     SELECT p.product_name, count(*) AS item_count, CAST(sum(f.reordered) AS BIGINT) AS reorder_count,
            avg(f.add_to_cart_order) AS avg_add_to_cart_order, avg(f.days_since_prior_order) AS avg_days_since_prior,

@@ -130,19 +130,3 @@ def derive_items(spark: SparkSession, sf_dir: str, raw_orders: DataFrame, part_p
         .select("order_id", "product_id", "add_to_cart_order", "reordered", "eval_set")
     )
 
-
-def derive_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Lazy DataFrames for the six raw tables (callers materialise them)."""
-    cat = derive_catalogue(spark, sf_dir)
-    orders = derive_orders(spark, sf_dir)
-    items = derive_items(spark, sf_dir, orders, cat["_part_product"])
-    cols = ["order_id", "product_id", "add_to_cart_order", "reordered"]
-    return {
-        "aisles": cat["aisles"],
-        "departments": cat["departments"],
-        "products": cat["products"],
-        "orders": orders,
-        "_items": items,
-        "order_products_prior": items.filter(F.col("eval_set") == "prior").select(*cols),
-        "order_products_train": items.filter(F.col("eval_set") == "train").select(*cols),
-    }

@@ -12,7 +12,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from trolley.plans.warehouse import Warehouse
 from trolley.sources.schemas import RAW_SCHEMAS, RAW_TABLES
@@ -309,15 +308,6 @@ def row_count_contract(wh: Warehouse, expected: dict[str, int] | None = None) ->
         F.when(F.col("expected_rows") == F.col("actual_rows"), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"))
 
 
-def raw_table_missing_error(spark: SparkSession, path: str) -> bool:
-    """True when reading ``path`` fails with PATH_NOT_FOUND (used by tests)."""
-    try:
-        spark.read.parquet(path)
-        return False
-    except AnalysisException as exc:
-        return "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc)
-
-
 def coerce_landed(wh: Warehouse, table: str = "orders", strict: bool = False) -> DataFrame:
     """Read a landed CSV as text (no inference) and convert each column to its declared type.
 
