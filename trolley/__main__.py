@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
         src.add_argument("--driver", help="driver test-data folder (tables are derived)")
         p.add_argument("--format", default="csv")
         p.add_argument("--local", help="run on local[N] instead of the ambient session")
-        p.add_argument("--threads", type=int, default=4)
+        p.add_argument("--threads", type=int, default=8)
     sub.add_parser("list")
     args = ap.parse_args(argv)
 

@@ -162,7 +162,7 @@ class Warehouse:
                     self._tables[name] = self.spark.read.parquet(out)
             return self._tables[name]
 
-    def build_all(self, names: Iterable[str] = ALL_TABLES, threads: int = 4) -> None:
+    def build_all(self, names: Iterable[str] = ALL_TABLES, threads: int = 8) -> None:
         """Materialise several tables with concurrent Spark jobs (each job is still fully distributed)."""
         names = list(names)
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
