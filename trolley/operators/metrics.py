@@ -400,7 +400,7 @@ def top_products(wh: Warehouse, n: int = 10) -> DataFrame:
 def top_reordered_products(wh: Warehouse, n: int = 10, min_purchases: int = 1000) -> DataFrame:
     """Q36: highest reorder rates among products with >= min_purchases purchases."""
     pm = wh.product_metrics.filter(F.col("purchase_count") >= min_purchases).select(
-        "product_id", "product_name", "department", "purchase_count", "product_reorder_rate",
+        "product_id", "product_name", "department", "purchase_count", "reordered_count", "product_reorder_rate",
         percent("product_reorder_rate").alias("reorder_rate_percentage"))
     return top_k(pm, n, F.col("product_reorder_rate").desc(), F.col("product_id").asc())
 

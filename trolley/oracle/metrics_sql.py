@@ -197,7 +197,7 @@ def metric_sql(min_orders: int, hist_bins) -> dict[str, str]:
         SELECT product_id, product_name, department, purchase_count FROM product_metrics
         ORDER BY purchase_count DESC, product_id LIMIT 10""")
     q["top_reordered_products"] = sql(f"""
-        SELECT product_id, product_name, department, purchase_count, product_reorder_rate,
+        SELECT product_id, product_name, department, purchase_count, reordered_count, product_reorder_rate,
                product_reorder_rate * 100.0 AS reorder_rate_percentage
         FROM product_metrics WHERE purchase_count >= {min_orders}
         ORDER BY product_reorder_rate DESC, product_id LIMIT 10""")
