@@ -132,3 +132,12 @@ def test_bucketing_does_not_change_results(spark):
         return df.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan(bucketed.raw("orders"))  # grouped straight off the buckets
     assert "Exchange hashpartitioning" in plan(plain.raw("orders"))
+
+
+def test_quoted_product_names(spark, tmp_path):
+    p = tmp_path / "products.csv"
+    p.write_text('product_id,product_name,aisle_id,department_id\n'
+                 '1,"Bag of ""Organic"" Lemons, 2 lb",24,4\n2,Plain Yogurt,120,16\n')
+    rows = io.ingest_file(spark, str(p), "products").orderBy("product_id").collect()
+    assert rows[0].product_name == 'Bag of "Organic" Lemons, 2 lb' and rows[0].aisle_id == 24
+    assert rows[1].product_name == "Plain Yogurt"

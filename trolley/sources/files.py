@@ -59,8 +59,9 @@ def ingest_file(spark: SparkSession, path: str, table: str, file_format: str = "
     """Typed ingest of one source file; double columns map ``NaN`` to NULL (never store NaN)."""
     schema = RAW_SCHEMAS[table]
     if file_format == "csv":
+        # RFC 4180 quoting: names may contain commas and doubled quotes
         df = (spark.read.option("header", True).option("mode", mode).option("nullValue", "")
-              .option("nanValue", "NaN").schema(schema).csv(path))
+              .option("nanValue", "NaN").option("quote", '"').option("escape", '"').schema(schema).csv(path))
     else:
         df = spark.read.format(file_format).load(path).select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
