@@ -18,6 +18,13 @@ from trolley.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 
 # ----------------------------------------------------------------- landing / ingest
 
+# All CSV is RFC 4180: header row, '"' quotes, quotes inside values doubled.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def csv_reader(spark: SparkSession):
+    return spark.read.options(**CSV_OPTIONS)
+
 
 def land_csv(wh: Warehouse) -> str:
     """Write the six raw tables as headed CSV files (the landing zone the loaders read)."""
@@ -45,12 +52,12 @@ def require_sources(spark: SparkSession, paths: dict[str, str]) -> None:
 
 def ingest_infer(spark: SparkSession, path: str) -> DataFrame:
     """CSV with header, types inferred (one extra pass over the file)."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return csv_reader(spark).option("inferSchema", True).csv(path)
 
 
 def ingest_typed(spark: SparkSession, path: str, table: str, null_value: str = "") -> DataFrame:
     """CSV with the declared schema (no inference pass); empty cells and ``NaN`` are NULL."""
-    return (spark.read.option("header", True).option("nullValue", null_value).option("nanValue", "NaN")
+    return (csv_reader(spark).option("nullValue", null_value).option("nanValue", "NaN")
             .schema(RAW_SCHEMAS[table]).csv(path))
 
 
@@ -60,8 +67,8 @@ def ingest_file(spark: SparkSession, path: str, table: str, file_format: str = "
     schema = RAW_SCHEMAS[table]
     if file_format == "csv":
         # RFC 4180 quoting: names may contain commas and doubled quotes
-        df = (spark.read.option("header", True).option("mode", mode).option("nullValue", "")
-              .option("nanValue", "NaN").option("quote", '"').option("escape", '"').schema(schema).csv(path))
+        df = (csv_reader(spark).option("mode", mode).option("nullValue", "")
+              .option("nanValue", "NaN").schema(schema).csv(path))
     else:
         df = spark.read.format(file_format).load(path).select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -115,7 +122,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = "",
               compression: str | None = None) -> None:
     """Headed CSV; NULL written as ``null_value`` (never ``NaN``); optional codec."""
-    w = df.write.mode(mode).option("header", True).option("nullValue", null_value)
+    w = df.write.mode(mode).options(**CSV_OPTIONS).option("nullValue", null_value)
     if compression:
         w = w.option("compression", compression)
     w.csv(path)
@@ -133,7 +140,7 @@ def read_back_csv(wh: Warehouse, name: str = "dim_user") -> DataFrame:
     df = getattr(wh, name)
     out = wh.path("export", f"{name}.csv")
     write_csv(df, out)
-    return wh.spark.read.option("header", True).option("nullValue", "").schema(df.schema).csv(out)
+    return csv_reader(wh.spark).option("nullValue", "").schema(df.schema).csv(out)
 
 
 def append_items(wh: Warehouse) -> DataFrame:
@@ -143,7 +150,7 @@ def append_items(wh: Warehouse) -> DataFrame:
     write_csv(wh.stg_order_products_prior.select(*cols), out, mode="overwrite")
     write_csv(wh.stg_order_products_train.select(*cols), out, mode="append")
     schema = "order_id bigint, product_id int, add_to_cart_order int, reordered int"
-    return wh.spark.read.option("header", True).schema(schema).csv(out)
+    return csv_reader(wh.spark).schema(schema).csv(out)
 
 
 def export_user_subset(wh: Warehouse, max_user_id: int = 20_000, compression: str | None = None) -> DataFrame:
@@ -167,7 +174,7 @@ def export_user_subset(wh: Warehouse, max_user_id: int = 20_000, compression: st
     parts = []
     for t, df in tables.items():
         write_csv(df, f"{base}/{t}", compression=compression)
-        back = wh.spark.read.option("header", True).schema(RAW_SCHEMAS[t]).csv(f"{base}/{t}")
+        back = csv_reader(wh.spark).schema(RAW_SCHEMAS[t]).csv(f"{base}/{t}")
         parts.append(back.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count"))
     out = parts[0]
     for p in parts[1:]:
@@ -319,7 +326,7 @@ def coerce_landed(wh: Warehouse, table: str = "orders", strict: bool = False) ->
 
     schema = RAW_SCHEMAS[table]
     text = ", ".join(f"{f.name} string" for f in schema.fields)
-    df = wh.spark.read.option("header", True).schema(text).csv(f"{land_csv(wh)}/{table}")
+    df = csv_reader(wh.spark).schema(text).csv(f"{land_csv(wh)}/{table}")
     for f in schema.fields:
         ty = f.dataType.simpleString()
         if ty == "string":

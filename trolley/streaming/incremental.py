@@ -209,11 +209,11 @@ def incremental_load(wh: Warehouse, table: str = "orders", files_per_trigger: in
     The file source's checkpoint records which files were loaded, so a
     re-run after a crash (or after new files land) loads only the rest.
     """
-    from trolley.sources.files import land_csv
+    from trolley.sources.files import CSV_OPTIONS, land_csv
     from trolley.sources.schemas import RAW_SCHEMAS
 
     spark = wh.spark
-    src = (spark.readStream.schema(RAW_SCHEMAS[table]).option("header", True).option("nullValue", "")
+    src = (spark.readStream.schema(RAW_SCHEMAS[table]).options(**CSV_OPTIONS).option("nullValue", "")
            .option("maxFilesPerTrigger", files_per_trigger).csv(f"{land_csv(wh)}/{table}"))
     out = wh.path("loaded", table)
     q = (src.writeStream.format("parquet").option("path", out)
