@@ -37,3 +37,13 @@ def test_hot_value_and_empty(spark):
         assert exact_quantile(df, "x", p, accuracy=100).first()[0] == _duck(vals, p)
     empty = spark.createDataFrame([], "x double")
     assert exact_quantile(empty, "x", 0.5).first()[0] is None
+
+
+def test_many_quantiles_in_one_query(spark):
+    # more scalar subqueries than the subquery thread pool (16): must not deadlock (no nesting)
+    vals = [float(i % 97) for i in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    ps = [i / 25 for i in range(1, 25)]
+    cols = [exact_quantile(df, "x", p, accuracy=50).scalar().alias(f"q{i}") for i, p in enumerate(ps)]
+    got = list(spark.range(1).select(*cols).first())
+    assert got == [_duck(vals, p) for p in ps]

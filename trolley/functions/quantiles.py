@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100_000
+DEFAULT_ACCURACY = 10_000  # Spark's default sketch size: small per-task buffers to merge, band ~6e-4 * n
 
 
 def exact_quantile(df: DataFrame, column: str | Column, p: float, accuracy: int = DEFAULT_ACCURACY,
@@ -64,12 +64,12 @@ def exact_quantile(df: DataFrame, column: str | Column, p: float, accuracy: int
         # values below the band share the NULL key, so one aggregate yields the band and the count below it
         keyed = v.filter(xc <= F.lit(hi)).select(F.when(xc < F.lit(lo), F.lit(None)).otherwise(xc).alias("k"))
     counts = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("c"))
-    below = counts.agg(F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("c"))), F.lit(0))).scalar()
-    band = counts.filter(F.col("k").isNotNull())
-    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # over the band only
-    ranked = band.withColumn("cum", F.sum("c").over(w))
-    first = below + F.col("cum") - F.col("c")  # rank of the value's first copy
-    last = below + F.col("cum") - 1
+    # the NULL key (values below the band) sorts first, so the running count over the band's distinct
+    # values already includes everything below it -- no nested subquery
+    w = Window.orderBy(F.col("k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("cum", F.sum("c").over(w)).filter(F.col("k").isNotNull())
+    first = F.col("cum") - F.col("c")  # rank of the value's first copy
+    last = F.col("cum") - 1
     picked = ranked.agg(
         F.max(F.when((first <= r0) & (F.lit(r0) <= last), F.col("k"))).alias("v0"),
         F.max(F.when((first <= r1) & (F.lit(r1) <= last), F.col("k"))).alias("v1"),

@@ -536,10 +536,9 @@ def user_history(wh: Warehouse, user_id: int | None = None) -> DataFrame:
 def customer_segments(wh: Warehouse) -> DataFrame:
     """Each user with the two broadcast median thresholds and the resulting segment."""
     from trolley.functions.columns import customer_segment
-    from trolley.plans.features import segment_thresholds
+    from trolley.plans.features import threshold_scalars
 
-    t = segment_thresholds(wh.dim_user)  # one row
-    orders_t, rate_t = t.select("order_threshold").scalar(), t.select("reorder_threshold").scalar()
+    orders_t, rate_t = threshold_scalars(wh.dim_user)  # scalar subqueries, one level
     return wh.dim_user.select(
         "user_id", "total_orders", "customer_reorder_rate", orders_t.alias("order_threshold"),
         rate_t.alias("reorder_threshold"),

@@ -97,19 +97,23 @@ def segment_thresholds(users: DataFrame, approx: bool = False, accuracy: int = 1
         return users.agg(
             F.percentile_approx("total_orders", 0.5, accuracy).cast("double").alias("order_threshold"),
             F.percentile_approx("customer_reorder_rate", 0.5, accuracy).cast("double").alias("reorder_threshold"))
-    orders_med = exact_median(users, "total_orders", "order_threshold")
-    rate_med = exact_median(users, "customer_reorder_rate", "reorder_threshold")
-    return orders_med.select("order_threshold", rate_med.scalar().alias("reorder_threshold"))
+    orders_t, rate_t = threshold_scalars(users)
+    return users.sparkSession.range(1).select(orders_t.alias("order_threshold"), rate_t.alias("reorder_threshold"))
+
+
+def threshold_scalars(users: DataFrame, approx: bool = False, accuracy: int = 100_000):
+    """The two median thresholds as scalar-subquery columns (one level each, evaluated once)."""
+    if approx:
+        return (users.agg(F.percentile_approx("total_orders", 0.5, accuracy).cast("double")).scalar(),
+                users.agg(F.percentile_approx("customer_reorder_rate", 0.5, accuracy).cast("double")).scalar())
+    return exact_median(users, "total_orders").scalar(), exact_median(users, "customer_reorder_rate").scalar()
 
 
 def dim_user_segmented(users: DataFrame, approx: bool = False) -> DataFrame:
     """dim_user plus the four-way median-split ``customer_segment``."""
-    t = segment_thresholds(users, approx)  # one row: two scalar subqueries, evaluated once
+    orders_t, rate_t = threshold_scalars(users, approx)
     return users.withColumn(
-        "customer_segment",
-        customer_segment("total_orders", "customer_reorder_rate", t.select("order_threshold").scalar(),
-                         t.select("reorder_threshold").scalar()),
-    )
+        "customer_segment", customer_segment("total_orders", "customer_reorder_rate", orders_t, rate_t))
 
 
 def product_metrics(items: DataFrame, dim_product_df: DataFrame, dim_product_rows: int | None = None) -> DataFrame:
