@@ -14,6 +14,7 @@ import hashlib
 import os
 import threading
 import uuid
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterable
 
@@ -153,11 +154,20 @@ class Warehouse:
                 writer = df.write.mode("overwrite")
                 if partition_by:
                     writer = writer.partitionBy(partition_by)
+                done = False
                 if bucket_by and self.bucketing:
                     table = self._table_prefix + name
-                    writer.bucketBy(self.buckets, bucket_by).sortBy(bucket_by).option("path", out).saveAsTable(table)
-                    self._tables[name] = self.spark.table(table)
-                else:
+                    try:
+                        writer.bucketBy(self.buckets, bucket_by).sortBy(bucket_by).option("path", out) \
+                            .saveAsTable(table)
+                        self._tables[name] = self.spark.table(table)
+                        done = True
+                    except Exception as exc:  # noqa: BLE001 -- e.g. a read-only catalogue: bucketing is an optimisation
+                        warnings.warn(f"bucketed write of {name} failed ({type(exc).__name__}); writing plain Parquet")
+                        writer = df.write.mode("overwrite")
+                        if partition_by:
+                            writer = writer.partitionBy(partition_by)
+                if not done:
                     writer.parquet(out)
                     self._tables[name] = self.spark.read.parquet(out)
             return self._tables[name]
