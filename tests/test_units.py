@@ -182,3 +182,12 @@ def test_compressed_subset_export(tiny):
     counts = {r.table_name: r.row_count for r in io.export_user_subset(tiny, max_user_id=2,
                                                                         compression="gzip").collect()}
     assert counts["orders"] == 5
+
+
+def test_two_products_with_one_name(spark):
+    products = [(1, "Banana", 1, 1), (2, "Banana", 1, 1), (3, "Yogurt", 2, 2)]
+    wh = warehouse(spark, products=products)
+    by_name = _map(m.top_products_by_name(wh, n=10), "product_name", "item_count")
+    by_id = _map(m.top_products(wh, n=10), "product_id", "purchase_count")
+    assert by_name["Banana"] == by_id[1] + by_id[2]  # name grain merges the two ids
+    assert set(by_id) == {1, 2, 3}
