@@ -32,7 +32,7 @@ def baskets(draw):
 PRODUCTS = [(i, f"P{i}", 1 + i % 2, 1 + i % 2) for i in range(1, 7)]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=baskets(), k=st.sampled_from([2, 3, 6]))
 def test_pairs_match_combinations(spark, data, k):
     orders, prior, train = data
@@ -47,7 +47,7 @@ def test_pairs_match_combinations(spark, data, k):
     assert got == dict(want)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=baskets())
 def test_basket_and_customer_measures(spark, data):
     orders, prior, train = data
