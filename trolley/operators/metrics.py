@@ -52,16 +52,21 @@ def _summary(df: DataFrame, c: str) -> DataFrame:
     return moments.select("n", "mean", exact_median(df, c).scalar().alias("median"), "min", "max")
 
 
-def _dept_items(wh: Warehouse) -> DataFrame:
-    """Items per department name: one partial aggregation by department_id, then the tiny join."""
-    per_dept = wh.fact_order_items.groupBy("department_id").agg(
-        F.count(F.lit(1)).alias("item_count"),
-        F.sum("reordered").cast("bigint").alias("reorder_count"),
-        F.sum("add_to_cart_order").cast("bigint").alias("atc_sum"),
-        F.count("add_to_cart_order").alias("atc_n"),
-        F.sum("days_since_prior_order").alias("gap_sum"),
-        F.count("days_since_prior_order").alias("gap_n"),
+def _cube_by(wh: Warehouse, *keys: str) -> DataFrame:
+    """Re-aggregate the (product, department, dow) item cube to ``keys`` (sums of additive measures)."""
+    return wh.item_cube.groupBy(*keys).agg(
+        F.sum("item_count").cast("bigint").alias("item_count"),
+        F.sum("reorder_count").cast("bigint").alias("reorder_count"),
+        F.sum("atc_sum").cast("bigint").alias("atc_sum"),
+        F.sum("atc_n").cast("bigint").alias("atc_n"),
+        F.sum("gap_sum").alias("gap_sum"),
+        F.sum("gap_n").cast("bigint").alias("gap_n"),
     )
+
+
+def _dept_items(wh: Warehouse) -> DataFrame:
+    """Items per department name: re-aggregated from the item cube, then the tiny join."""
+    per_dept = _cube_by(wh, "department_id")
     joined = per_dept.join(_departments(wh), "department_id")
     # several department ids may share a name: re-combine by name
     return joined.groupBy("department_name").agg(
@@ -75,14 +80,7 @@ def _dept_items(wh: Warehouse) -> DataFrame:
 def product_name_stats(wh: Warehouse) -> DataFrame:
     """Per product *name* aggregate shared by Q29, Q31-Q34 (materialised once)."""
     def build() -> DataFrame:
-        per_id = wh.fact_order_items.groupBy("product_id").agg(
-            F.count(F.lit(1)).alias("item_count"),
-            F.sum("reordered").cast("bigint").alias("reorder_count"),
-            F.sum("add_to_cart_order").cast("bigint").alias("atc_sum"),
-            F.count("add_to_cart_order").alias("atc_n"),
-            F.sum("days_since_prior_order").alias("gap_sum"),
-            F.count("days_since_prior_order").alias("gap_n"),
-        )
+        per_id = _cube_by(wh, "product_id")
         return per_id.join(_products(wh), "product_id").groupBy("product_name").agg(
             F.sum("item_count").alias("item_count"),
             F.sum("reorder_count").cast("bigint").alias("reorder_count"),
@@ -307,7 +305,7 @@ def aisle_demand(wh: Warehouse) -> DataFrame:
 
 def dept_dow_counts(wh: Warehouse, departments: Iterable[str] = ()) -> DataFrame:
     """Q25: items per department x dow; optional department IN-list (empty = all), pushed below the join."""
-    per = wh.fact_order_items.groupBy("department_id", "order_dow").agg(F.count(F.lit(1)).alias("item_count"))
+    per = _cube_by(wh, "department_id", "order_dow").select("department_id", "order_dow", "item_count")
     d = wh.dim_departments
     deps = list(departments)
     if deps:
@@ -413,8 +411,8 @@ def dashboard_product_metrics(wh: Warehouse) -> DataFrame:
 
 def _dept_product_counts(wh: Warehouse, dept_filter: DataFrame | None) -> DataFrame:
     """(department_name, product_name) -> item/reorder counts; department filter applied as a semi join."""
-    per = wh.fact_order_items.groupBy("department_id", "product_id").agg(
-        F.count(F.lit(1)).alias("item_count"), F.sum("reordered").cast("bigint").alias("reorder_count"))
+    per = _cube_by(wh, "department_id", "product_id").select("department_id", "product_id", "item_count",
+                                                             "reorder_count")
     d = wh.dim_departments
     if dept_filter is not None:
         d = d.join(F.broadcast(dept_filter), "department_name", "left_semi")  # filter is a top-n list

@@ -138,3 +138,17 @@ def fact_order_item(prior: DataFrame, train: DataFrame) -> DataFrame:
     """Narrow four-column item fact."""
     cols = ["order_id", "product_id", "add_to_cart_order", "reordered"]
     return prior.select(*cols).unionByName(train.select(*cols))
+
+
+def item_cube(fact_items: DataFrame) -> DataFrame:
+    """Additive item measures per (product, department, dow): the dashboard's department / product /
+    dow questions are exact re-aggregations of it (sums and counts), so they never rescan the item fact.
+    At most (#products x 7) rows, built with one map-side-combined aggregate."""
+    return fact_items.groupBy("product_id", "department_id", "order_dow").agg(
+        F.count(F.lit(1)).alias("item_count"),
+        F.sum("reordered").cast("bigint").alias("reorder_count"),
+        F.sum("add_to_cart_order").cast("bigint").alias("atc_sum"),
+        F.count("add_to_cart_order").alias("atc_n"),
+        F.sum("days_since_prior_order").alias("gap_sum"),
+        F.count("days_since_prior_order").alias("gap_n"),
+    )

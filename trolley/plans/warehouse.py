@@ -36,7 +36,7 @@ MART_NAMES = ("fact_order_items", "dim_orders", "dim_products", "dim_aisles", "d
 
 ALL_TABLES = ("fact_order_items", "dim_orders", "dim_products", "dim_aisles", "dim_departments", "order_baskets",
               "dim_users", "dim_product", "dim_order_slot", "fact_order", "order_features", "dim_user",
-              "product_metrics")  # the four projection dims are views; building them just writes their raw table
+              "product_metrics", "item_cube")  # the four projection dims are views; building them just writes their raw table
 
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str], "Warehouse"] = {}
@@ -304,6 +304,10 @@ class Warehouse:
     def dim_departments(self) -> DataFrame:
         return mt.dim_departments(self.stg_departments)
 
+    @property
+    def item_cube(self) -> DataFrame:
+        return self.materialise("item_cube", lambda: mt.item_cube(self.fact_order_items))
+
     @property
     def order_baskets(self) -> DataFrame:
         return self.materialise("order_baskets", lambda: mt.order_baskets(self.int_order_products),
