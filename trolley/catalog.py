@@ -62,7 +62,7 @@ def registry() -> dict[str, Query]:
         return fe.source_order_features(wh.stg_order_products_train)
 
     def product_first_added(wh: Warehouse) -> DataFrame:
-        return fe.product_first_added(wh.int_order_products)
+        return fe.product_first_added(wh.item_cube, wh.order_baskets)
 
     def orders_with_time(wh: Warehouse) -> DataFrame:
         return m._orders_with_time(wh)

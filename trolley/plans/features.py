@@ -116,28 +116,39 @@ def dim_user_segmented(users: DataFrame, approx: bool = False) -> DataFrame:
         "customer_segment", customer_segment("total_orders", "customer_reorder_rate", orders_t, rate_t))
 
 
-def product_metrics(items: DataFrame, dim_product_df: DataFrame, dim_product_rows: int | None = None) -> DataFrame:
-    """Purchases, reorders and rate per product id with names (M19): map-side partial aggregation."""
-    agg = items.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("purchase_count"),
-        F.coalesce(F.sum("reordered"), F.lit(0)).cast("bigint").alias("reordered_count"),
-    ).withColumn("product_reorder_rate", F.col("reordered_count") / F.col("purchase_count"))
+def product_metrics(items: DataFrame, dim_product_df: DataFrame, dim_product_rows: int | None = None,
+                    from_cube: bool = False) -> DataFrame:
+    """Purchases, reorders and rate per product id with names.
+
+    ``items`` is the item fact (map-side partial aggregation) or, with
+    ``from_cube``, the item cube (a sum of its additive measures).
+    """
+    if from_cube:
+        agg = items.groupBy("product_id").agg(
+            F.sum("item_count").cast("bigint").alias("purchase_count"),
+            F.coalesce(F.sum("reorder_count"), F.lit(0)).cast("bigint").alias("reordered_count"))
+    else:
+        agg = items.groupBy("product_id").agg(
+            F.count(F.lit(1)).alias("purchase_count"),
+            F.coalesce(F.sum("reordered"), F.lit(0)).cast("bigint").alias("reordered_count"))
+    agg = agg.withColumn("product_reorder_rate", F.col("reordered_count") / F.col("purchase_count"))
     return agg.join(small(dim_product_df, dim_product_rows), "product_id", "left").select(
         "product_id", "purchase_count", "reordered_count", "product_reorder_rate",
         "product_name", "aisle_id", "aisle", "department_id", "department")
 
 
-def product_first_added(items: DataFrame) -> DataFrame:
-    """How often a product is the first one put in the cart.
+def product_first_added(cube: DataFrame, baskets: DataFrame) -> DataFrame:
+    """How often a product is the first one put in the cart (M20), from the item cube.
 
     ``first_added_rate`` = first adds / purchases (the dictionary's
-    definition); ``share_of_orders`` = first adds / all orders with items.
+    definition); ``share_of_orders`` = first adds / all orders with items
+    (one row per order in ``order_baskets``).
     """
-    per_product = items.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("purchase_count"),
-        F.count_if(F.col("add_to_cart_order") == 1).alias("first_added_count"),
+    per_product = cube.groupBy("product_id").agg(
+        F.sum("item_count").cast("bigint").alias("purchase_count"),
+        F.sum("first_added_count").cast("bigint").alias("first_added_count"),
     )
-    n_orders = items.agg(F.count_distinct("order_id")).scalar()  # scalar subquery
+    n_orders = baskets.agg(F.count(F.lit(1))).scalar()  # scalar subquery
     return per_product.select(
         "product_id", "purchase_count", "first_added_count",
         (F.col("first_added_count") / F.col("purchase_count")).alias("first_added_rate"),

@@ -365,4 +365,4 @@ class Warehouse:
     @property
     def product_metrics(self) -> DataFrame:
         return self.materialise("product_metrics", lambda: fe.product_metrics(
-            self.int_order_products, self.dim_product, self.rows("dim_product")))
+            self.item_cube, self.dim_product, self.rows("dim_product"), from_cube=True))
