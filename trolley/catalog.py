@@ -46,6 +46,7 @@ MODEL_KEYS = (
     "dim_orders", "dim_products", "dim_aisles", "dim_departments", "dim_users", "dim_product",
     "dim_order_slot", "fact_order", "fact_order_item", "order_features", "customer_order_features",
     "customer_basket_features", "customer_product_features", "dim_user", "dim_user_segmented", "product_metrics",
+    "order_baskets", "item_cube",
 )
 
 

@@ -10,6 +10,7 @@ _SELF = (
     "dim_orders", "dim_products", "dim_aisles", "dim_departments", "dim_users", "dim_product",
     "dim_order_slot", "fact_order", "order_features", "customer_order_features",
     "customer_basket_features", "customer_product_features", "dim_user", "dim_user_segmented", "product_metrics",
+    "order_baskets",
 )
 
 
@@ -30,6 +31,13 @@ def model_sql() -> dict[str, str]:
                count(*) FILTER (WHERE add_to_cart_order = 1) / (SELECT count(DISTINCT order_id) FROM int_order_products)
                    AS share_of_orders
         FROM int_order_products GROUP BY product_id""")
+    q["item_cube"] = sql("""
+        SELECT product_id, department_id, order_dow, count(*) AS item_count,
+               CAST(sum(reordered) AS BIGINT) AS reorder_count, CAST(sum(add_to_cart_order) AS BIGINT) AS atc_sum,
+               count(add_to_cart_order) AS atc_n, sum(days_since_prior_order) AS gap_sum,
+               count(days_since_prior_order) AS gap_n,
+               count(*) FILTER (WHERE add_to_cart_order = 1) AS first_added_count
+        FROM fact_order_items GROUP BY product_id, department_id, order_dow""")
     q["orders_with_time"] = sql("""
         SELECT f.slot_key, f.order_id, f.user_id, f.eval_set, f.order_number, f.days_since_prior_order, f.basket_size,
                f.reordered_item_count, f.reorder_rate, s.order_dow, s.order_hour_of_day, s.day_part, s.slot_code
