@@ -33,7 +33,8 @@ def model_sql() -> dict[str, str]:
         FROM int_order_products GROUP BY product_id""")
     q["item_cube"] = sql("""
         SELECT product_id, department_id, order_dow, count(*) AS item_count,
-               CAST(sum(reordered) AS BIGINT) AS reorder_count, CAST(sum(add_to_cart_order) AS BIGINT) AS atc_sum,
+               CAST(sum(reordered) AS BIGINT) AS reorder_count, count(reordered) AS reorder_n,
+               CAST(sum(add_to_cart_order) AS BIGINT) AS atc_sum,
                count(add_to_cart_order) AS atc_n, sum(days_since_prior_order) AS gap_sum,
                count(days_since_prior_order) AS gap_n,
                count(*) FILTER (WHERE add_to_cart_order = 1) AS first_added_count

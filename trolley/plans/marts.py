@@ -147,6 +147,7 @@ def item_cube(fact_items: DataFrame) -> DataFrame:
     return fact_items.groupBy("product_id", "department_id", "order_dow").agg(
         F.count(F.lit(1)).alias("item_count"),
         F.sum("reordered").cast("bigint").alias("reorder_count"),
+        F.count("reordered").alias("reorder_n"),
         F.sum("add_to_cart_order").cast("bigint").alias("atc_sum"),
         F.count("add_to_cart_order").alias("atc_n"),
         F.sum("days_since_prior_order").alias("gap_sum"),
