@@ -191,3 +191,17 @@ def test_two_products_with_one_name(spark):
     by_id = _map(m.top_products(wh, n=10), "product_id", "purchase_count")
     assert by_name["Banana"] == by_id[1] + by_id[2]  # name grain merges the two ids
     assert set(by_id) == {1, 2, 3}
+
+
+def test_segment_thresholds_exact_and_approx(spark):
+    from trolley.plans.features import dim_user_segmented, segment_thresholds
+    from trolley.plans.warehouse import Warehouse
+    wh = Warehouse.get(spark, "/root/testdata/sf0.001")
+    exact = segment_thresholds(wh.dim_user).first()
+    approx = segment_thresholds(wh.dim_user, approx=True).first()
+    assert exact.order_threshold == 10.0  # FIXTURES: median orders per user at sf0.001
+    assert abs(exact.reorder_threshold - 0.1606) < 1e-3
+    # the approximate sketch returns an actual data value within its rank error
+    assert abs(approx.order_threshold - exact.order_threshold) <= 1.0
+    seg = dim_user_segmented(wh.dim_user, approx=True)
+    assert seg.count() == wh.dim_user.count()
