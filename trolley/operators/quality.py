@@ -317,12 +317,26 @@ def eval_ref_rule(wh: Warehouse, r: RefRule) -> DataFrame:
         F.lit(r.name).alias("check_name"), F.lit(r.table).alias("table_name"), "issue_count")
 
 
-def eval_values_rule(wh: Warehouse, r: ValuesRule) -> DataFrame:
-    """Number of distinct non-null values outside the accepted set (dbt returns one row per value)."""
-    df = table(wh, r.table)
-    bad = df.filter(F.col(r.column).isNotNull() & ~F.col(r.column).isin(list(r.values))).select(r.column).distinct()
-    return bad.agg(F.count(F.lit(1)).alias("issue_count")).select(
-        F.lit(r.name).alias("check_name"), F.lit(r.table).alias("table_name"), "issue_count")
+def eval_values_rules(wh: Warehouse, rules: Iterable[ValuesRule]) -> list[DataFrame]:
+    """All accepted-values rules of a table in one pass: each rule's offending values are tagged with the
+    rule, de-duplicated (map-side) and counted per rule."""
+    by_table: dict[str, list[ValuesRule]] = {}
+    for r in rules:
+        by_table.setdefault(r.table, []).append(r)
+    out = []
+    for t, rs in by_table.items():
+        df = table(wh, t)
+        cells = [F.struct(F.lit(i).alias("r"),
+                          F.when(F.col(r.column).isNotNull() & ~F.col(r.column).isin(list(r.values)),
+                                 F.col(r.column).cast("string")).alias("v"))
+                 for i, r in enumerate(rs)]
+        bad = (df.select(F.explode(F.array(*cells)).alias("e")).select("e.r", "e.v")
+               .filter(F.col("v").isNotNull()).distinct())
+        counts = bad.agg(*[F.count_if(F.col("r") == i).alias(f"c{i}") for i in range(len(rs))])
+        stack = "stack({n}, {cells}) as (check_name, issue_count)".format(
+            n=len(rs), cells=", ".join(f"'{r.name}', c{i}" for i, r in enumerate(rs)))
+        out.append(counts.selectExpr(stack).withColumn("table_name", F.lit(t)))
+    return out
 
 
 def _product_refs(wh: Warehouse) -> DataFrame:
@@ -401,14 +415,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def evaluate(wh: Warehouse, rules: list) -> list[DataFrame]:
     rows = [r for r in rules if isinstance(r, RowRule)]
+    values = [r for r in rules if isinstance(r, ValuesRule)]
     parts = eval_row_rules(wh, rows) if rows else []
+    parts += eval_values_rules(wh, values) if values else []
     for r in rules:
         if isinstance(r, KeyRule):
             parts.append(eval_key_rule(wh, r))
         elif isinstance(r, RefRule):
             parts.append(eval_ref_rule(wh, r))
-        elif isinstance(r, ValuesRule):
-            parts.append(eval_values_rule(wh, r))
     return parts
 
 
