@@ -1,7 +1,7 @@
 """Query registry: key -> callable(spark, sf_dir) with the default parameters bound.
 
-Parameters follow the reference's defaults, except the volume floors
-(``min_orders``): the reference's 1,000 purchases were set on 33.8M items;
+Parameters follow the original analysis defaults, except the volume floors
+(``min_orders``): the original 1,000-purchase floors were set on 33.8M items;
 the registered queries pass ``FLOOR`` so the floored queries select a
 meaningful share of products on the test scales (see README).
 """

@@ -486,7 +486,7 @@ def dq_gate(wh: Warehouse) -> DataFrame:
 
 
 def enforce(wh: Warehouse) -> DataFrame:
-    """Run the gate and raise when any check failed (the reference's non-zero exit)."""
+    """Run the gate and raise when any check failed (a non-zero exit for a pipeline)."""
     rows = dq_gate(wh).collect()  # one row per check: bounded by the size of the suite
     failed = [r for r in rows if r.status == "FAIL" and r.check_name != "gate"]
     if failed:

@@ -89,7 +89,7 @@ def dim_product(products: DataFrame, aisles: DataFrame, departments: DataFrame,
     """Denormalised product: products LEFT JOIN aisles LEFT JOIN departments.
 
     ``validate=True`` checks the many-to-one contract first (the right keys
-    are unique), as the reference's merges do.
+    are unique), as the original pandas merges do (validate=...).
     """
     if validate:
         assert_unique(aisles, ["aisle_id"], "aisles")

@@ -1,7 +1,7 @@
 """Derive the six raw basket tables from the driver's TPC-H-ish tables.
 
 The driver ships orders / lineitem / part, not grocery baskets, so the raw
-tables the reference ingests are derived here with deterministic rules
+tables of the basket data model are derived here with deterministic rules
 (every window has a total order).  The same rules appear as the DuckDB
 prefix in ``trolley.oracle.prefix``.
 
