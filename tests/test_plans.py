@@ -73,3 +73,13 @@ def test_no_cartesian_or_nested_loop_joins(spark, wh):
         if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
             offenders.append(key)
     assert offenders == []
+
+
+def test_file_sourced_warehouse_is_bucketed_too(spark, tiny, tmp_path, no_broadcast):
+    from trolley.sources import files as io
+    from trolley.sources.schemas import SOURCE_FILES
+    for t, fname in SOURCE_FILES.items():
+        io.write_csv(tiny.raw(t), str(tmp_path / fname))
+    fw = Warehouse.from_files(spark, str(tmp_path))
+    assert _hash_exchanges(_plan(mt.order_baskets(fw.int_order_products))) == []
+    assert sorted(fw.order_baskets.collect()) == sorted(tiny.order_baskets.collect())
