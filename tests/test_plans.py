@@ -83,3 +83,11 @@ def test_file_sourced_warehouse_is_bucketed_too(spark, tiny, tmp_path, no_broadc
     fw = Warehouse.from_files(spark, str(tmp_path))
     assert _hash_exchanges(_plan(mt.order_baskets(fw.int_order_products))) == []
     assert sorted(fw.order_baskets.collect()) == sorted(tiny.order_baskets.collect())
+
+
+def test_row_rules_share_one_scan_per_table(spark, wh):
+    from trolley.operators import quality as dq
+    rules = [r for r in dq.dbt_not_null_rules() if r.table == "fact_order_items"]
+    assert len(rules) == 5
+    plan = _plan(dq.eval_row_rules(wh, rules)[0])
+    assert plan.count("FileScan") == 1  # five predicates, one aggregate over one scan
