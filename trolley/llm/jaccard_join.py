@@ -13,8 +13,9 @@ Steps (no pass holds more than one text, one batch or one set pair in a Python w
    the cost estimates.  The order need not be exact: any order gives the same links.
 2. Each text becomes (class, size, m, prefix); texts with equal sets form one class, so copies collapse.
 3. Index entries are sorted by shingle; entries alone in their list go at once.
-4. Chain rounds: neighbours within each list are verified, which joins large groups of near copies by a
-   linear number of pairs.  Links found make components.
+4. A first round verifies, in each list, every class with its neighbour by size and with the class that has
+   the fewest entries of its own (the likely original): a linear number of pairs that joins large groups of
+   near copies.  Links found make components.
 5. The full join then pairs only classes of *different* components, counts common entries, verifies exactly.
    No link between components is lost; links within a component can't change the result.
 
@@ -117,7 +118,7 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
     sets = scratch.table(docs.mapInArrow(prefixes, f"doc_id {id_type}, n long, c long, m int, first int, prefix array<long>"))
     entries = (sets.where("n > 0").groupBy("c").agg(*[F.first(x).alias(x) for x in ("n", "m", "first", "prefix")])
                .select("c", "n", "m", "first", F.posexplode("prefix").alias("at", "tok"))
-               .select("tok", "c", "n", "m", F.greatest(F.lit(1), F.col("at") - F.col("first") + 2).cast("int").alias("lev")))
+               .select("tok", "c", "n", "m", "at", F.greatest(F.lit(1), F.col("at") - F.col("first") + 2).cast("int").alias("lev")))
 
     def shared(batches):
         """Entries whose shingle has more than one; the input is sorted by shingle. Keeps one row between batches."""
@@ -137,41 +138,42 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
             last, used = batch.slice(len(t) - 1, 1), bool(keep[-1])
             yield batch.filter(pa.array(keep))
 
-    lists = scratch.table(entries.repartition("tok").sortWithinPartitions("tok", "n", "c").mapInArrow(shared, entries.schema))
-
-    fits = f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
-    by_size = Window.partitionBy("tok").orderBy("n", "c")
-    by_first = by_size.rowsBetween(Window.unboundedPreceding, 0)
-    found = (lists.select("c", "n", F.lag("c").over(by_size).alias("c0"), F.lag("n").over(by_size).alias("n0"), F.first("c").over(by_first).alias("cf"), F.first("n").over(by_first).alias("nf"))
-             .select(F.explode(F.array(F.struct(F.col("c0").alias("c1"), F.col("n0").alias("n1")), F.struct(F.col("cf").alias("c1"), F.col("nf").alias("n1")))).alias("x"), F.col("c").alias("c2"), F.col("n").alias("n2"))
-             .select("x.c1", "x.n1", "c2", "n2").where(f"c1 != c2 and {fits}"))
-    tried = scratch.table(_pairs(found))
+    found = scratch.table(entries.repartition("tok").sortWithinPartitions("tok", "n", "c").mapInArrow(shared, entries.schema))
+    # u: entries before the first that another class also has in its prefix.  The first common entry of a link
+    # is in both prefixes, so those u are in no other linked set: at most n - u can be common
+    alone = found.groupBy("c").agg(F.min("at").cast("long").alias("u"))
+    lists = scratch.table(found.join(alone, "c"))
+
+    most = "least(n1 - u1, n2 - u2)"
+    fits = f"100 * {most} >= {percent} * (n1 + n2 - {most})"
+    first = Window.partitionBy("tok").orderBy("u", "n", "c")
+    by_size = Window.partitionBy("tok").orderBy("n", "u", "c")
+    cells = ("c", "n", "u")
+
+    def near(spot: DataFrame, *others) -> DataFrame:
+        """Pairs of an entry's class with the classes that ``others`` name, as structs (c, n, u)."""
+        pairs = spot.select(*[F.col(x).alias(f"{x}2") for x in cells], *[o.alias(f"o{i}") for i, o in enumerate(others)])
+        pairs = pairs.select("c2", "n2", "u2", F.explode(F.array(*[f"o{i}" for i in range(len(others))])).alias("o"))
+        pairs = pairs.select(F.col("o.c").alias("c1"), F.col("o.n").alias("n1"), F.col("o.u").alias("u1"), "c2", "n2", "u2")
+        return pairs.where(f"c1 != c2 and {fits}").select(F.least("c1", "c2").alias("c1"), F.greatest("c1", "c2").alias("c2")).distinct()
+
+    tried = scratch.table(near(lists, F.first(F.struct(*cells)).over(first), F.lag(F.struct(*cells)).over(by_size)))
     links = scratch.table(verify(docs, sets, tried, scratch, k, percent))
-    for salt in (1, 2):
-        roots = components(scratch, links)
-        spot = lists.join(roots, lists["c"] == roots["node"], "left").select("tok", "c", "n", "m", "lev", F.coalesce("root", "c").alias("root"))
-        by_root = Window.partitionBy("tok").orderBy(F.xxhash64("root", F.lit(salt)), "root", F.xxhash64("c", F.lit(salt)), "c")
-        near = (spot.select("c", "n", "root", F.lag("c").over(by_root).alias("c0"), F.lag("n").over(by_root).alias("n0"), F.lag("root").over(by_root).alias("r0"))
-                .where("r0 != root").select(F.col("c0").alias("c1"), F.col("n0").alias("n1"), F.col("c").alias("c2"), F.col("n").alias("n2")).where(fits))
-        more = scratch.table(_pairs(near).join(tried, ["c1", "c2"], "left_anti"))
-        links = scratch.table(links.unionByName(verify(docs, sets, more, scratch, k, percent)))
-        tried = scratch.table(tried.unionByName(more))
     roots = components(scratch, links)
-    spot = lists.join(roots, lists["c"] == roots["node"], "left").select("tok", "c", "n", "m", "lev", F.coalesce("root", "c").alias("root"))
+    spot = lists.join(roots, lists["c"] == roots["node"], "left").withColumn("root", F.coalesce("root", "c")).drop("node")
     open_lists = spot.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("tok")
     spot = scratch.table(spot.join(open_lists, "tok"))
-    a, b = (spot.select("tok", *[F.col(x).alias(f"{x}{i}") for x in ("c", "n", "m", "lev", "root")]) for i in (1, 2))
-    pairs = (a.join(b, "tok").where(f"c1 < c2 and root1 != root2 and {fits} and greatest(lev1, lev2) <= least(m1, m2)")
-             .groupBy("c1", "c2").agg(F.count("*").alias("shared"), F.first(F.least("m1", "m2")).alias("m")).where("shared >= m")
+    a, b = (spot.select("tok", *[F.col(x).alias(f"{x}{i}") for x in ("c", "n", "u", "m", "lev", "at", "root")]) for i in (1, 2))
+    pairs = (a.join(b, (a["tok"] == b["tok"]) & F.expr(f"c1 < c2 and root1 != root2 and {fits} and greatest(lev1, lev2) <= least(m1, m2)"))
+             .groupBy("c1", "c2").agg(F.count("*").alias("shared"), F.first(F.least("m1", "m2")).alias("m"), F.first(F.col("n1") + F.col("n2")).alias("n12"),
+                                      F.min(F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2"))).alias("left"))
+             # after the last common entry of the prefixes, no more can be common than what is left of the shorter rest
+             .where(f"shared >= m and 100 * (shared + left - 1) >= {percent} * (n12 - shared - left + 1)")
              .select("c1", "c2").join(tried, ["c1", "c2"], "left_anti"))
     links = links.unionByName(verify(docs, sets, scratch.table(pairs), scratch, k, percent))
     return sets.select("doc_id", "n", "c"), scratch.table(components(scratch, links))
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    return df.select(F.least("c1", "c2").alias("c1"), F.greatest("c1", "c2").alias("c2")).distinct()
-
-
 def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, scratch: Scratch, k: int, percent: int) -> DataFrame:
     """The pairs (c1, c2) whose sets really link, as (a, b): 100 * common >= percent * union."""
     need = pairs.select(F.col("c1").alias("c")).unionByName(pairs.select(F.col("c2").alias("c"))).distinct()
