@@ -117,8 +117,8 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sets = scratch.table(docs.mapInArrow(prefixes, f"doc_id {id_type}, n long, c long, m int, first int, prefix array<long>"))
     entries = (sets.where("n > 0").groupBy("c").agg(*[F.first(x).alias(x) for x in ("n", "m", "first", "prefix")])
-               .select("c", "n", "m", "first", F.posexplode("prefix").alias("at", "tok"))
-               .select("tok", "c", "n", "m", "at", F.greatest(F.lit(1), F.col("at") - F.col("first") + 2).cast("int").alias("lev")))
+               .select("c", "n", "m", "first", F.size("prefix").cast("long").alias("len"), F.posexplode("prefix").alias("at", "tok"))
+               .select("tok", "c", "n", "m", "len", "at", F.greatest(F.lit(1), F.col("at") - F.col("first") + 2).cast("int").alias("lev")))
 
     def shared(batches):
         """Entries whose shingle has more than one; the input is sorted by shingle. Keeps one row between batches."""
@@ -140,14 +140,14 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
 
     found = scratch.table(entries.repartition("tok").sortWithinPartitions("tok", "n", "c").mapInArrow(shared, entries.schema))
     # u: entries before the first that another class also has in its prefix.  The first common entry of a link
-    # is in both prefixes, so those u are in no other linked set: at most n - u can be common
-    alone = found.groupBy("c").agg(F.min("at").cast("long").alias("u"))
+    # is in both prefixes, so those u are in no other linked set: at most n - u can be common.  own: all entries without company; it only ranks
+    alone = found.groupBy("c").agg(F.min("at").cast("long").alias("u"), (F.first("len") - F.count("*")).alias("own"))
     lists = scratch.table(found.join(alone, "c"))
 
     most = "least(n1 - u1, n2 - u2)"
     fits = f"100 * {most} >= {percent} * (n1 + n2 - {most})"
-    first = Window.partitionBy("tok").orderBy("u", "n", "c")
-    by_size = Window.partitionBy("tok").orderBy("n", "u", "c")
+    first = Window.partitionBy("tok").orderBy("own", "n", "c")
+    by_size = Window.partitionBy("tok").orderBy("n", "own", "c")
     cells = ("c", "n", "u")
 
     def near(spot: DataFrame, *others) -> DataFrame:
