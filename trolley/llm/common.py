@@ -120,15 +120,26 @@ _LOWER += np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _VALUE = np.where(_SPACE, np.uint64(0), _LOWER)
-_POWERS: list[np.ndarray] = []
 PIECE = 1 << 20
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(PIECE * 2, 1 << int(n - 1).bit_length())
-        _POWERS[:] = [np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)])) for b in (_BASE, _INV)]
-    return _POWERS[0], _POWERS[1]
+class _Powers:
+    """Powers of the base and of its inverse, made where they are needed and not sent with a job."""
+
+    def __init__(self):
+        self.tables = [np.ones(1, np.uint64)] * 2
+
+    def __reduce__(self):
+        return _Powers, ()
+
+    def upto(self, n: int) -> list[np.ndarray]:
+        if len(self.tables[0]) < n:
+            size = max(PIECE * 2, 1 << int(n - 1).bit_length())
+            self.tables = [np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)])) for b in (_BASE, _INV)]
+        return self.tables
+
+
+_POWERS = _Powers()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -172,7 +183,7 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     at = np.flatnonzero(start)
     if len(at) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(off), np.int64), at
-    pw, inv = _powers(n)
+    pw, inv = _POWERS.upto(n)
     h = np.add.reduceat(_VALUE[data] * pw[:n], at) * inv[at]
     return mix(h), np.searchsorted(at, off), at
 

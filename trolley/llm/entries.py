@@ -19,8 +19,32 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_read(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op3_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.sharding import shard
+
+    return shard(_read(spark, sf_dir, "documents"), shards=40)
+
+
+def op4_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.mixing import mix
+
+    return mix(_read(spark, sf_dir, "documents"))
+
+
+def op5_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.pii import personal_data
+
+    return personal_data(_read(spark, sf_dir, "documents"))
+
+
+def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.quality import quality_scores
+
+    return quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_jaccard_join,)}
+    return {f.__name__: f for f in (op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op10_compression_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
