@@ -37,6 +37,18 @@ def op5_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(_read(spark, sf_dir, "documents"))
 
 
+def op6_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.decontam import contaminated
+
+    return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op8_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.licences import licences
+
+    return licences(_read(spark, sf_dir, "documents"))
+
+
 def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trolley.llm.quality import quality_scores
 
@@ -44,8 +56,10 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op10_compression_quality)}
+    return {f.__name__: f for f in (op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op6_bm25_decontamination, op8_licence_rules, op10_compression_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from trolley.llm.licences import oracle as licence_sql
+
+    return {"op8_licence_rules": licence_sql()}

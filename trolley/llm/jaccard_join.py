@@ -39,8 +39,10 @@ from pyspark.sql import functions as F
 from trolley.llm.common import Scratch, components, mix, pick, pieces, shingles, utf8, words
 
 SKETCH_BITS = 18
+FILTER_BITS = 19  # words of 64 bits in the filter of classes to verify: 4 MB whatever the input
 MOST_MATCHES = 8
 VERIFY_COST = 30.0
+CHANCE = 0.5  # entries that a shingle without a visible frequency is expected to meet
 
 
 def _sets(data: np.ndarray, off: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -85,11 +87,11 @@ def prefix_of(s: np.ndarray, freq: np.ndarray, mean: float, percent: int) -> tup
     f = freq[_bucket(s)]
     longest = min(n, first + MOST_MATCHES - 1)
     order = np.lexsort((s, f))[:longest]
-    cost = np.cumsum(np.maximum(f[order] - mean, 0.0))
+    cost = np.cumsum(np.maximum(f[order] - mean, 0.0) + CHANCE)
     m = np.arange(1, longest - first + 2)
     m = m[m <= need]  # no more matches than links must share at all
-    est = cost[first - 1:first - 1 + len(m)]
-    best = int(np.argmin(est * (1 + VERIFY_COST / m) + m))
+    met = cost[first - 1:first - 1 + len(m)]  # entries met in the lists; a candidate takes m of them
+    best = int(np.argmin(met * (1 + VERIFY_COST / m)))
     return s[order][:first + best], first, best + 1
 
 
@@ -116,9 +118,8 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sets = scratch.table(docs.mapInArrow(prefixes, f"doc_id {id_type}, n long, c long, m int, first int, prefix array<long>"))
-    entries = (sets.where("n > 0").groupBy("c").agg(*[F.first(x).alias(x) for x in ("n", "m", "first", "prefix")])
-               .select("c", "n", "m", "first", F.size("prefix").cast("long").alias("len"), F.posexplode("prefix").alias("at", "tok"))
-               .select("tok", "c", "n", "m", "len", "at", F.greatest(F.lit(1), F.col("at") - F.col("first") + 2).cast("int").alias("lev")))
+    classes = scratch.table(sets.where("n > 0").groupBy("c").agg(*[F.first(x).alias(x) for x in ("n", "m", "first", "prefix")]))
+    entries = classes.select(F.posexplode("prefix").alias("at", "tok"), "c").select("tok", "c", "at")
 
     def shared(batches):
         """Entries whose shingle has more than one; the input is sorted by shingle. Keeps one row between batches."""
@@ -138,27 +139,32 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
             last, used = batch.slice(len(t) - 1, 1), bool(keep[-1])
             yield batch.filter(pa.array(keep))
 
-    found = scratch.table(entries.repartition("tok").sortWithinPartitions("tok", "n", "c").mapInArrow(shared, entries.schema))
+    found = scratch.table(entries.repartition("tok").sortWithinPartitions("tok").mapInArrow(shared, entries.schema))
     # u: entries before the first that another class also has in its prefix.  The first common entry of a link
-    # is in both prefixes, so those u are in no other linked set: at most n - u can be common.  own: all entries without company; it only ranks
-    alone = found.groupBy("c").agg(F.min("at").cast("long").alias("u"), (F.first("len") - F.count("*")).alias("own"))
-    lists = scratch.table(found.join(alone, "c"))
+    # is in both prefixes, so those u are in no other linked set: at most n - u can be common.  own: all entries
+    # without company; it only ranks
+    with_company = found.groupBy("c").agg(F.min("at").cast("long").alias("u"), F.count("*").alias("company"))
+    facts = classes.select("c", "n", "m", "first", F.size("prefix").alias("len")).join(with_company, "c")
+    lists = scratch.table(found.join(facts, "c").select("tok", "c", "n", "m", "at", "u", (F.col("len") - F.col("company")).alias("own"),
+                                                        F.greatest(F.lit(1), F.col("at") - F.col("first") + 2).cast("int").alias("lev")))
+    scratch.drop(found)
 
     most = "least(n1 - u1, n2 - u2)"
     fits = f"100 * {most} >= {percent} * (n1 + n2 - {most})"
     first = Window.partitionBy("tok").orderBy("own", "n", "c")
     by_size = Window.partitionBy("tok").orderBy("n", "own", "c")
-    cells = ("c", "n", "u")
+    cells = ("c", "n", "u", "m")
 
     def near(spot: DataFrame, *others) -> DataFrame:
         """Pairs of an entry's class with the classes that ``others`` name, as structs (c, n, u)."""
         pairs = spot.select(*[F.col(x).alias(f"{x}2") for x in cells], *[o.alias(f"o{i}") for i, o in enumerate(others)])
-        pairs = pairs.select("c2", "n2", "u2", F.explode(F.array(*[f"o{i}" for i in range(len(others))])).alias("o"))
-        pairs = pairs.select(F.col("o.c").alias("c1"), F.col("o.n").alias("n1"), F.col("o.u").alias("u1"), "c2", "n2", "u2")
-        return pairs.where(f"c1 != c2 and {fits}").select(F.least("c1", "c2").alias("c1"), F.greatest("c1", "c2").alias("c2")).distinct()
+        pairs = pairs.select(*[f"{x}2" for x in cells], F.explode(F.array(*[f"o{i}" for i in range(len(others))])).alias("o"))
+        pairs = pairs.select(*[F.col(f"o.{x}").alias(f"{x}1") for x in cells], *[f"{x}2" for x in cells]).where(f"c1 != c2 and {fits}")
+        pairs = pairs.groupBy(F.least("c1", "c2").alias("c1"), F.greatest("c1", "c2").alias("c2")).agg(F.count("*").alias("met"), F.first(F.least("m1", "m2")).alias("m"))
+        return pairs.where("2 * met >= m").select("c1", "c2")  # the others wait for the full join
 
     tried = scratch.table(near(lists, F.first(F.struct(*cells)).over(first), F.lag(F.struct(*cells)).over(by_size)))
-    links = scratch.table(verify(docs, sets, tried, scratch, k, percent))
+    links = scratch.table(verify(docs, tried, scratch, k, percent))
     roots = components(scratch, links)
     spot = lists.join(roots, lists["c"] == roots["node"], "left").withColumn("root", F.coalesce("root", "c")).drop("node")
     open_lists = spot.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("tok")
@@ -170,23 +176,31 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
              # after the last common entry of the prefixes, no more can be common than what is left of the shorter rest
              .where(f"shared >= m and 100 * (shared + left - 1) >= {percent} * (n12 - shared - left + 1)")
              .select("c1", "c2").join(tried, ["c1", "c2"], "left_anti"))
-    links = links.unionByName(verify(docs, sets, scratch.table(pairs), scratch, k, percent))
+    links = links.unionByName(verify(docs, scratch.table(pairs), scratch, k, percent))
     return sets.select("doc_id", "n", "c"), scratch.table(components(scratch, links))
 
 
-def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, scratch: Scratch, k: int, percent: int) -> DataFrame:
+def verify(docs: DataFrame, pairs: DataFrame, scratch: Scratch, k: int, percent: int) -> DataFrame:
     """The pairs (c1, c2) whose sets really link, as (a, b): 100 * common >= percent * union."""
     need = pairs.select(F.col("c1").alias("c")).unionByName(pairs.select(F.col("c2").alias("c"))).distinct()
-    ids = sets.join(need, "c").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.max(F.col("doc_id").isNull()).alias("no_id"))
-    wanted = ids.select("doc_id").distinct()
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi").select("text")
+    bit = F.col("c").bitwiseAND((64 << FILTER_BITS) - 1)
+    cells = need.groupBy(F.shiftright(bit, 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(c & 63 as int))")).alias("bits")).toPandas()
+    maybe = np.zeros(1 << FILTER_BITS, np.uint64)
+    maybe[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64).view(np.uint64)
 
+    # sets are built again, only where a candidate may need them: the texts themselves are never shuffled
     def whole(batches):
+        done: set[int] = set()
         for batch in batches:
             data, off = utf8(batch.column("text"))
             c, p, size = [], [], 0
             for s in _sets(data, off, k):
-                c.append(_class_id(s))
+                x = _class_id(s)
+                low = x & ((64 << FILTER_BITS) - 1)
+                if not int(maybe[low >> 6]) >> (low & 63) & 1 or x in done:
+                    continue
+                done.add(x)
+                c.append(x)
                 p.append(s.tobytes())
                 size += len(p[-1])
                 if size > 4 << 20:
@@ -194,7 +208,7 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, scratch: Scratch,
                     c, p, size = [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(p, pa.binary())], ["c", "toks"])
 
-    toks = scratch.table(texts.mapInArrow(whole, "c long, toks binary").join(need, "c", "left_semi").dropDuplicates(["c"]))
+    toks = docs.select("text").mapInArrow(whole, "c long, toks binary").dropDuplicates(["c"])
     both = (pairs.join(toks.select(F.col("c").alias("c1"), F.col("toks").alias("t1")), "c1")
             .join(toks.select(F.col("c").alias("c2"), F.col("toks").alias("t2")), "c2"))
 
