@@ -49,6 +49,12 @@ def op8_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences(_read(spark, sf_dir, "documents"))
 
 
+def op9_bigru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.langid import languages
+
+    return languages(_read(spark, sf_dir, "documents"))
+
+
 def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trolley.llm.quality import quality_scores
 
@@ -56,7 +62,7 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op6_bm25_decontamination, op8_licence_rules, op10_compression_quality)}
+    return {f.__name__: f for f in (op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op6_bm25_decontamination, op8_licence_rules, op9_bigru_language, op10_compression_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
