@@ -13,6 +13,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.nn_descent import near_vectors
+
+    return near_vectors(_read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trolley.llm.jaccard_join import jaccard_groups
 
@@ -62,7 +68,7 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op6_bm25_decontamination, op8_licence_rules, op9_bigru_language, op10_compression_quality)}
+    return {f.__name__: f for f in (op1_nn_descent, op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op6_bm25_decontamination, op8_licence_rules, op9_bigru_language, op10_compression_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
