@@ -49,6 +49,12 @@ def op6_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.hpylm import model_scores
+
+    return model_scores(_read(spark, sf_dir, "documents"))
+
+
 def op8_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trolley.llm.licences import licences
 
@@ -68,7 +74,7 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_nn_descent, op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op6_bm25_decontamination, op8_licence_rules, op9_bigru_language, op10_compression_quality)}
+    return {f.__name__: f for f in (op1_nn_descent, op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op6_bm25_decontamination, op7_pitman_yor, op8_licence_rules, op9_bigru_language, op10_compression_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
