@@ -16,7 +16,8 @@ Steps (no pass holds more than one text, one batch or one set pair in a Python w
 4. A first round verifies, in each list, every class with its neighbour by size and with the class that has
    the fewest entries of its own (the likely original): a linear number of pairs that joins large groups of
    near copies.  Links found make components.
-5. The full join then pairs only classes of *different* components, counts common entries, verifies exactly.
+5. The full join then pairs only classes of *different* components: an entry names a pair if it can be the
+   first common one, the pair must have m common entries within its prefixes, and is verified exactly.
    No link between components is lost; links within a component can't change the result.
 
 Defined results: null or white-space texts have an empty set (size 0) and link with nothing, also not with
@@ -144,9 +145,8 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
     # is in both prefixes, so those u are in no other linked set: at most n - u can be common.  own: all entries
     # without company; it only ranks
     with_company = found.groupBy("c").agg(F.min("at").cast("long").alias("u"), F.count("*").alias("company"))
-    facts = classes.select("c", "n", "m", "first", F.size("prefix").alias("len")).join(with_company, "c")
-    lists = scratch.table(found.join(facts, "c").select("tok", "c", "n", "m", "at", "u", (F.col("len") - F.col("company")).alias("own"),
-                                                        F.greatest(F.lit(1), F.col("at") - F.col("first") + 2).cast("int").alias("lev")))
+    facts = classes.select("c", "n", "m", F.size("prefix").alias("len")).join(with_company, "c")
+    lists = scratch.table(found.join(facts, "c").select("tok", "c", "n", "m", "at", "u", (F.col("len") - F.col("company")).alias("own")))
     scratch.drop(found)
 
     most = "least(n1 - u1, n2 - u2)"
@@ -169,13 +169,18 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
     spot = lists.join(roots, lists["c"] == roots["node"], "left").withColumn("root", F.coalesce("root", "c")).drop("node")
     open_lists = spot.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("tok")
     spot = scratch.table(spot.join(open_lists, "tok"))
-    a, b = (spot.select("tok", *[F.col(x).alias(f"{x}{i}") for x in ("c", "n", "u", "m", "lev", "at", "root")]) for i in (1, 2))
-    pairs = (a.join(b, (a["tok"] == b["tok"]) & F.expr(f"c1 < c2 and root1 != root2 and {fits} and greatest(lev1, lev2) <= least(m1, m2)"))
-             .groupBy("c1", "c2").agg(F.count("*").alias("shared"), F.first(F.least("m1", "m2")).alias("m"), F.first(F.col("n1") + F.col("n2")).alias("n12"),
-                                      F.min(F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2"))).alias("left"))
-             # after the last common entry of the prefixes, no more can be common than what is left of the shorter rest
-             .where(f"shared >= m and 100 * (shared + left - 1) >= {percent} * (n12 - shared - left + 1)")
-             .select("c1", "c2").join(tried, ["c1", "c2"], "left_anti"))
+    # a link's first common entry has nothing common before it on either side: its positions bound what can follow,
+    # so only entries early in both sets can name a pair
+    a, b = (spot.select("tok", *[F.col(x).alias(f"{x}{i}") for x in ("c", "n", "u", "at", "root")]) for i in (1, 2))
+    rest = "least(n1 - at1, n2 - at2)"
+    early = f"100 * {rest} >= {percent} * (n1 + n2 - {rest})"
+    pairs = (a.join(b, (a["tok"] == b["tok"]) & F.expr(f"c1 < c2 and root1 != root2 and {early} and {fits}"))
+             .select("c1", "c2").distinct().join(tried, ["c1", "c2"], "left_anti"))
+    # the smaller m of the two: as many common entries within both prefixes of that m
+    one, two = (classes.select(F.col("c").alias(f"c{i}"), F.col("m").alias(f"m{i}"), F.col("first").alias(f"f{i}"), F.col("prefix").alias(f"p{i}")) for i in (1, 2))
+    m = F.least("m1", "m2")
+    common = F.size(F.array_intersect(F.slice("p1", F.lit(1), F.col("f1") + m - 1), F.slice("p2", F.lit(1), F.col("f2") + m - 1)))
+    pairs = pairs.join(one, "c1").join(two, "c2").where(common >= m).select("c1", "c2")
     links = links.unionByName(verify(docs, scratch.table(pairs), scratch, k, percent))
     return sets.select("doc_id", "n", "c"), scratch.table(components(scratch, links))
 
