@@ -12,6 +12,7 @@ the session's ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import SparkSession
@@ -31,6 +32,14 @@ def _warehouse(spark: SparkSession, args):
     return Warehouse.get(spark, args.driver)
 
 
+def _param(text: str) -> tuple[str, object]:
+    name, _, value = text.partition("=")
+    try:
+        return name, json.loads(value)
+    except json.JSONDecodeError:
+        return name, value
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="trolley")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -38,8 +47,10 @@ def main(argv: list[str] | None = None) -> int:
         p = sub.add_parser(name)
         if name == "query":
             p.add_argument("key")
-            p.add_argument("--show", type=int, default=20)
             p.add_argument("--out", help="write the full result as Parquet here instead of showing it")
+            p.add_argument("--param", action="append", default=[], metavar="NAME=VALUE",
+                           help="a parameter of the query; VALUE is JSON or plain text, e.g. n=5, departments=[\"a\", \"b\"]")
+        p.add_argument("--show", type=int, default=20 if name == "query" else 200, help="rows to print")
         src = p.add_mutually_exclusive_group(required=True)
         src.add_argument("--source", help="folder with the six source files")
         src.add_argument("--driver", help="driver test-data folder (tables are derived)")
@@ -61,16 +72,16 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "build":
         from trolley.operators import quality
         wh.build_all(threads=args.threads)
-        report = quality.dq_gate(wh)
-        report.show(200, truncate=False)
+        report = wh.written("dq_gate", quality.dq_gate(wh))
+        report.orderBy("status", "check_name").show(args.show, truncate=False)
         failed = report.filter("check_name = 'gate'").first().issue_count
-        print(f"warehouse at {wh.root}; failed checks: {failed}")
+        print(f"warehouse at {wh.root}; failed checks: {failed}; full report under {wh.path('reports', '')}")
         return 1 if failed else 0
     reg = catalog.registry()
     if args.key not in reg:
         print(f"unknown query {args.key!r}; see `python -m trolley list`", file=sys.stderr)
         return 2
-    df = reg[args.key].on(wh)
+    df = reg[args.key].on(wh, **dict(_param(x) for x in args.param))
     if args.out:
         df.write.mode("overwrite").parquet(args.out)
     else:

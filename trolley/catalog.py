@@ -1,9 +1,10 @@
 """Query registry: key -> callable(spark, sf_dir) with the default parameters bound.
 
-Parameters follow the original analysis defaults, except the volume floors
-(``min_orders``): the original 1,000-purchase floors were set on 33.8M items;
-the registered queries pass ``FLOOR`` so the floored queries select a
-meaningful share of products on the test scales (see README).
+A query takes its parameters by name: ``registry()[key](spark, sf_dir, n=5)`` or
+``registry()[key].on(wh, n=5)``; defaults are those of the original analysis (a floor
+of 1,000 purchases, users up to 20,000).  Only the calls over the driver's derived
+tables (spark, sf_dir) pass ``SMALL`` parameters, because none of their products
+reaches 1,000 purchases and none of their users has an id above 20,000.
 """
 
 from __future__ import annotations
@@ -16,16 +17,20 @@ from pyspark.sql import DataFrame, SparkSession
 from trolley.plans.warehouse import Warehouse
 
 FLOOR = 350
+SMALL_USER = 100
+# departments that the driver's tables hold, for the keys with named departments
+DEPARTMENTS = ("ECONOMY", "PROMO")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _wh(fn: Callable[..., DataFrame], **params) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Warehouse.get(spark, sf_dir), **params)
+def _wh(fn: Callable[..., DataFrame], small: dict | None = None, **params) -> Query:
+    """small: parameters for the driver's derived tables only."""
+    def run(spark: SparkSession, sf_dir: str, **own) -> DataFrame:
+        return fn(Warehouse.get(spark, sf_dir), **{**params, **(small or {}), **own})
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
-    run.on = lambda wh: fn(wh, **params)  # the same query over any Warehouse (e.g. from_files)
+    run.on = lambda wh, **own: fn(wh, **{**params, **own})  # the same query over any Warehouse (e.g. from_files)
     return run
 
 
@@ -36,7 +41,7 @@ def _table(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return on(Warehouse.get(spark, sf_dir))
     run.__name__ = name
-    run.on = on
+    run.on = lambda wh, **_: on(wh)
     return run
 
 
@@ -91,7 +96,7 @@ def registry() -> dict[str, Query]:
         "write_parquet": _wh(io.read_back_parquet),
         "write_csv": _wh(io.read_back_csv),
         "write_append": _wh(io.append_items),
-        "export_user_subset": _wh(io.export_user_subset),
+        "export_user_subset": _wh(io.export_user_subset, small={"max_user_id": SMALL_USER}),
         "upsert_merge": _wh(io.upsert_merge),
         "table_copy": _wh(io.table_copy),
         "ingestion_log": _wh(io.ingestion_log),
@@ -100,9 +105,9 @@ def registry() -> dict[str, Query]:
         "schema_contract": _wh(io.schema_contract),
         "row_count_contract": _wh(io.row_count_contract),
         "incremental_load": _wh(inc.incremental_load),
-        "stream_product_counts": _wh(inc.stream_product_counts),
-        "stream_pair_counts": _wh(inc.stream_pair_counts),
-        "stream_upsert": _wh(inc.stream_upsert),
+        "stream_product_counts": _wh(inc.stream_product_counts, small={"files_per_trigger": 3}),
+        "stream_pair_counts": _wh(inc.stream_pair_counts, small={"files_per_trigger": 3}),
+        "stream_upsert": _wh(inc.stream_upsert, small={"files_per_trigger": 3}),
         "profile_missing": _wh(pr.profile_missing),
         "profile_describe": _wh(pr.profile_describe),
         "profile_duplicates": _wh(pr.profile_duplicates),
@@ -154,11 +159,11 @@ def registry() -> dict[str, Query]:
         "product_cart_position_extremes": _wh(m.product_cart_position_extremes),
         "dept_order_gap": _wh(m.dept_order_gap),
         "top_products_order_gap": _wh(m.top_products_order_gap),
-        "order_gap_extremes": _wh(m.order_gap_extremes, min_orders=FLOOR),
-        "reorder_rate_extremes": _wh(m.reorder_rate_extremes, min_orders=FLOOR),
+        "order_gap_extremes": _wh(m.order_gap_extremes, small={"min_orders": FLOOR}),
+        "reorder_rate_extremes": _wh(m.reorder_rate_extremes, small={"min_orders": FLOOR}),
         "top_products_by_name": _wh(m.top_products_by_name),
         "top_products": _wh(m.top_products),
-        "top_reordered_products": _wh(m.top_reordered_products, min_purchases=FLOOR),
+        "top_reordered_products": _wh(m.top_reordered_products, small={"min_purchases": FLOOR}),
         "department_products": _wh(m.department_products),
         "top_products_in_top_departments": _wh(m.top_products_in_top_departments),
         "customer_orders_stats": _wh(m.customer_orders_stats),
@@ -171,6 +176,8 @@ def registry() -> dict[str, Query]:
         "dashboard_checks": _wh(m.dashboard_checks),
         "customer_segments": _wh(m.customer_segments),
         "user_history": _wh(m.user_history),
+        "dept_dow_counts_of": _wh(m.dept_dow_counts, departments=DEPARTMENTS),
+        "department_products_of": _wh(m.department_products, department=DEPARTMENTS[0]),
     })
     return q
 

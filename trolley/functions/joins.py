@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count is known and below this bound.
-BROADCAST_MAX_ROWS = 2_000_000
+# A side is broadcast only when its row count is known and its rows, at the width below, fit this bound.
+BROADCAST_MAX_BYTES = 64 << 20
+STRING_BYTES = 128
 
 
-def small(df: DataFrame, rows: int | None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row count; otherwise leave the choice to AQE."""
-    if rows is not None and rows <= max_rows:
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of a row in memory: eight for each column and ``STRING_BYTES`` more for text."""
+    return 8 + sum(8 + (STRING_BYTES if t in ("string", "binary") else 0) for _, t in df.dtypes)
+
+
+def small(df: DataFrame, rows: int | None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only behind a checked size; otherwise leave the choice to AQE."""
+    if rows is not None and rows * row_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df
 

@@ -5,24 +5,18 @@ merge all of them in a single task -- fine for small domains (basket sizes,
 cart positions, department averages), not for per-customer rates at
 warehouse scale.  ``exact_quantile`` selects instead:
 
-1. one job: ``count`` and a ``percentile_approx`` sketch (fixed size,
-   merged map-side) at ``p - delta`` and ``p + delta``;  with relative
-   rank error ``1/accuracy`` and ``delta = 3/accuracy`` the exact
-   quantile's ranks lie inside the value band [lo, hi].  Its three
-   scalars become literals, so the band filter reaches the Parquet scan;
-2. one pass: values inside the band are grouped by value (a hot value
-   collapses to one row) and values below it are counted under one
-   NULL key of the same aggregate;
-3. a cumulative count over the band's distinct values -- at most about
-   ``2 * delta * n`` rows however large the table (all values when
-   ``n <= accuracy``, i.e. at most ``accuracy`` rows) -- gives each value's
-   rank range, and the two values around position ``p * (n - 1)`` are
-   interpolated linearly (``lo * (1 - d) + hi * d``).  That equals DuckDB's
-   ``quantile_cont`` exactly for medians and integer-valued data; for other
-   fractions DuckDB fuses the multiply-add, so the last bit may differ.
+1. a ``percentile_approx`` sketch (fixed size, merged map-side) of the values in the current band, asked a
+   little below and above the target ranks, gives a narrower band;
+2. one aggregate counts the rows below and inside the new band.  If the target ranks aren't inside, the
+   margin is doubled and the same band asked again;
+3. both repeat until the band holds at most ``accuracy`` rows or a single value.  Every round divides the
+   band by about ``accuracy / 6``, so there are two or three whatever the table's size;
+4. a cumulative count over the band's distinct values (``accuracy`` at most) finds the two values around
+   position ``p * (n - 1)``, which are interpolated linearly (``lo * (1 - d) + hi * d``).  That equals
+   DuckDB's ``quantile_cont`` exactly for medians and integer-valued data; for other fractions DuckDB fuses
+   the multiply-add, so the last bit may differ.
 
-If the band ever misses a target rank, the query fails loudly via
-``raise_error`` rather than returning a wrong value.
+Bands become literals, so their filters reach the Parquet scan.
 """
 
 from __future__ import annotations
@@ -39,35 +33,42 @@ def exact_quantile(df: DataFrame, column: str | Column, p: float, accuracy: int
                    alias: str = "q") -> DataFrame:
     """One row, one double column ``alias``: the linear-interpolated p-quantile of non-null values (NULL if none).
 
-    Runs the sketch job immediately (its result is three scalars); the
-    returned frame is the lazy selection over the band.
+    Runs the narrowing jobs immediately (each returns a few scalars); the returned frame is the lazy
+    selection over the last band.
     """
     spark = df.sparkSession
     x = (F.col(column) if isinstance(column, str) else column).cast("double")
     v = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    delta = 3.0 / accuracy
-    lo_p, hi_p = max(p - delta, 0.0), min(p + delta, 1.0)
-    row = v.agg(F.count(F.lit(1)).alias("n"),
-                F.percentile_approx("x", F.array(F.lit(lo_p), F.lit(hi_p)), accuracy).alias("b")).first()
-    n = int(row["n"])
+    xc = F.col("x")
+    n = v.count()
     if n == 0:
         return spark.createDataFrame([(None,)], f"{alias} double")
     h = (n - 1) * float(p)
     r0, r1 = math.floor(h), math.ceil(h)
     frac = h - r0
-    xc = F.col("x")
-    if n <= accuracy:
-        # one rank step can exceed the sketch margin: the band is every value (<= accuracy rows)
-        keyed = v.select(xc.alias("k"))
-    else:
-        lo, hi = float(row["b"][0]), float(row["b"][1])
-        # values below the band share the NULL key, so one aggregate yields the band and the count below it
-        keyed = v.filter(xc <= F.lit(hi)).select(F.when(xc < F.lit(lo), F.lit(None)).otherwise(xc).alias("k"))
-    counts = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("c"))
-    # the NULL key (values below the band) sorts first, so the running count over the band's distinct
-    # values already includes everything below it -- no nested subquery
-    w = Window.orderBy(F.col("k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("cum", F.sum("c").over(w)).filter(F.col("k").isNotNull())
+    band, below, inside, margin = v, 0, n, 3.0 / accuracy
+    while inside > accuracy:
+        lo_p, hi_p = max((r0 - below) / inside - margin, 0.0), min((r1 + 1 - below) / inside + margin, 1.0)
+        lo, hi = band.agg(F.percentile_approx("x", F.array(F.lit(lo_p), F.lit(hi_p)), accuracy)).first()[0]
+        lo_ok, hi_ok = lo_p == 0.0, hi_p == 1.0  # the band's own ends stay
+        got = band.agg(F.count_if(xc < lo).alias("less"), F.count_if(xc <= hi).alias("upto")).first()
+        less, upto = (0 if lo_ok else got["less"]), (inside if hi_ok else got["upto"])
+        if below + less > r0 or below + upto <= r1:
+            margin *= 2
+            continue
+        narrower = band
+        if not lo_ok:
+            narrower = narrower.filter(xc >= lo)
+        if not hi_ok:
+            narrower = narrower.filter(xc <= hi)
+        stuck = upto - less == inside
+        band, below, inside = narrower, below + less, upto - less
+        if lo == hi and not lo_ok and not hi_ok or stuck and margin * inside < 3:
+            break
+        margin = margin / 2 if stuck else 3.0 / accuracy
+    counts = band.groupBy(xc.alias("k")).agg(F.count(F.lit(1)).alias("c"))
+    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("cum", F.sum("c").over(w) + below)
     first = F.col("cum") - F.col("c")  # rank of the value's first copy
     last = F.col("cum") - 1
     picked = ranked.agg(
@@ -75,10 +76,7 @@ def exact_quantile(df: DataFrame, column: str | Column, p: float, accuracy: int
         F.max(F.when((first <= r1) & (F.lit(r1) <= last), F.col("k"))).alias("v1"),
     )
     value = F.col("v0") * F.lit(1.0 - frac) + F.col("v1") * F.lit(frac)
-    missed = F.col("v0").isNull() | F.col("v1").isNull()
-    return picked.select(
-        F.when(missed, F.raise_error(F.lit("exact_quantile: target rank outside the sketch band")).cast("double"))
-        .otherwise(value if frac else F.col("v0")).alias(alias))
+    return picked.select((value if frac else F.col("v0")).alias(alias))
 
 
 def exact_median(df: DataFrame, column: str | Column, alias: str = "median",

@@ -153,7 +153,12 @@ def orders_by_dow_raw(wh: Warehouse) -> DataFrame:
 
 def orders_by_dow_observed(wh: Warehouse) -> DataFrame:
     """Q5: distinct orders with items per dow (order grain already: no distinct needed)."""
-    return wh.order_features.groupBy("order_dow").agg(F.count("order_id").alias("order_count")).orderBy("order_dow")
+    return _baskets_with_time(wh).groupBy("order_dow").agg(F.count("order_id").alias("order_count")).orderBy("order_dow")
+
+
+def _baskets_with_time(wh: Warehouse) -> DataFrame:
+    """Orders that have items, with their time; items whose order is missing keep a NULL time."""
+    return wh.order_baskets.join(wh.stg_orders.select("order_id", "order_dow", "order_hour_of_day"), "order_id", "left")
 
 
 def orders_by_dow(wh: Warehouse) -> DataFrame:
@@ -235,14 +240,14 @@ def basket_bins(wh: Warehouse, width: int = BASKET_BIN_WIDTH, bins: int = BASKET
 
 def basket_by_dow(wh: Warehouse) -> DataFrame:
     """Q16: average basket and orders per dow (order grain mart, no item shuffle)."""
-    return (wh.order_features.groupBy("order_dow")
+    return (_baskets_with_time(wh).groupBy("order_dow")
             .agg(F.avg("basket_size").alias("avg_basket_size"), F.count(F.lit(1)).alias("order_count"))
             .orderBy("order_dow"))
 
 
 def basket_by_hour(wh: Warehouse) -> DataFrame:
     """Q17: average basket and orders per hour."""
-    return (wh.order_features.groupBy("order_hour_of_day")
+    return (_baskets_with_time(wh).groupBy("order_hour_of_day")
             .agg(F.avg("basket_size").alias("avg_basket_size"), F.count(F.lit(1)).alias("order_count"))
             .orderBy("order_hour_of_day"))
 
@@ -327,7 +332,7 @@ def dept_dow_share(wh: Warehouse, departments: Iterable[str] = ()) -> DataFrame:
     piv = c.groupBy("department_name").pivot("order_dow", list(range(7))).agg(F.sum("item_count"))
     cells = [F.coalesce(F.col(str(d)), F.lit(0)) for d in range(7)]
     total = sum(cells[1:], cells[0])
-    return piv.select("department_name", *[(cells[d] / total * 100.0).alias(f"d{d}") for d in range(7)],
+    return piv.select("department_name", *[(safe_ratio(cells[d], total) * 100.0).alias(f"d{d}") for d in range(7)],
                       total.alias("_total")).orderBy(F.col("_total").desc(), "department_name").drop("_total")
 
 
@@ -365,16 +370,18 @@ def product_cart_position_extremes(wh: Warehouse, n: int = 10) -> DataFrame:
 
 
 def top_products_order_gap(wh: Warehouse, n: int = 20) -> DataFrame:
-    """Q31: the n most-ordered names, shown with their average order gap."""
+    """Q31: the n most-ordered names with their average order gap, shortest gap first."""
     s = product_name_stats(wh).select("product_name", "item_count", "avg_days_since_prior")
-    return top_k(s, n, F.col("item_count").desc(), F.col("product_name").asc())
+    return top_k(s, n, F.col("item_count").desc(), F.col("product_name").asc()).orderBy(
+        F.col("avg_days_since_prior").asc_nulls_last(), "product_name")
 
 
 def order_gap_extremes(wh: Warehouse, n: int = 20, min_orders: int = 1000) -> DataFrame:
     """Q32: n shortest and n longest average gaps among names with >= min_orders items."""
     s = (product_name_stats(wh).filter(F.col("item_count") >= min_orders)
          .select("product_name", "item_count", "avg_days_since_prior"))
-    return two_sided(s, n, "avg_days_since_prior", "product_name", "Shortest cycle", "Longest cycle")
+    return two_sided(s, n, "avg_days_since_prior", "product_name", "Shortest cycle", "Longest cycle").orderBy(
+        F.col("avg_days_since_prior").asc_nulls_last(), "product_name", "group")
 
 
 def reorder_rate_extremes(wh: Warehouse, n: int = 5, min_orders: int = 1000) -> DataFrame:
@@ -384,7 +391,8 @@ def reorder_rate_extremes(wh: Warehouse, n: int = 5, min_orders: int = 1000) ->
     m = F.col("reorder_rate")
     hi = top_k(s, n, m.desc(), F.col("product_name").asc()).withColumn("group", F.lit("Most rebought"))
     lo = top_k(s, n, m.asc(), F.col("product_name").asc()).withColumn("group", F.lit("Least rebought"))
-    return hi.unionByName(lo).withColumn("reorder_rate_pct", percent("reorder_rate"))
+    return hi.unionByName(lo).withColumn("reorder_rate_pct", percent("reorder_rate")).orderBy(
+        F.col("reorder_rate").asc_nulls_last(), "product_name", "group")
 
 
 def top_products_by_name(wh: Warehouse, n: int = 20) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trolley.functions.columns import safe_ratio
 from trolley.functions.quantiles import exact_quantile
 from trolley.plans.warehouse import Warehouse
 from trolley.sources.schemas import RAW_KEYS, RAW_TABLES, type_name
@@ -34,7 +35,7 @@ def profile_missing(wh: Warehouse) -> DataFrame:
         parts.append(long.select(
             F.lit(t).alias("table_name"), "column_name", "data_type", F.col("_n").alias("total_rows"), "non_null",
             (F.col("_n") - F.col("non_null")).alias("missing"),
-            F.round((F.col("_n") - F.col("non_null")) / F.col("_n") * 100.0, 2).alias("missing_pct")))
+            F.round(safe_ratio(F.col("_n") - F.col("non_null"), F.col("_n")) * 100.0, 2).alias("missing_pct")))
     return _union(parts)
 
 
@@ -70,22 +71,21 @@ IQR_COLUMNS = (("orders", "order_number"), ("orders", "days_since_prior_order"),
 def iqr_outliers(wh: Warehouse, columns=IQR_COLUMNS, k: float = 1.5) -> DataFrame:
     """T4/F8: Q1, Q3, IQR, Tukey fences and the count/% of values outside them (flagged, never removed).
 
-    Exact linear-interpolated quartiles: the profiled measures are small
-    integer domains (order number, gap days, cart position), so the
-    percentile buffer holds at most a few hundred distinct values.
+    Exact linear-interpolated quartiles by sketch-bounded selection: an order
+    number has as many values as the busiest user has orders.
     """
     parts = []
     for t, c in columns:
         x = F.col(c).cast("double")
         df = wh.raw(t)
-        q1, q3 = df.agg(F.percentile(x, 0.25)).scalar(), df.agg(F.percentile(x, 0.75)).scalar()
+        q1, q3 = exact_quantile(df, x, 0.25).scalar(), exact_quantile(df, x, 0.75).scalar()
         iqr = q3 - q1
         lower, upper = q1 - k * iqr, q3 + k * iqr
         counts = df.agg(F.count_if((x < lower) | (x > upper)).alias("outlier_count"), F.count(F.lit(1)).alias("_n"))
         parts.append(counts.select(
             F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), q1.alias("q1"), q3.alias("q3"),
             iqr.alias("iqr"), lower.alias("lower"), upper.alias("upper"),
-            "outlier_count", F.round(F.col("outlier_count") / F.col("_n") * 100.0, 2).alias("outlier_pct")))
+            "outlier_count", F.round(safe_ratio(F.col("outlier_count"), F.col("_n")) * 100.0, 2).alias("outlier_pct")))
     return _union(parts)
 
 

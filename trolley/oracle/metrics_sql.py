@@ -152,6 +152,8 @@ def metric_sql(min_orders: int, hist_bins) -> dict[str, str]:
                      CAST(sum(reordered_count) AS BIGINT) AS reordered_count
               FROM product_metrics GROUP BY aisle_id, aisle)""")
     q["dept_dow_counts"] = sql("SELECT department_name, order_dow, item_count FROM dept_dow", [DEPT_DOW])
+    q["dept_dow_counts_of"] = sql(
+        "SELECT department_name, order_dow, item_count FROM dept_dow WHERE department_name IN ('ECONOMY', 'PROMO')", [DEPT_DOW])
     cols = ", ".join(f"coalesce(sum(item_count) FILTER (WHERE order_dow = {d}), 0) AS c{d}" for d in range(7))
     total = " + ".join(f"c{d}" for d in range(7))
     shares = ", ".join(f"c{d} / ({total}) * 100.0 AS d{d}" for d in range(7))
@@ -206,6 +208,7 @@ def metric_sql(min_orders: int, hist_bins) -> dict[str, str]:
         FROM product_metrics""")
     q["department_products"] = _rank_both(
         ("chosen", "SELECT department_name FROM dept ORDER BY item_count DESC, department_name LIMIT 1"), 5)
+    q["department_products_of"] = _rank_both(("chosen", "SELECT 'ECONOMY' AS department_name"), 5)
     q["top_products_in_top_departments"] = _rank_both(
         ("chosen", "SELECT department_name FROM dept ORDER BY item_count DESC, department_name LIMIT 5"), 5)
     q["customer_orders_stats"] = _stats("dim_user", "total_orders")

@@ -28,9 +28,14 @@ def sources_sql(models: dict[str, str]) -> dict[str, str]:
     q["write_parquet"] = sql("SELECT * FROM dim_product")
     q["write_csv"] = sql("SELECT * FROM dim_user")
     q["write_append"] = models["fact_order_item"]
-    q["upsert_merge"] = models["fact_order_item"]
-    sub = "WHERE order_id IN (SELECT order_id FROM raw_orders WHERE user_id <= 20000)"
-    q["export_user_subset"] = sql(_counts({"orders": "WHERE user_id <= 20000", "order_products_prior": sub,
+    q["upsert_merge"] = sql("""
+        SELECT order_id, product_id, add_to_cart_order,
+               CASE WHEN add_to_cart_order = 1 THEN 1 - reordered ELSE reordered END AS reordered
+        FROM raw_order_products_prior
+        UNION ALL
+        SELECT order_id, product_id, add_to_cart_order, reordered FROM raw_order_products_train""")
+    sub = "WHERE order_id IN (SELECT order_id FROM raw_orders WHERE user_id <= 100)"
+    q["export_user_subset"] = sql(_counts({"orders": "WHERE user_id <= 100", "order_products_prior": sub,
                                            "order_products_train": sub}))
     q["table_copy"] = sql("SELECT * FROM raw_orders")
     q["incremental_load"] = sql("SELECT * FROM raw_orders")

@@ -18,6 +18,7 @@ import warnings
 from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,12 +116,9 @@ class Warehouse:
         return total
 
     def _bucket_count(self, target_bytes: int = 256 << 20) -> int:
-        """min(shuffle partitions, max(default parallelism, input bytes / 256 MB)): enough buckets to
-        keep each near a normal partition's size, never more than the shuffle width."""
-        sc = self.spark.sparkContext
-        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        """Input bytes / 256 MB, at least the default parallelism: a bucket's size does not grow with the input."""
         by_size = -(-self.input_bytes() // target_bytes)
-        return max(1, min(shuffle, max(sc.defaultParallelism, by_size)))
+        return max(1, self.spark.sparkContext.defaultParallelism, by_size)
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -162,8 +160,8 @@ class Warehouse:
                             .saveAsTable(table)
                         self._tables[name] = self.spark.table(table)
                         done = True
-                    except Exception as exc:  # noqa: BLE001 -- e.g. a read-only catalogue: bucketing is an optimisation
-                        warnings.warn(f"bucketed write of {name} failed ({type(exc).__name__}); writing plain Parquet")
+                    except AnalysisException as exc:  # the catalogue refuses the table; nothing was written yet
+                        warnings.warn(f"bucketed write of {name} refused ({type(exc).__name__}); writing plain Parquet")
                         writer = df.write.mode("overwrite")
                         if partition_by:
                             writer = writer.partitionBy(partition_by)
@@ -194,6 +192,40 @@ class Warehouse:
             self._rows[key] = self.raw(name).count()
         return self._rows[key]
 
+    def source(self, name: str) -> DataFrame:
+        """A raw table as its source holds it now: never the written copy that the models read."""
+        if self._raw_override is not None:
+            return self._raw_override[name]
+        if self._files is not None:
+            from trolley.sources.files import ingest_file
+            return ingest_file(self.spark, self._files[name], name, self._file_format)
+        if name in ("aisles", "departments", "products"):
+            return driver.derive_catalogue(self.spark, self.sf_dir)[name]
+        orders = driver.derive_orders(self.spark, self.sf_dir)
+        if name == "orders":
+            return orders
+        part_product = driver.derive_catalogue(self.spark, self.sf_dir)["_part_product"]
+        items = driver.derive_items(self.spark, self.sf_dir, orders, part_product)
+        return items.filter(F.col("eval_set") == name.rsplit("_", 1)[1]).drop("eval_set")
+
+    def written(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` as it is now, written to a folder of its own and read back."""
+        out = self.path("reports", f"{name}-{uuid.uuid4().hex[:8]}")
+        df.write.parquet(out)
+        return self.spark.read.schema(df.schema).parquet(out)
+
+    def close(self) -> None:
+        """Drop this warehouse's catalogue tables and delete its folder."""
+        for name in list(self._tables):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_prefix}{name}")
+        self._tables.clear()
+        self._rows.clear()
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        with _LOCK:
+            for key in [k for k, wh in _CACHE.items() if wh is self]:
+                del _CACHE[key]
+
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose raw tables, staging views and marts as temp views (the catalogue of S16/S20)."""
         from trolley.sources.schemas import RAW_TABLES as raw_names
@@ -284,7 +316,8 @@ class Warehouse:
     # ------------------------------------------------------------ dbt marts
     @property
     def fact_order_items(self) -> DataFrame:
-        return self.materialise("fact_order_items", lambda: mt.fact_order_items(self.int_order_items_enriched))
+        return self.materialise("fact_order_items", lambda: mt.fact_order_items(self.int_order_items_enriched),
+                                bucket_by="order_id")
 
     # Projection marts are views over the written raw tables: a second copy would add a write and,
     # for dim_orders, lose the order_id bucketing that its uniqueness check and joins use.
@@ -331,7 +364,7 @@ class Warehouse:
     @property
     def fact_order(self) -> DataFrame:
         return self.materialise("fact_order", lambda: mt.fact_order(
-            self.stg_orders, self.dim_order_slot, self.order_baskets, self.rows("dim_order_slot")))
+            self.stg_orders, self.dim_order_slot, self.order_baskets, self.rows("dim_order_slot")), bucket_by="order_id")
 
     @property
     def fact_order_item(self) -> DataFrame:
@@ -339,7 +372,8 @@ class Warehouse:
 
     @property
     def order_features(self) -> DataFrame:
-        return self.materialise("order_features", lambda: fe.order_features(self.stg_orders, self.order_baskets))
+        return self.materialise("order_features", lambda: fe.order_features(self.stg_orders, self.order_baskets),
+                                bucket_by="order_id")
 
     @property
     def customer_order_features(self) -> DataFrame:

@@ -10,11 +10,12 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.plans.warehouse import Warehouse
-from trolley.sources.schemas import RAW_SCHEMAS, RAW_TABLES
+from trolley.sources.schemas import RAW_KEYS, RAW_SCHEMAS, RAW_TABLES
 
 # ----------------------------------------------------------------- landing / ingest
 
@@ -55,10 +56,10 @@ def ingest_infer(spark: SparkSession, path: str) -> DataFrame:
     return csv_reader(spark).option("inferSchema", True).csv(path)
 
 
-def ingest_typed(spark: SparkSession, path: str, table: str, null_value: str = "") -> DataFrame:
-    """CSV with the declared schema (no inference pass); empty cells and ``NaN`` are NULL."""
-    return (csv_reader(spark).option("nullValue", null_value).option("nanValue", "NaN")
-            .schema(RAW_SCHEMAS[table]).csv(path))
+def ingest_typed(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """CSV with the declared schema (no inference pass); a malformed cell fails the job, empty cells and
+    ``NaN`` are NULL."""
+    return ingest_file(spark, path, table)
 
 
 def ingest_file(spark: SparkSession, path: str, table: str, file_format: str = "csv",
@@ -88,10 +89,12 @@ def load_raw(wh: Warehouse, typed: bool = True) -> dict[str, DataFrame]:
 
 
 def ingest_row_counts(wh: Warehouse) -> DataFrame:
-    """Rows per loaded table (one count job per table, unioned)."""
-    loaded = load_raw(wh)
-    parts = [loaded[t].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-             for t in RAW_TABLES]
+    """Rows per table in the source itself (not in the loaded copy)."""
+    return _counts({t: wh.source(t) for t in RAW_TABLES}, "row_count")
+
+
+def _counts(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    parts = [df.agg(F.count(F.lit(1)).alias(name)).select(F.lit(t).alias("table_name"), name) for t, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -99,13 +102,9 @@ def ingest_row_counts(wh: Warehouse) -> DataFrame:
 
 
 def count_reconciliation(wh: Warehouse) -> DataFrame:
-    """Landed (source) vs warehouse (loaded) row counts per table with PASS/FAIL."""
+    """Source vs warehouse (loaded) row counts per table with PASS/FAIL."""
     src = ingest_row_counts(wh).withColumnRenamed("row_count", "source_rows")
-    parts = [wh.raw(t).agg(F.count(F.lit(1)).alias("loaded_rows")).select(F.lit(t).alias("table_name"), "loaded_rows")
-             for t in RAW_TABLES]
-    loaded = parts[0]
-    for p in parts[1:]:
-        loaded = loaded.unionByName(p)
+    loaded = _counts({t: wh.raw(t) for t in RAW_TABLES}, "loaded_rows")
     return src.join(loaded, "table_name", "full").select(
         "table_name", "source_rows", "loaded_rows",
         F.when(F.col("source_rows") == F.col("loaded_rows"), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"))
@@ -209,10 +208,12 @@ def last_per_key(df: DataFrame, keys: list[str], payload: list[str], order_col:
 
 
 def upsert_merge(wh: Warehouse) -> DataFrame:
-    """Upsert the full item fact (composite key) over the prior-only load: the result is the full fact."""
+    """Upsert a later extract (composite key) over the prior items: the train items are new, the first item of
+    each prior order has a corrected flag, and all other rows stay as they are."""
     cols = ["order_id", "product_id", "add_to_cart_order", "reordered"]
     existing = wh.stg_order_products_prior.select(*cols)
-    batch = wh.fact_order_item.select(*cols).withColumn("_seq", F.lit(1))
+    corrected = existing.filter(F.col("add_to_cart_order") == 1).withColumn("reordered", 1 - F.col("reordered"))
+    batch = wh.stg_order_products_train.select(*cols).unionByName(corrected).withColumn("_seq", F.lit(1))
     return upsert(existing, batch, ["order_id", "product_id"], order_col="_seq")
 
 
@@ -220,9 +221,16 @@ def upsert_merge(wh: Warehouse) -> DataFrame:
 
 
 def table_copy(wh: Warehouse, table: str = "orders", batch_rows: int = 100_000) -> DataFrame:
-    """Warehouse-to-warehouse copy, appended (not overwritten) in files of at most ``batch_rows``."""
-    out = wh.path("copy", f"{table}-{uuid.uuid4().hex[:8]}")
-    wh.raw(table).write.mode("append").option("maxRecordsPerFile", batch_rows).parquet(out)
+    """Warehouse-to-warehouse copy in files of at most ``batch_rows``: rows whose key the target already
+    holds stay, the others are appended (nothing is overwritten)."""
+    out, keys = wh.path("copy", table), list(RAW_KEYS[table])
+    rows = wh.raw(table)
+    try:
+        rows = rows.join(wh.spark.read.parquet(out).select(*keys), keys, "left_anti").select(*rows.columns)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    rows.write.mode("append").option("maxRecordsPerFile", batch_rows).parquet(out)
     return wh.spark.read.parquet(out)
 
 
@@ -233,10 +241,9 @@ LOG_SCHEMA = ("run_id string, table_name string, status string, actual_rows bigi
 
 
 def write_ingestion_log(wh: Warehouse, expected: dict[str, int] | None = None) -> str:
-    """Append one log row per raw table for a new run; expected = source (landed) counts."""
+    """Append one log row per raw table for a new run; expected = the source's own counts."""
     run_id = uuid.uuid4().hex
-    loaded = ingest_row_counts(wh)
-    src = {r.table_name: r.row_count for r in loaded.collect()}  # six rows
+    src = {r.table_name: r.row_count for r in ingest_row_counts(wh).collect()}  # six rows
     rows = []
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     for t in RAW_TABLES:
@@ -301,16 +308,12 @@ def schema_contract(wh: Warehouse, expected=None) -> DataFrame:
 
 
 def row_count_contract(wh: Warehouse, expected: dict[str, int] | None = None) -> DataFrame:
-    """Exact expected row counts (default: the landed source counts) vs the loaded tables."""
+    """Exact expected row counts (default: the source's own counts) vs the loaded tables."""
     src = expected
     if src is None:
         src = {r.table_name: r.row_count for r in ingest_row_counts(wh).collect()}  # six rows
     exp = wh.spark.createDataFrame(list(src.items()), "table_name string, expected_rows bigint")
-    parts = [wh.raw(t).agg(F.count(F.lit(1)).alias("actual_rows")).select(F.lit(t).alias("table_name"), "actual_rows")
-             for t in RAW_TABLES]
-    act = parts[0]
-    for p in parts[1:]:
-        act = act.unionByName(p)
+    act = _counts({t: wh.raw(t) for t in RAW_TABLES}, "actual_rows")
     return exp.join(act, "table_name", "full").select(
         "table_name", "expected_rows", "actual_rows",
         F.when(F.col("expected_rows") == F.col("actual_rows"), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"))

@@ -39,9 +39,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
 
 
-def drop_items(wh: Warehouse, files: int = 8) -> str:
-    """Land the item fact as ``files`` Parquet files; rows are spread round-robin,
-    so one order's items land in different files (the straddling case)."""
+FILE_BYTES = 64 << 20
+
+
+def drop_items(wh: Warehouse, least: int = 8) -> str:
+    """Land the item fact as Parquet files of about ``FILE_BYTES`` of input each (at least ``least`` files);
+    rows are spread round-robin, so one order's items land in different files (the straddling case)."""
+    files = max(least, -(-wh.input_bytes() // FILE_BYTES))
     path = wh.path("drop", "items")
     with wh._name_lock("_items_dropped"):
         if not getattr(wh, "_items_dropped", False):
@@ -110,7 +114,8 @@ def stream_pair_counts(wh: Warehouse, k: int = AFFINITY_PRODUCTS, files_per_trig
     spark = wh.spark
     top = top_k_products(wh, k).select("product_id")
     top_path = wh.path("stream", f"pairs_top{k}")
-    top.write.mode("overwrite").parquet(top_path)  # k rows, fixed for the run
+    if not _exists(spark, f"{top_path}/_SUCCESS"):  # k rows, fixed at the first start: counts and seen items refer to it
+        top.write.mode("overwrite").parquet(top_path)
     seen_base = wh.path("stream", f"pairs_seen{k}")
     counts_base = wh.path("stream", f"pairs_counts{k}")
 
