@@ -29,6 +29,7 @@ SAMPLE_BYTES = 8000
 PIECE_BYTES = 2048
 DICTIONARY_BYTES = 64 << 10
 THRESHOLD = 0.3
+RIDGE = 1.0
 
 
 def fold(doc_id: str, parts: int):
@@ -94,14 +95,20 @@ def fit(sample: list[tuple[bytes, int]]) -> dict | None:
     y = np.array([q for _, q in calibrate], float)
     X, w = design(x), np.zeros(5)
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)  # both labels count alike
-    for _ in range(40):  # Newton's method with a small ridge
+    def loss(w: np.ndarray) -> float:
+        z = X @ w
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + 0.5 * RIDGE * (w @ w))
+
+    for _ in range(60):  # Newton's method; a step is halved until it lowers the loss
         p = 1 / (1 + np.exp(-np.clip(X @ w, -30, 30)))
-        grad = X.T @ (weight * (y - p)) - 0.1 * w
-        hess = (X * (weight * p * (1 - p))[:, None]).T @ X + 0.1 * np.eye(5)
-        step = np.linalg.solve(hess, grad)
-        w = w + step
-        if np.abs(step).max() < 1e-9:
+        grad = X.T @ (weight * (y - p)) - RIDGE * w
+        step = np.linalg.solve((X * (weight * p * (1 - p))[:, None]).T @ X + RIDGE * np.eye(X.shape[1]), grad)
+        now, size = loss(w), 1.0
+        while size > 1e-6 and not loss(w + size * step) < now:
+            size /= 2
+        if size <= 1e-6:
             break
+        w = w + size * step
     return {"good": good, "bad": bad, "w": w}
 
 
