@@ -223,7 +223,7 @@ def test_decontamination_finds_pasted_items(spark, odd, empty):
     assert decontam.contaminated(empty, bench).count() == 0 and decontam.contaminated(df, bench.limit(0)).count() == 0
 
 
-def test_search_equals_scoring_every_item():
+def test_search_equals_scoring_every_item(monkeypatch):
     r = random.Random(1)
     items = [(i, " ".join(f"t{r.randrange(60)}" for _ in range(r.randrange(3, 12)))) for i in range(400)]
     index = decontam.Index(items)
@@ -233,6 +233,9 @@ def test_search_equals_scoring_every_item():
     for _ in range(60):
         query = r.sample(range(len(index.terms)), min(len(index.terms), r.randrange(1, 40)))
         want = full[query].sum(0)
+        monkeypatch.setattr(decontam, "THRESHOLD", 0.5)
+        many = index.retrieve(np.full(len(query), 5), np.sort(query))
+        assert sorted(i for _, x in many for i, _ in x) == np.flatnonzero(want >= 0.5 - 1e-9).tolist()
         found = index.search(query, 0.5)
         assert sorted(i for i, _ in found) == np.flatnonzero(want >= 0.5 - 1e-9).tolist()
         assert all(abs(min(1, want[i]) - s) < 1e-9 for i, s in found)

@@ -7,9 +7,11 @@ impact.  Impacts are BM25 weights divided by the item's own total, so a score of
 all of an item's words, and one threshold serves items of any length.
 
 Passages are overlapping windows of a whole text, twice as long as the longest item, so an item that was
-pasted into a text lies whole within one.  Every passage is a query.  A passage whose terms' upper bounds
-don't add up to the threshold can't retrieve anything (the WAND test for the whole index, done for all
-passages at once); the others run block-max WAND and retrieve all items at or above the threshold.  A
+pasted into a text lies whole within one.  Every passage is a query; items are in blocks of like length.  The
+passages of a piece of text are searched together: a block is opened only for the passages whose terms'
+block maxima add up to the threshold (block-max WAND's test), and opened blocks give exact scores, so all
+items at or above the threshold are retrieved.  ``Index.search`` is the same search for one query, list by
+list with pivots.  A
 retrieved item is confirmed if both its question (all but the last sentence; of a single sentence the first
 two thirds) and its answer (the rest) have enough of their word trigrams in the passage.
 
@@ -33,7 +35,8 @@ from trolley.llm.common import mix, pick, pieces, utf8, words
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP = 0.6
-BLOCK = 64
+BLOCK = 8
+CELLS = 4_000_000
 SHARD_BYTES = 16 << 20
 SHORTEST_PASSAGE = 64
 
@@ -54,6 +57,13 @@ def trigrams(h: np.ndarray) -> np.ndarray:
     return np.unique(mix(h[:-2] * np.uint64(3) + mix(h[1:-1] * np.uint64(5) + mix(h[2:]))))
 
 
+def spread(start: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all entries of the lists, and for each the list's place in ``lists``."""
+    n = start[lists + 1] - start[lists]
+    of = np.repeat(np.arange(len(lists)), n)
+    return np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + start[lists][of], of
+
+
 def split_item(text: str) -> tuple[str, str]:
     """(question, answer)."""
     at = [m.end() for m in re.finditer(r"[.!?]\s+", text.rstrip())]
@@ -76,6 +86,8 @@ class Index:
                 self.ids.append(item_id)
                 self.parts.append((trigrams(q), trigrams(a)))
                 bags.append(np.unique(h, return_counts=True))
+        order = sorted(range(len(bags)), key=lambda i: int(bags[i][1].sum()))  # blocks of items of like length have tight maxima
+        self.ids, self.parts, bags = ([x[i] for i in order] for x in (self.ids, self.parts, bags))
         n = len(bags)
         self.longest = max([int(c.sum()) for _, c in bags], default=0)
         self.terms = np.unique(np.concatenate([np.zeros(0, np.uint64), *[t for t, _ in bags]]))
@@ -92,6 +104,17 @@ class Index:
         self.block_max = [np.maximum.reduceat(w, np.arange(0, len(w), BLOCK)) for _, w in self.lists]
         self.block_last = [i[np.minimum(np.arange(BLOCK - 1, len(i) + BLOCK - 1, BLOCK), len(i) - 1)] for i, _ in self.lists]
         self.upper = np.array([w.max() for _, w in self.lists])
+        # the same lists end to end, for many passages at once: postings, and each term's blocks with their maxima
+        self.post_from = np.concatenate([[0], np.cumsum([len(i) for i, _ in self.lists])]).astype(np.int64)
+        self.post_item = np.concatenate([np.zeros(0, np.int64), *[i for i, _ in self.lists]])
+        self.post_weight = np.concatenate([np.zeros(0), *[w for _, w in self.lists]])
+        owner = np.repeat(np.arange(len(self.lists)), np.diff(self.post_from))
+        cell = owner * (n // BLOCK + 1) + self.post_item // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else cell
+        self.cell_max = np.maximum.reduceat(self.post_weight, first) if len(cell) else np.zeros(0)
+        self.cell_block = self.post_item[first] // BLOCK
+        self.cell_from = np.searchsorted(owner[first], np.arange(len(self.lists) + 1))
+        self.blocks = n // BLOCK + 1
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All (item, score) with score >= threshold for a query of distinct terms, by block-max WAND."""
@@ -133,6 +156,36 @@ class Index:
                 if self.lists[t][0][at[t]] < to:
                     at[t] += int(np.searchsorted(self.lists[t][0][at[t]:], to))
 
+    def retrieve(self, window: np.ndarray, term: np.ndarray) -> list[tuple[int, list[tuple[int, float]]]]:
+        """(window, [(item, score)]) with scores >= THRESHOLD, of sorted distinct (window, term) pairs.
+
+        Block-max pruning for many passages at once: a block of items is opened only for the passages whose
+        terms' maxima in that block add up to the threshold; opened blocks are scored in full."""
+        out, least = [], THRESHOLD - 1e-9
+        name, start, local = np.unique(window, return_index=True, return_inverse=True)
+        start = np.append(start, len(window))
+        batch = max(1, CELLS // self.blocks)
+        for lo in range(0, len(name), batch):
+            hi = min(lo + batch, len(name))
+            a, b = start[lo], start[hi]
+            t, wl = term[a:b], local[a:b] - lo
+            at, of = spread(self.cell_from, t)
+            bound = np.bincount(wl[of] * self.blocks + self.cell_block[at], self.cell_max[at], (hi - lo) * self.blocks)
+            opened = bound >= least
+            alive = np.flatnonzero(opened.reshape(-1, self.blocks).any(1)[wl])
+            if not len(alive):
+                continue
+            at, of = spread(self.post_from, t[alive])
+            item, row = self.post_item[at], wl[alive][of]
+            use = opened[row * self.blocks + item // BLOCK]
+            pair, inverse = np.unique(row[use] * len(self.ids) + item[use], return_inverse=True)
+            score = np.bincount(inverse, self.post_weight[at][use], len(pair))
+            found: dict[int, list] = {}
+            for p, x in zip(pair[score >= least].tolist(), score[score >= least].tolist()):
+                found.setdefault(p // len(self.ids), []).append((p % len(self.ids), min(x, 1.0)))
+            out += [(int(name[lo + r]), x) for r, x in found.items()]
+        return out
+
     def matches(self, h: np.ndarray, off: np.ndarray) -> list[tuple[int, int, float, float, float, int]]:
         """(text, item, best score, question overlap, answer overlap, passages) of confirmed matches."""
         if not len(self.terms):
@@ -149,17 +202,12 @@ class Index:
         size = np.int64(len(self.terms))
         key = np.unique(np.concatenate([window * size + at[hit], (window + 1) * size + at[hit]]))  # window w covers steps w - 1 and w
         w = key // size
-        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-        bound = np.add.reduceat(self.upper[key % size], first)
+        term = key % size
         best: dict[tuple[int, int], list] = {}
-        ends = np.append(first[1:], len(key))
-        for k in np.flatnonzero(bound >= THRESHOLD - 1e-9):
-            found = self.search((key[first[k]:ends[k]] % size).tolist(), THRESHOLD)
-            if not found:
-                continue
-            d = int(np.searchsorted(steps, w[first[k]], "right") - 1)
-            begin = off[d] + max(0, int(w[first[k]] - steps[d]) - 1) * half
-            passage = h[begin:min(off[d + 1], off[d] + (int(w[first[k]] - steps[d]) + 1) * half)]
+        for k, found in self.retrieve(w, term):
+            d = int(np.searchsorted(steps, k, "right") - 1)
+            step = int(k - steps[d])
+            passage = h[off[d] + max(0, step - 1) * half:min(off[d + 1], off[d] + (step + 1) * half)]
             have = np.union1d(trigrams(passage), passage)
             for item, score in found:
                 q, a = (len(np.intersect1d(p, have, assume_unique=True)) / len(p) if len(p) else 1.0 for p in self.parts[item])
