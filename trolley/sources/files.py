@@ -285,26 +285,36 @@ def check_ingestion_log(wh: Warehouse, write: bool = True) -> DataFrame:
 
 
 def catalog_listing(wh: Warehouse) -> DataFrame:
-    """Registered tables and views (metadata only)."""
-    names = wh.register_views()
-    meta = {t.name: t for t in wh.spark.catalog.listTables()}
-    rows = [(n, meta[n].tableType if n in meta else None, bool(meta[n].isTemporary) if n in meta else None)
-            for n in names]
-    return wh.spark.createDataFrame(rows, "table_name string, table_type string, is_temporary boolean")
+    """The registered tables and views with their type and row count."""
+    wh.register_views()
+    parts = [wh.spark.table(t.name).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(t.name).alias("table_name"), F.lit(t.tableType).alias("table_type"), F.lit(t.isTemporary).alias("is_temporary"), "row_count")
+        for t in wh.spark.catalog.listTables() if t.isTemporary and t.name.startswith("raw_")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def schema_contract(wh: Warehouse, expected=None) -> DataFrame:
-    """Declared column -> type map vs what the loaded tables carry (missing, extra, mismatched)."""
+    """Declared column -> type map vs what the loaded tables carry (missing, extra, mismatched), with the
+    number of non-null values that each column really holds."""
     expected = expected or RAW_SCHEMAS
-    rows = []
+    parts = []
     for t in RAW_TABLES:
-        actual = {f.name: f.dataType.simpleString() for f in wh.raw(t).schema.fields}
+        df = wh.raw(t)
+        actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         exp = {f.name: f.dataType.simpleString() for f in expected[t].fields}
-        for c in sorted(set(actual) | set(exp)):
-            a, e = actual.get(c), exp.get(c)
-            rows.append((t, c, e, a, "PASS" if a == e else "FAIL"))
-    return wh.spark.createDataFrame(
-        rows, "table_name string, column_name string, expected_type string, actual_type string, status string")
+        names = sorted(set(actual) | set(exp))
+        held = df.agg(*[(F.count(c) if c in actual else F.lit(0)).cast("bigint").alias(f"n{i}") for i, c in enumerate(names)])
+        lines = [F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.lit(exp.get(c)).cast("string").alias("expected_type"),
+                          F.lit(actual.get(c)).cast("string").alias("actual_type"), F.lit("PASS" if actual.get(c) == exp.get(c) else "FAIL").alias("status"),
+                          F.col(f"n{i}").alias("values")) for i, c in enumerate(names)]
+        parts.append(held.select(F.explode(F.array(*lines)).alias("x")).select("x.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def row_count_contract(wh: Warehouse, expected: dict[str, int] | None = None) -> DataFrame:

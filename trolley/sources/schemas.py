@@ -68,16 +68,6 @@ RAW_KEYS: dict[str, tuple[str, ...]] = {
     "order_products_train": ("order_id", "product_id"),
 }
 
-# Columns that must never be NULL (days_since_prior_order is NULL on first orders).
-REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
-    "aisles": ("aisle_id", "aisle"),
-    "departments": ("department_id", "department"),
-    "products": ("product_id", "product_name", "aisle_id", "department_id"),
-    "orders": ("order_id", "user_id", "eval_set", "order_number", "order_dow", "order_hour_of_day"),
-    "order_products_prior": ("order_id", "product_id", "add_to_cart_order", "reordered"),
-    "order_products_train": ("order_id", "product_id", "add_to_cart_order", "reordered"),
-}
-
 
 def type_name(dt: T.DataType) -> str:
     """Short SQL-ish type name used in contracts and profiles."""
