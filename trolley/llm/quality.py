@@ -1,7 +1,8 @@
 """Quality by compression: one zstandard dictionary is built from good labelled text, one from bad.
 
 A text is cut into pieces of 2 KB (all of it); each piece is compressed with either dictionary.  The
-difference of the two compressed sizes over their sum, and the ratio of the better one to the text's size,
+difference of the two compressed sizes over their sum, and the ratio of the larger one to the text's size,
+are clipped to the range of the texts that calibrate (a text that is in a dictionary lies far beyond it) and
 go through a logistic regression fitted on labelled texts that the dictionaries haven't seen.
 
 Fitted on a bounded sample: at most ``SAMPLE`` labelled rows of each label (those with the smallest md5 of
@@ -51,13 +52,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, parts: int, held_out: in
 
 
 def features(data: bytes, good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor) -> tuple[float, float]:
-    """(normalised difference of compressed sizes, better size over the text's size)."""
+    """(normalised difference of compressed sizes, larger size over the text's size)."""
     g = b = 0
     for i in range(0, len(data), PIECE_BYTES):
         piece = data[i:i + PIECE_BYTES]
         g += len(good.compress(piece))
         b += len(bad.compress(piece))
-    return ((b - g) / (b + g), min(b, g) / len(data)) if data else (0.0, 1.0)
+    return ((b - g) / (b + g), max(b, g) / len(data)) if data else (0.0, 1.0)
 
 
 def compressors(good: bytes, bad: bytes) -> list[zstandard.ZstdCompressor]:
@@ -93,7 +94,8 @@ def fit(sample: list[tuple[bytes, int]]) -> dict | None:
     calibrate = [(t, q) for q in (0, 1) for t in by[q][1::2]]
     x = np.array([features(t, *tools) for t, _ in calibrate])
     y = np.array([q for _, q in calibrate], float)
-    X, w = design(x), np.zeros(5)
+    low, high = np.percentile(x, [0.5, 99.5], axis=0)
+    X, w = design(np.clip(x, low, high)), np.zeros(5)
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)  # both labels count alike
     def loss(w: np.ndarray) -> float:
         z = X @ w
@@ -109,7 +111,7 @@ def fit(sample: list[tuple[bytes, int]]) -> dict | None:
         if size <= 1e-6:
             break
         w = w + size * step
-    return {"good": good, "bad": bad, "w": w}
+    return {"good": good, "bad": bad, "w": w, "low": low, "high": high}
 
 
 def score_texts(model: dict | None, texts: list[bytes], tools=None) -> np.ndarray:
@@ -117,7 +119,7 @@ def score_texts(model: dict | None, texts: list[bytes], tools=None) -> np.ndarra
         return np.full(len(texts), 0.5)
     tools = tools or compressors(model["good"], model["bad"])
     x = np.array([features(t, *tools) for t in texts]).reshape(-1, 2)
-    return 1 / (1 + np.exp(-np.clip(design(x) @ model["w"], -30, 30)))
+    return 1 / (1 + np.exp(-np.clip(design(np.clip(x, model["low"], model["high"])) @ model["w"], -30, 30)))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0) -> DataFrame:
