@@ -94,6 +94,8 @@ def registry() -> dict[str, Query]:
         "coerce_strict": _wh(partial(io.coerce_landed, strict=True)),
         "count_reconciliation": _wh(io.count_reconciliation),
         "write_parquet": _wh(io.read_back_parquet),
+        "write_tables": _wh(io.write_tables),
+        "load_tables": _wh(inc.load_tables),
         "write_csv": _wh(io.read_back_csv),
         "write_append": _wh(io.append_items),
         "export_user_subset": _wh(io.export_user_subset, small={"max_user_id": SMALL_USER}),
@@ -141,6 +143,7 @@ def registry() -> dict[str, Query]:
         "peak_slot": _wh(m.peak_slot),
         "orders_by_dow_daypart": _wh(m.orders_by_dow_daypart),
         "basket_stats": _wh(m.basket_stats),
+        "basket_histogram": _wh(m.basket_histogram),
         "basket_distribution": _wh(m.basket_distribution),
         "basket_bins": _wh(m.basket_bins),
         "basket_by_dow": _wh(m.basket_by_dow),

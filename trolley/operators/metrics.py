@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from trolley.functions.columns import equal_width_bin, percent, safe_ratio
 from trolley.functions.joins import small
-from trolley.functions.quantiles import exact_median
+from trolley.functions.quantiles import exact_median, exact_quantile
 from trolley.functions.ranking import top_k, top_n_per_group, two_sided
 from trolley.plans.warehouse import Warehouse
 
@@ -211,8 +211,30 @@ def orders_by_dow_daypart(wh: Warehouse) -> DataFrame:
 
 
 def basket_stats(wh: Warehouse) -> DataFrame:
-    """Q13: distribution summary of basket size over orders with items."""
-    return _summary(wh.fact_order, "basket_size")
+    """Q13: distribution summary of basket size over orders with items, with deviation and quartiles.
+
+    Basket sizes are few (at most the catalogue's size), so they are grouped first: mean, deviation and
+    quantiles come from the counts by size."""
+    sizes = wh.fact_order.filter(F.col("basket_size").isNotNull())
+    q = [exact_quantile(sizes, "basket_size", p).scalar().alias(a) for p, a in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))]
+    by_size = sizes.groupBy("basket_size").agg(F.count(F.lit(1)).alias("k"))
+    n, s1 = F.sum("k"), F.sum(F.col("k") * F.col("basket_size"))
+    s2 = F.sum(F.col("k") * F.col("basket_size") * F.col("basket_size"))
+    moments = by_size.agg(n.cast("bigint").alias("n"), s1.cast("bigint").alias("s1"), s2.cast("bigint").alias("s2"),
+                          F.min("basket_size").cast("double").alias("min"), F.max("basket_size").cast("double").alias("max"))
+    d = lambda c: F.col(c).cast("double")
+    spread = (F.col("n").cast("decimal(38,0)") * F.col("s2") - F.col("s1").cast("decimal(19,0)") * F.col("s1").cast("decimal(19,0)")).cast("double")
+    return moments.select("n", safe_ratio(d("s1"), d("n")).alias("mean"), F.round(F.sqrt(safe_ratio(spread, d("n") * (d("n") - 1))), 9).alias("std"),
+                          "min", *q, "max")
+
+
+def basket_histogram(wh: Warehouse, bins: int = 50) -> DataFrame:
+    """Equal-width histogram of basket size over [min, max] (top edge in the last bin); empty bins are left out."""
+    f = wh.fact_order.filter(F.col("basket_size").isNotNull())
+    x = F.col("basket_size").cast("double")
+    lo, hi = f.agg(F.min(x)).scalar(), f.agg(F.max(x)).scalar()
+    counts = f.select(equal_width_bin(x, lo, hi, bins).alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("order_count"))
+    return counts.orderBy("bin")
 
 
 def basket_distribution(wh: Warehouse) -> DataFrame:

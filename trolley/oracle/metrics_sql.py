@@ -108,7 +108,17 @@ def metric_sql(min_orders: int, hist_bins) -> dict[str, str]:
         GROUP BY order_dow, order_hour_of_day ORDER BY order_count DESC, order_dow, order_hour_of_day LIMIT 1""", [OWT])
     q["orders_by_dow_daypart"] = sql("""
         SELECT order_dow, day_part, count(order_id) AS order_count FROM owt GROUP BY order_dow, day_part""", [OWT])
-    q["basket_stats"] = _stats("fact_order", "basket_size")
+    q["basket_stats"] = sql("""
+        SELECT count(basket_size) AS n, avg(basket_size) AS mean, round(stddev_samp(basket_size), 9) AS std,
+               CAST(min(basket_size) AS DOUBLE) AS min, CAST(quantile_cont(basket_size, 0.25) AS DOUBLE) AS q25,
+               CAST(median(basket_size) AS DOUBLE) AS median, CAST(quantile_cont(basket_size, 0.75) AS DOUBLE) AS q75,
+               CAST(max(basket_size) AS DOUBLE) AS max
+        FROM fact_order WHERE basket_size IS NOT NULL""")
+    q["basket_histogram"] = sql("""
+        SELECT bin, count(*) AS order_count FROM (
+            SELECT CASE WHEN hi = lo THEN 0 ELSE CAST(least(floor((basket_size - lo) / ((hi - lo) / 50)), 49) AS INTEGER) END AS bin
+            FROM fact_order, (SELECT CAST(min(basket_size) AS DOUBLE) AS lo, CAST(max(basket_size) AS DOUBLE) AS hi FROM fact_order)
+            WHERE basket_size IS NOT NULL) GROUP BY bin""")
     q["basket_distribution"] = sql("""
         SELECT basket_size, count(*) AS order_count FROM fact_order WHERE basket_size IS NOT NULL GROUP BY basket_size""")
     q["basket_bins"] = sql("""

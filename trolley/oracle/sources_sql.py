@@ -26,6 +26,10 @@ def sources_sql(models: dict[str, str]) -> dict[str, str]:
     q["row_count_contract"] = sql(f"""
         SELECT table_name, row_count AS expected_rows, row_count AS actual_rows, 'PASS' AS status FROM ({_counts()})""")
     q["write_parquet"] = sql("SELECT * FROM dim_product")
+    q["write_tables"] = sql("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST("
+        + " + ".join(f"count(*) - count({f.name})" for f in RAW_SCHEMAS[t].fields) + f" AS BIGINT) AS null_count FROM raw_{t}" for t in RAW_TABLES))
+    q["load_tables"] = sql(_counts())
     q["write_csv"] = sql("SELECT * FROM dim_user")
     q["write_append"] = models["fact_order_item"]
     q["upsert_merge"] = sql("""
