@@ -78,6 +78,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
+    from trolley.llm import oracles
     from trolley.llm.licences import oracle as licence_sql
 
-    return {"op8_licence_rules": licence_sql()}
+    return {"op1_nn_descent": oracles.VECTORS, "op2_jaccard_join": oracles.JACCARD, "op8_licence_rules": licence_sql()}
