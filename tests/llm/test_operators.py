@@ -84,6 +84,25 @@ def test_vectors_against_all_pairs(spark):
     assert nn_descent.near_vectors(df.limit(0)).count() == 0
 
 
+def against_all_pairs(spark, v):
+    df = spark.createDataFrame([(i, [float(x) for x in r], 0) for i, r in enumerate(v)], "vec_id long, embedding array<double>, label int").repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_vectors(df).collect()}
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    links = u @ u.T >= 0.93
+    np.fill_diagonal(links, False)
+    root = components(len(v), zip(*np.nonzero(links)))
+    assert got == {i: (int(links[i].sum()), root[i]) for i in range(len(v))}
+
+
+def test_vectors_isolated_pairs_beside_a_hot_group(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "RUN", 8)
+    monkeypatch.setattr(nn_descent, "CHUNK", 100)
+    rng = np.random.default_rng(5)
+    base, hot = rng.normal(size=(1500, 32)), rng.normal(size=(1, 32))
+    pairs = base[:300] / np.linalg.norm(base[:300], axis=1, keepdims=True) + rng.normal(size=(300, 32)) * 0.055
+    against_all_pairs(spark, np.concatenate([base, pairs, hot + rng.normal(size=(400, 32)) * 0.05]))
+
+
 # ------------------------------------------------------------------ 2
 
 def shingle_set(text, k):

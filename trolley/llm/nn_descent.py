@@ -8,10 +8,12 @@ Vectors of one label (and one length) are compared by cosine in double precision
 3. NN-descent: the neighbours of a node, and the nodes it is a neighbour of, are compared with each other;
    what beats a node's worst neighbour enters its list.  A list whose entries all reach the threshold is
    saturated and may double in each round.  Long reverse lists are dealt into cells of bounded size.
-4. Links (cosine >= threshold) make components.  Within a component every pair is then compared, cell against
-   cell, and only the number of links of each node leaves a task: lists never have to hold a large group.
-5. Audit: a fixed sample of nodes is compared with all nodes; below ``RECALL`` the search goes on with new
-   projections and longer lists.
+4. Links (cosine >= threshold) make first components.
+5. Exact pass: all pairs of a label are compared, block against block.  Only the number of links of each node
+   and the pairs of first components that a link joins leave a task, so neither a large group nor a link that
+   the search has missed depends on lists, projections or samples.  Products are made in single precision;
+   pairs within its rounding error of the threshold are decided in double precision.  The work of this pass
+   grows with the square of a label's distinct vectors; a block has a bounded size.
 
 Defined results: a null label, or a vector that is null, empty, zero or has null or non-finite components,
 links with nothing (n_links 0, its own component, kept); repeated rows link with each other as equal vectors;
@@ -34,8 +36,9 @@ TREES = 4
 ROUNDS = 4
 CELL = 48
 CHUNK = 512
-AUDIT = 1024
-RECALL = 0.98
+LARGEST_CHUNK = 16384
+COPIES = 8  # of a vector in the exact pass, while blocks are between the two sizes
+TILE = 512
 
 
 def units(column, kind: str) -> np.ndarray:
@@ -120,25 +123,22 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, vec_id: str = "vec
     id_type = own.schema["vec_id"].dataType.simpleString()
     nodes = scratch.table(distinct.select("id", "grp", "n", "rep", "v").mapInArrow(pack, f"id long, grp string, n long, rep {id_type}, vec binary"))
     total = nodes.count()
-    # the audit's queries: smallest hashes, a fixed number
-    sample = nodes.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(AUDIT).select("id", "grp", "vec").toPandas()
-    lists, size = None, K
-    for attempt in range(3):
-        found = first_neighbours(nodes, kind, attempt)
-        lists = scratch.table(best(found if lists is None else lists.unionByName(found), size, threshold, 0))
-        for r in range(1, ROUNDS + 1):
-            new = scratch.table(join_neighbours(nodes, lists, kind, size))
-            entered = new.count()
-            merged = scratch.table(best(lists.unionByName(new), size, threshold, r))
-            scratch.drop(lists, new)
-            lists = merged
-            if entered <= 0.01 * size * total:
-                break
-        roots = scratch.table(components(scratch, lists.where(F.col("sim") >= threshold).select("a", "b")))
-        counts = scratch.table(count_links(nodes, roots, kind, threshold))
-        if audit(nodes, counts, sample, kind, threshold) >= RECALL:
+    lists = scratch.table(best(first_neighbours(nodes, kind), K, threshold, 0))
+    for r in range(1, ROUNDS + 1):
+        new = scratch.table(join_neighbours(nodes, lists, kind, K))
+        entered = new.count()
+        merged = scratch.table(best(lists.unionByName(new), K, threshold, r))
+        scratch.drop(lists, new)
+        lists = merged
+        if entered <= 0.01 * K * total:
             break
-        size *= 2
+    first = scratch.table(components(scratch, lists.where(F.col("sim") >= threshold).select("a", "b")))
+    rooted = scratch.table(nodes.join(first, F.col("id") == F.col("node"), "left").select("id", "grp", "n", "vec", F.coalesce("root", "id").alias("root")))
+    exact = scratch.table(all_pairs(rooted, kind, threshold))
+    counts = exact.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
+    joined = components(scratch, exact.where("b is not null").select("a", "b"))
+    roots = rooted.select(F.col("id").alias("member"), F.col("root").alias("r0")).join(joined, F.col("r0") == F.col("node"), "left")
+    roots = roots.select(F.col("member").alias("node"), F.coalesce("root", "r0").alias("root"))
     facts = nodes.select("id", "n", "rep").join(roots, F.col("id") == F.col("node"), "left").join(counts, "id", "left")
     facts = facts.select("id", "n", "rep", F.coalesce("root", "id").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     names = facts.groupBy(F.col("root").alias("r")).agg(F.min("rep").alias("component"))
@@ -148,7 +148,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, vec_id: str = "vec
     return scratch.table(out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept")))
 
 
-def first_neighbours(nodes: DataFrame, kind: str, attempt: int) -> DataFrame:
+def first_neighbours(nodes: DataFrame, kind: str) -> DataFrame:
     """Each node's best neighbours in runs along the signs of random projections."""
     def codes(batches):
         planes: dict[int, np.ndarray] = {}
@@ -160,7 +160,7 @@ def first_neighbours(nodes: DataFrame, kind: str, attempt: int) -> DataFrame:
                 v = vec.take(pa.array(at))
                 u = units(v, kind)
                 if w not in planes:
-                    planes[w] = np.random.default_rng([attempt, int(w)]).normal(size=(TREES, u.shape[1], 62))
+                    planes[w] = np.random.default_rng([0, int(w)]).normal(size=(TREES, u.shape[1], 62))
                 for t in range(TREES):
                     code = ((u @ planes[w][t] > 0) << np.arange(62)[::-1]).sum(1).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), grp.take(pa.array(at)), pa.array(code), pa.array(ids[at]), v], ["t", "grp", "code", "id", "vec"])
@@ -206,54 +206,70 @@ def join_neighbours(nodes: DataFrame, lists: DataFrame, kind: str, size: int) ->
     return found.join(lists.select("a", "b"), ["a", "b"], "left_anti")
 
 
-def count_links(nodes: DataFrame, roots: DataFrame, kind: str, threshold: float) -> DataFrame:
-    """(id, links): rows linked with a node, its own copies aside; all pairs of a component, cell by cell."""
-    size = roots.groupBy(F.col("root").alias("r")).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    member = roots.join(size, F.col("root") == F.col("r")).select(F.col("node").alias("id"), "root", "chunks", F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk"))
-    member = member.join(nodes.select("id", "n", "vec"), "id")
-    packed = member.groupBy("root", "chunk", "chunks").agg(F.collect_list(F.struct("id", "n", "vec")).alias("rows"))
-    other = packed.select("root", "chunk", "rows", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("o"))
-    meet = other.groupBy("root", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j")).agg(F.collect_list(F.struct("chunk", "rows")).alias("sides"))
-
-    def count(batches):
-        for batch in batches:
-            for sides in batch.column("sides"):
-                part = []
-                for s in sides.values.field("rows"):
-                    r = s.values
-                    part.append((r.field("id").to_numpy(), r.field("n").to_numpy(), units(r.field("vec"), kind)))
-                (a, na, x), (b, nb, y) = part[0], part[-1]
-                link = (x @ y.T >= threshold).astype(np.float64)
-                if len(part) == 1:
-                    np.fill_diagonal(link, 0.0)
-                ids, links = (a, link @ nb) if len(part) == 1 else (np.concatenate([a, b]), np.concatenate([link @ nb, link.T @ na]))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links.astype(np.int64))], ["id", "links"])
-
-    return meet.select("sides").mapInArrow(count, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
-
-
-def audit(nodes: DataFrame, counts: DataFrame, sample, kind: str, threshold: float) -> float:
-    """Share of the sample's links, found by comparing it with all nodes, that the search also has."""
-    by: dict[str, list[int]] = {}
-    for i, g in enumerate(sample["grp"]):
-        by.setdefault(g, []).append(i)
-    x = {g: np.stack([np.frombuffer(sample["vec"][i], kind) for i in at]).astype(np.float64) for g, at in by.items()}
-    x = {g: v / np.sqrt((v * v).sum(1, keepdims=True)) for g, v in x.items()}
-    ids = sample["id"].to_numpy(np.int64)
-
-    def true(batches):
-        out = np.zeros(len(ids), np.int64)
-        for batch in batches:
-            grp = np.array(batch.column("grp").to_pylist(), object)
-            for g in set(grp.tolist()) & set(x):
-                at = np.flatnonzero(grp == g)
-                u = units(batch.column("vec").take(pa.array(at)), kind)
-                link = (x[g] @ u.T >= threshold) & (ids[by[g]][:, None] != batch.column("id").to_numpy()[at][None, :])
-                out[by[g]] += link @ batch.column("n").to_numpy()[at]
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(out)], ["id", "really"])
-
-    if not len(ids):
-        return 1.0
-    really = nodes.mapInArrow(true, "id long, really long").groupBy("id").agg(F.sum("really").alias("really")).join(counts, "id", "left")
-    got, want = really.agg(F.sum(F.coalesce("links", F.lit(0))), F.sum("really")).first()
-    return got / want if want else 1.0
+def all_pairs(rooted: DataFrame, kind: str, threshold: float) -> DataFrame:
+    """(a, b, links) of all pairs of a group: with b null, rows linked with node a in one other block, its own
+    copies aside; else two first components with a link between them."""
+    size = rooted.groupBy(F.col("grp").alias("g")).agg(F.count("*").alias("rows"))
+    chunk = F.least(F.lit(LARGEST_CHUNK), F.greatest(F.lit(CHUNK), F.ceil(F.col("rows") / COPIES)))
+    member = rooted.join(size.select("g", F.ceil(F.col("rows") / chunk).cast("int").alias("chunks")), F.col("grp") == F.col("g"))
+    member = member.select("grp", "chunks", F.pmod(F.xxhash64("id", F.lit(2)), "chunks").cast("int").alias("chunk"), "id", "n", "root", "vec")
+    fields = ("id", "n", "root")
+
+    def pack(batches):
+        for t in runs(batches, ["grp", "chunk"], 2 * LARGEST_CHUNK):
+            cols = [pa.array([t.column(c).combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64).tobytes()], pa.binary()) for c in fields]
+            vec = pa.array([b"".join(t.column("vec").to_pylist())], pa.binary())
+            yield pa.RecordBatch.from_arrays([t.column(c).slice(0, 1).combine_chunks() for c in ("grp", "chunks", "chunk")] + [*cols, vec], ["grp", "chunks", "chunk", *fields, "vec"])
+
+    packed = member.repartition("grp", "chunk").sortWithinPartitions("grp", "chunk").mapInArrow(pack, "grp string, chunks int, chunk int, id binary, n binary, root binary, vec binary")
+    other = packed.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("o"))
+    meet = other.select("grp", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), "chunk", *fields, "vec")
+
+    def unpacked(t, r: int) -> tuple:
+        ids, n, root = (np.frombuffer(t.column(c)[r].as_buffer(), np.int64) for c in fields)
+        x = np.frombuffer(t.column("vec")[r].as_buffer(), kind).reshape(len(ids), -1).astype(np.float64)
+        x = x / np.sqrt((x * x).sum(1, keepdims=True))
+        return ids, n.astype(np.float64), root, x, x.astype(np.float32)
+
+    def compare(batches):
+        for t in runs(batches, ["grp", "i", "j"], None):
+            sides = [unpacked(t, r) for r in range(t.num_rows)]
+            if t.column("i")[0].as_py() == t.column("j")[0].as_py():
+                pairs = [(p, q) for p in range(len(sides)) for q in range(p, len(sides))]
+            else:  # a block may be in several rows
+                chunk = t.column("chunk").to_pylist()
+                pairs = [(p, q) for p in range(len(sides)) for q in range(p) if chunk[p] != chunk[q]]
+            for p, q in pairs:
+                yield from block(sides[p], sides[q], p == q)
+
+    def block(one, two, same: bool):
+        (ids, n, root, x, x32), (ids2, n2, root2, y, y32) = one, two
+        unsure = (x.shape[1] + 8) * 1.2e-7  # more than the error of a product in single precision
+        links, links2, joins = np.zeros(len(ids)), np.zeros(len(ids2)), []
+        for lo in range(0, len(x), TILE):
+            sim = x32[lo:lo + TILE] @ y32.T
+            link = sim >= threshold + unsure
+            r, c = np.nonzero((sim >= threshold - unsure) ^ link)
+            for at in range(0, len(r), 65536):
+                i, j = r[at:at + 65536], c[at:at + 65536]
+                link[i, j] = (x[lo + i] * y[j]).sum(1) >= threshold
+            if same:
+                d = np.arange(len(link))
+                link[d, lo + d] = False
+            hit = np.flatnonzero(link.any(1))
+            if len(hit):
+                part = link[hit]
+                links[lo + hit] += part @ n2
+                if not same:
+                    links2 += n[lo + hit] @ part
+                r, c = np.nonzero(part & (root[lo + hit][:, None] != root2[None, :]))
+                if len(r):
+                    joins.append(np.unique(np.stack([root[lo + hit[r]], root2[c]]), axis=1))
+        a, k = (ids, links) if same else (np.concatenate([ids, ids2]), np.concatenate([links, links2]))
+        some = k > 0
+        yield pa.RecordBatch.from_arrays([pa.array(a[some]), pa.nulls(int(some.sum()), pa.int64()), pa.array(k[some].astype(np.int64))], ["a", "b", "links"])
+        if joins:
+            e = np.unique(np.concatenate(joins, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(e[0]), pa.array(e[1]), pa.nulls(e.shape[1], pa.int64())], ["a", "b", "links"])
+
+    return meet.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "chunk").mapInArrow(compare, "a long, b long, links long")
