@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -309,6 +310,21 @@ def test_licences(spark, odd, empty):
     assert licences.licences(odd).count() == len(ODD) and licences.licences(empty).count() == 0
 
 
+def test_licences_wrapped_and_commented(spark):
+    by_id, wrap = dict(licences.SENTENCES), lambda t, mark, width=72: "\n".join(mark + x for x in textwrap.wrap(t, width))
+    mit = "\n#\n".join(wrap(by_id[f"mit-{i}"].capitalize() + ".", "# ") for i in ("permission", "notice", "as-is", "liability"))
+    apache = ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the\nLicense at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+              "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License")
+    gpl = ("This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n *\n"
+           " * This program is distributed in the hope that it will be useful,\n * but WITHOUT ANY WARRANTY; without even the implied warranty of\n * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n * GNU General Public License for more details.\n *\n"
+           " * You should have received a copy of the GNU General Public License\n * along with this program.  If not, see <https://www.gnu.org/licenses/>.")
+    bsd = "\n\n".join(wrap(f"{b}{by_id[i].capitalize()}.", "// ", 76) for b, i in (("", "bsd-permission"), ("(1) ", "bsd-source"), ("(2) ", "bsd-binary"), ("", "bsd-as-is")))
+    texts = [mit, apache, "/*\n * " + gpl + "\n */", bsd, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "Released under the MIT License, see LICENSE.", "It is published under the\nMIT License", "A book published under the MIT imprint.", "Other than that, it is distributed under"]
+    got = {r.doc_id: r for r in licences.licences(docs(spark, texts, 0)).collect()}
+    assert [got[i].licences for i in range(len(texts))] == ["MIT", "Apache-2.0", "GPL-3.0-or-later", "BSD-2-Clause", "MPL-2.0", "MIT", "MIT", "", ""]
+    assert got[0].sentence_ids == "mit-permission mit-notice mit-as-is mit-liability" and got[2].sentence_ids == "gpl-free gpl-hope gpl-copy" and got[1].sentence_ids == "apache-header apache-comply apache-basis"
+
+
 # ------------------------------------------------------------------ 9
 
 def test_gradients():

@@ -1,10 +1,12 @@
 """Licence scan by sentence rules, with DataFrame and SQL functions only.
 
-A text is cut into sentences (end marks before white space, and line ends); a sentence is normalised to
-lower-case ASCII letters and digits with single blanks.  A sentence is *known* if it is in the table of
-licence sentences, or if it grants a licence by name ("... licensed under <name>"); it then has an identifier.
-Identifiers form a sequence in text order; where more than ``GAP`` sentences lie between two known ones, the
-sequence is cut.  Rules are ordered sequences of identifiers, tried from the longest; what a rule has matched
+A text is cut into pieces (end marks before white space, and line ends) and normalised to lower-case ASCII
+letters and digits with single blanks, so comment marks vanish.  A line end without an end mark, a blank line
+or a bracketed bullet may be a wrapped line, so it ends a piece, but no sentence.  A *known* sentence is one or
+more pieces that together are in the table of licence sentences, however they are wrapped or cut; or a grant
+of a licence by name ("... licensed under <name>"), also over a line end and with more words behind it.  Each
+has an identifier.  Identifiers form a sequence in text order; where more than ``GAP`` sentences lie between
+two known ones, the sequence is cut.  n_sentences is the number of pieces.  Rules are ordered sequences of identifiers, tried from the longest; what a rule has matched
 is taken out before the next one.  Everything happens within a row: no shuffle.
 
 Defined results: one row per row; a null, empty or unlicensed text has an empty list and no identifiers;
@@ -60,7 +62,14 @@ RULES = (
     ("Apache-2.0", "apache-header apache-comply"), ("GPL-3.0-or-later", "gpl-free gpl-hope"), ("Unlicense", "unlicense-public unlicense-anyone"), ("MIT", "mit-permission mit-notice"),
     ("MIT", "mit-permission"), ("ISC", "isc-permission"), ("Apache-2.0", "apache-header"), ("GPL-3.0-or-later", "gpl-free"), ("MPL-2.0", "mpl-subject"), ("Unlicense", "unlicense-public"),
 )
-GRANT = r"^(?:.* )?(?:licensed|released|distributed|available|published) under (?:the terms of )?(?:the |a )?(.+)$|^spdx license identifier (.+)$"
+# ends of sentences and of mere lines, and the mark of a known sentence
+END, LINE, MARK = "\u0001", "\u0002", "\u0003"
+BULLET = r"(?:^|\n)[^a-z0-9\n]*\(?(?:[0-9]{1,2}|[a-z])\)[ \t]+(?=[^a-z0-9.!?;\n]*[a-z0-9])"
+# the bare word is also the name of a place: it needs an end or a known word behind it
+BARE = {"mit": f"(?=[{END}{LINE}]|$| (?:or|and|see) )"}
+NAME = "(?:" + "|".join((s + BARE.get(s, "")).replace(" ", f"[ {LINE}]") for s in sorted((s for _, s in NAMES), key=len, reverse=True)) + ")"
+GRANT = (f"(?:(?<![a-z0-9])(?:licensed|released|distributed|available|published) under (?:the terms of )?(?:the |a )?".replace(" ", f"[ {LINE}]")
+         + f"|(?<![^{END}{LINE}])spdx license identifier ){NAME}(?![a-z0-9])")
 # grants by name come after the texts
 ALL_RULES = RULES + tuple((name, f"name:{name}") for name in dict.fromkeys(n for n, _ in NAMES))
 
@@ -69,24 +78,29 @@ def licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """One row per row: doc_id, n_sentences, sentence_ids (blank-separated, '#' at cuts), licences (comma-separated)."""
     docs = pick(docs, doc_id=doc_id, text=text)
     plain = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    marked = F.regexp_replace(plain, r"[.!?;][ \t\r\n]+|\n", "\u0001")
-    normal = F.regexp_replace(F.regexp_replace(marked, "[^a-z0-9\u0001]+", " "), " ?\u0001 ?", "\u0001")
-    sentences = F.filter(F.split(F.trim(normal), "\u0001"), lambda s: s != "")
-    known = F.array(*[F.xxhash64(F.lit(s)) for _, s in SENTENCES])
-    ids = F.array(*[F.lit(i) for i, _ in SENTENCES])
+    marked = F.regexp_replace(F.regexp_replace(plain, BULLET, END), r"[.!?;][ \t\r\n]+|\n[^a-z0-9\n" + END + r"]*(?=\n)", END)
+    normal = F.regexp_replace(F.translate(marked, "\n", LINE), f"[^a-z0-9{END}{LINE}]+", " ")
+    normal = F.regexp_replace(F.regexp_replace(normal, f" ?{LINE}[ {LINE}]*", LINE), f"[ {LINE}]*{END}[ {END}{LINE}]*", END)
+    normal = F.btrim(normal, F.lit(f" {END}{LINE}"))
     names = F.create_map(*[F.lit(x) for n, s in NAMES for x in (s, f"name:{n}")])
+    rows = docs.select("doc_id", normal.alias("t"))
+    pieces = F.when(F.col("t") == "", 0).otherwise(F.size(F.split("t", f"[{END}{LINE}]")))
+    # fold over the known sentences: (plain words, text with marks)
+    known = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(f"(^|[{END}{LINE}])" + s.replace(" ", f"[ {END}{LINE}]") + f"(?=[{END}{LINE}]|$)").alias("p"), F.lit(f"$1{MARK}{i}{MARK}").alias("to")) for i, s in SENTENCES])
+    both = F.struct(F.translate("t", END + LINE, "  ").alias("w"), F.col("t").alias("t"))
+    seen = F.aggregate(known, both, lambda acc, k: F.struct(acc["w"].alias("w"), F.when(F.contains(acc["w"], k["s"]), F.regexp_replace(acc["t"], k["p"], k["to"])).otherwise(acc["t"]).alias("t")))
+    rows = rows.select("doc_id", pieces.cast("long").alias("n_sentences"), seen.alias("f"))
+    may = F.contains("f.t", F.lit(MARK)) | F.contains("f.w", F.lit("under ")) | F.contains("f.w", F.lit("spdx "))
+    found = F.when(may, F.regexp_extract_all("f.t", F.lit(f"{MARK}[^{MARK}]+{MARK}|{GRANT}|{END}"), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
-    def identify(s):
-        at = F.array_position("_known", F.xxhash64(s))
-        granted = F.concat(F.regexp_extract(s, GRANT, 1), F.regexp_extract(s, GRANT, 2))
-        return (F.when(at > 0, F.element_at("_ids", at.cast("int")))
-                .when(F.contains(s, F.lit("under ")) | F.startswith(s, F.lit("spdx ")), F.element_at("_names", granted)))
+    def identify(x):
+        name = F.translate(F.regexp_extract(x, f"(?<![a-z0-9])({NAME})$", 1), LINE, " ")
+        return F.when(F.startswith(x, F.lit(MARK)), F.translate(x, MARK, "")).otherwise(F.element_at(names, name))
 
-    rows = docs.select("doc_id", sentences.alias("s"), known.alias("_known"), ids.alias("_ids"), names.alias("_names"))
-    found = F.filter(F.transform("s", lambda s, i: F.struct(i.alias("i"), identify(s).alias("id"))), lambda x: x["id"].isNotNull())
-    rows = rows.select("doc_id", F.size("s").cast("long").alias("n_sentences"), found.alias("f"))
-    start = F.struct(F.lit(None).cast("int").alias("i"), F.lit("").alias("q"))
-    step = F.aggregate("f", start, lambda acc, x: F.struct(x["i"].alias("i"), F.concat(acc["q"], F.when(acc["i"].isNull(), "").when(x["i"] - acc["i"] > GAP + 1, " # ").otherwise(" "), x["id"]).alias("q")))
+    # fold over what was found: (sentence ends since the last known sentence, identifiers so far)
+    start = F.struct(F.lit(0).alias("i"), F.lit("").alias("q"))
+    step = F.aggregate(found, start, lambda acc, x: F.when(x == END, F.struct((acc["i"] + 1).alias("i"), acc["q"].alias("q"))).otherwise(
+        F.struct(F.lit(0).alias("i"), F.concat(acc["q"], F.when(acc["q"] == "", "").when(acc["i"] > GAP + 1, " # ").otherwise(" "), identify(x)).alias("q"))))
     rows = rows.select("doc_id", "n_sentences", step["q"].alias("sentence_ids"))
     # fold over the rules: (what is left of the sequence, licences so far)
     state = F.struct(F.concat(F.lit(" "), "sentence_ids", F.lit(" ")).alias("q"), F.array().cast("array<string>").alias("l"))
