@@ -42,8 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of each document, sizes near equal, equal texts together."""
-    return shard(docs, shards=SHARDS)
+    """Shard and slot of each document, sizes near equal, equal texts together; slots follow the mixed order."""
+    return shard(docs, shards=SHARDS, as_stored=True)
 
 
 STAGES = [("quality classifier", quality), ("n-gram Jaccard join", near_copies), ("benchmark decontamination", decontaminate),

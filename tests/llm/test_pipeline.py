@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import collections
 import random
 
 import corpus_pipeline
 from tests.llm.test_operators import prose
+from trolley.llm.mixing import mix
 from trolley.llm.quality import quality_scores
 
 
@@ -42,3 +44,17 @@ def test_pipeline(spark, tmp_path):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_slots_follow_the_mixed_order(spark, tmp_path):
+    rows = [(i, t, "en", "a" if i % 10 else "b", len(t)) for i, t in enumerate(prose(400, 5))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    position = {x.doc_id: x.position for x in mix(docs).collect()}
+    corpus_pipeline.mix_sources(spark, docs, "").write.parquet(f"{tmp_path}/mixed")
+    out = corpus_pipeline.assign_shards(spark, spark.read.parquet(f"{tmp_path}/mixed"), "").collect()
+    by_shard = collections.defaultdict(list)
+    for x in sorted(out, key=lambda x: x.slot):
+        by_shard[x.shard].append((x.slot, position[x.doc_id]))
+    assert len(out) == 400 and len(by_shard) == corpus_pipeline.SHARDS
+    for of in by_shard.values():
+        assert [s for s, _ in of] == list(range(len(of))) and [p for _, p in of] == sorted(p for _, p in of)
