@@ -104,6 +104,23 @@ def test_vectors_isolated_pairs_beside_a_hot_group(spark, monkeypatch):
     against_all_pairs(spark, np.concatenate([base, pairs, hot + rng.normal(size=(400, 32)) * 0.05]))
 
 
+def test_vectors_dense_groups_that_only_meet_across(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "ROUNDS", 2)
+    rng = np.random.default_rng(8)
+    q, _ = np.linalg.qr(rng.normal(size=(64, 3)))
+    centres = np.stack([q[:, 0], 0.96 * q[:, 0] + 0.28 * q[:, 1]])
+    noise = lambda n: rng.normal(size=(n, 64)) * np.sqrt(0.02 / 64)
+    two = np.concatenate([c + noise(60) for c in centres])  # 0.98 within a group, 0.94 across
+    u = two / np.linalg.norm(two, axis=1, keepdims=True)
+    links = u @ u.T >= 0.93
+    assert links[:60, 60:].mean() > 0.9
+    hot = np.repeat(q[:, 2] + noise(100), 40, axis=0)
+    rows = [(i, [float(x) for x in r], 0) for i, r in enumerate(np.concatenate([two, hot]))]
+    got = {r.vec_id: r for r in nn_descent.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert [(got[i].n_links, got[i].component_id) for i in range(120)] == [(int(k) - 1, 0) for k in links.sum(1)]
+    assert {got[i].component_id for i in range(120, len(rows))} == {120}
+
+
 # ------------------------------------------------------------------ 2
 
 def shingle_set(text, k):
