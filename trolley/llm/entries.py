@@ -73,12 +73,33 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op11_document_fp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.fp_search import ranked
+
+    return ranked(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
+def op13_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from trolley.llm.bpe import encoded_digests
+
+    return encoded_digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_nn_descent, op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op6_bm25_decontamination, op7_pitman_yor, op8_licence_rules, op9_bigru_language, op10_compression_quality)}
+    return {f.__name__: f for f in (op1_nn_descent, op2_jaccard_join, op3_lpt_sharding, op4_pfair_mixing, op5_pii_anchors, op6_bm25_decontamination, op7_pitman_yor, op8_licence_rules, op9_bigru_language, op10_compression_quality, op11_document_fp_tree, op12_prefix_trie, op13_merge_rounds)}
 
 
 def oracle_sql() -> dict[str, str]:
     from trolley.llm import oracles
     from trolley.llm.licences import oracle as licence_sql
 
-    return {"op1_nn_descent": oracles.VECTORS, "op2_jaccard_join": oracles.JACCARD, "op8_licence_rules": licence_sql()}
+    return {"op1_nn_descent": oracles.VECTORS, "op2_jaccard_join": oracles.JACCARD, "op8_licence_rules": licence_sql(), "op11_document_fp_tree": oracles.RANKED,
+            "op12_prefix_trie": oracles.TRIE}
