@@ -95,7 +95,8 @@ def registry() -> dict[str, Query]:
         "count_reconciliation": _wh(io.count_reconciliation),
         "write_parquet": _wh(io.read_back_parquet),
         "write_tables": _wh(io.write_tables),
-        "load_tables": _wh(inc.load_tables),
+        "load_tables": _wh(inc.load_tables, small={"files_per_trigger": 2}),
+        "load_ledger": _wh(inc.load_summary, small={"files_per_trigger": 2}),
         "write_csv": _wh(io.read_back_csv),
         "write_append": _wh(io.append_items),
         "export_user_subset": _wh(io.export_user_subset, small={"max_user_id": SMALL_USER}),

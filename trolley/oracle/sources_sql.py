@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from trolley.oracle.prefix import sql
-from trolley.sources.schemas import RAW_SCHEMAS, RAW_TABLES
+from trolley.sources.schemas import RAW_KEYS, RAW_SCHEMAS, RAW_TABLES
 
 
 def _counts(where: dict[str, str] | None = None, col: str = "row_count") -> str:
@@ -29,7 +29,17 @@ def sources_sql(models: dict[str, str]) -> dict[str, str]:
     q["write_tables"] = sql("\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST("
         + " + ".join(f"count(*) - count({f.name})" for f in RAW_SCHEMAS[t].fields) + f" AS BIGINT) AS null_count FROM raw_{t}" for t in RAW_TABLES))
-    q["load_tables"] = sql(_counts())
+    loaded = []
+    ledger = []
+    for t in RAW_TABLES:
+        keys = list(RAW_KEYS[t])
+        rest = " || '|' || ".join(f"coalesce(CAST({f.name} AS VARCHAR), '')" for f in RAW_SCHEMAS[t].fields if f.name not in keys)
+        second = f"CAST({keys[1]} AS BIGINT)" if len(keys) > 1 else "CAST(NULL AS BIGINT)"
+        loaded.append(f"SELECT '{t}' AS table_name, CAST({keys[0]} AS BIGINT) AS key_1, {second} AS key_2, {rest} AS payload FROM raw_{t}")
+        # every row once, and those with an even sum of keys a second time
+        ledger.append(f"SELECT '{t}' AS table_name, CAST(count(*) + count(*) FILTER (WHERE ({' + '.join(keys)}) % 2 = 0) AS BIGINT) AS rows_read, CAST(min({keys[0]}) AS BIGINT) AS first_key, CAST(max({keys[0]}) AS BIGINT) AS last_key, true AS in_batches, CAST(0 AS BIGINT) AS open_batches FROM raw_{t}")
+    q["load_tables"] = sql("\nUNION ALL\n".join(loaded))
+    q["load_ledger"] = sql("\nUNION ALL\n".join(ledger))
     q["write_csv"] = sql("SELECT * FROM dim_user")
     q["write_append"] = models["fact_order_item"]
     q["upsert_merge"] = sql("""

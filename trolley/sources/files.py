@@ -224,13 +224,21 @@ def last_per_key(df: DataFrame, keys: list[str], payload: list[str], order_col:
 
 
 def upsert_merge(wh: Warehouse) -> DataFrame:
-    """Upsert a later extract (composite key) over the prior items: the train items are new, the first item of
-    each prior order has a corrected flag, and all other rows stay as they are."""
+    """Merge a later extract (composite key) into a keyed table of the prior items: the train items are new, the first
+    item of each prior order has a corrected flag, and all other rows stay as they are."""
+    from pyspark.sql import types as T
+
+    from trolley.sources.keyed import KeyedTable
+    from trolley.streaming.incremental import order_width
+
     cols = ["order_id", "product_id", "add_to_cart_order", "reordered"]
     existing = wh.stg_order_products_prior.select(*cols)
     corrected = existing.filter(F.col("add_to_cart_order") == 1).withColumn("reordered", 1 - F.col("reordered"))
-    batch = wh.stg_order_products_train.select(*cols).unionByName(corrected).withColumn("_seq", F.lit(1))
-    return upsert(existing, batch, ["order_id", "product_id"], order_col="_seq")
+    schema = T.StructType([RAW_SCHEMAS["order_products_prior"][c] for c in cols])
+    table = KeyedTable(wh.spark, wh.path("upsert", f"items-{uuid.uuid4().hex[:8]}"), ["order_id", "product_id"], schema, order_width(wh))
+    table.merge(existing, "extracts", 0)
+    table.merge(wh.stg_order_products_train.select(*cols).unionByName(corrected), "extracts", 1)
+    return table.read()
 
 
 # ----------------------------------------------------------------------- bulk copy
