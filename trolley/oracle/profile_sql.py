@@ -47,7 +47,7 @@ def profile_sql() -> dict[str, str]:
             FROM raw_{t}""")
     q["iqr_outliers"] = sql("\nUNION ALL\n".join(iqr))
     desc = []
-    for f in RAW_SCHEMAS["orders"].fields:
+    for t, f in ((t, f) for t in RAW_TABLES for f in RAW_SCHEMAS[t].fields):
         c = f.name
         num = type_name(f.dataType) in _NUMERIC
         x = f"CAST({c} AS DOUBLE)"
@@ -58,13 +58,13 @@ def profile_sql() -> dict[str, str]:
             "CAST(NULL AS DOUBLE) AS q25, CAST(NULL AS DOUBLE) AS q50, CAST(NULL AS DOUBLE) AS q75, "
             "CAST(NULL AS DOUBLE) AS max")
         desc.append(f"""
-            SELECT 'orders' AS table_name, '{c}' AS column_name, count({c}) AS count,
-                   (SELECT count(DISTINCT {c}) FROM raw_orders) AS unique,
-                   (SELECT CAST({c} AS VARCHAR) FROM raw_orders WHERE {c} IS NOT NULL GROUP BY {c}
+            SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS count,
+                   (SELECT count(DISTINCT {c}) FROM raw_{t}) AS unique,
+                   (SELECT CAST({c} AS VARCHAR) FROM raw_{t} WHERE {c} IS NOT NULL GROUP BY {c}
                     ORDER BY count(*) DESC, {c} LIMIT 1) AS top,
-                   (SELECT count(*) FROM raw_orders WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1)
+                   (SELECT count(*) FROM raw_{t} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1)
                        AS freq,
                    {stats}
-            FROM raw_orders""")
+            FROM raw_{t}""")
     q["profile_describe"] = sql("\nUNION ALL\n".join(desc))
     return q
