@@ -34,7 +34,7 @@ def warehouse(spark: SparkSession, **over) -> Warehouse:
     import uuid
 
     root = f"{work_dir(spark)}/tests/{uuid.uuid4().hex[:8]}"
-    return Warehouse(spark, "/nonexistent", root=root, raw=frames(spark, **over))
+    return Warehouse(spark, "/nonexistent", root=root, raw=frames(spark, **over), guarded=not over)
 
 
 def clean_raw(spark: SparkSession) -> Warehouse:

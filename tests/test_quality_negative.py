@@ -94,17 +94,66 @@ def test_wrong_row_count_in_contract(tiny):
     assert {r.table_name for r in rows if r.status == "FAIL"} == {"aisles"}
 
 
-def test_ingestion_log_checks(tiny):
-    rep = {r.check_name: r.issue_count for r in io.check_ingestion_log(tiny).collect()}
-    assert rep == {"log_row_count": 0, "log_table_count": 0, "log_failed_tables": 0, "log_count_mismatch": 0}
-    log = io.ingestion_log(tiny)  # a fresh run is written and is the latest
-    assert log.count() == 6
+NONE_WRONG = {"log_row_count": 0, "log_table_count": 0, "log_failed_tables": 0, "log_count_mismatch": 0}
+
+
+def _log(wh):
+    return {r.table_name: (r.status, r.actual_rows, r.expected_rows) for r in io.ingestion_log(wh).collect()}
+
+
+def _checks(wh):
+    return {r.check_name: r.issue_count for r in io.check_ingestion_log(wh).collect()}
+
+
+def test_check_reads_the_log_of_the_load(tiny):
+    with pytest.raises(Exception, match="(?i)path"):
+        io.check_ingestion_log(tiny).collect()  # nothing was loaded: the check writes no log of its own
+    io.load_run(tiny)
+    assert _checks(tiny) == NONE_WRONG
+    assert io.ingestion_log(tiny).count() == 6
 
 
 def test_ingestion_log_with_failed_table(tiny):
-    expected = {"aisles": 99, "departments": 2, "products": 3, "orders": 5, "order_products_prior": 5,
-                "order_products_train": 2}
-    io.write_ingestion_log(tiny, expected=expected)
-    rep = {r.check_name: r.issue_count for r in io.check_ingestion_log(tiny, write=False).collect()}
-    assert rep["log_failed_tables"] == 1 and rep["log_count_mismatch"] == 1
-    assert rep["log_row_count"] == 0 and rep["log_table_count"] == 0
+    io.load_run(tiny)
+    io.load_run(tiny, expected={"aisles": 99})
+    assert _checks(tiny) == {**NONE_WRONG, "log_failed_tables": 1, "log_count_mismatch": 1}  # the latest run counts
+
+
+def _files(tiny, folder):
+    from trolley.sources.schemas import SOURCE_FILES
+    for t, name in SOURCE_FILES.items():
+        io.write_csv(tiny.raw(t), f"{folder}/{name}")
+
+
+def test_run_that_failed_is_logged_and_raised(spark, tiny, tmp_path):
+    from trolley.plans.warehouse import Warehouse
+    _files(tiny, tmp_path)
+    wh = Warehouse.from_files(spark, str(tmp_path))
+    io.load_run(wh)
+    assert _checks(wh) == NONE_WRONG
+    assert _log(wh)["order_products_prior"] == ("SUCCESS", 5, 5) and wh.source_rows("order_products_train") == 2
+    bad = Warehouse.from_files(spark, str(tmp_path))
+    spark.createDataFrame([("x", "y")], "aisle_id string, aisle string").write.mode("overwrite").option("header", True).csv(f"{tmp_path}/aisles.csv")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        io.load_run(bad)
+    log = _log(bad)
+    assert log["aisles"] == ("FAILED", None, None) and log["orders"] == ("SUCCESS", 5, 5)
+    assert _checks(bad) == {**NONE_WRONG, "log_failed_tables": 1}
+
+
+def test_missing_file_is_counted_and_an_empty_table_is_not(spark, tiny, tmp_path):
+    import shutil
+
+    from trolley.plans.warehouse import Warehouse
+    _files(tiny, tmp_path)
+    wh = Warehouse.from_files(spark, str(tmp_path))
+    assert _issues(wh, "dq_tables_exist") == {"tables_exist": 0}
+    tiny.raw("departments").limit(0).write.mode("overwrite").option("header", True).csv(f"{tmp_path}/departments.csv")
+    assert _issues(wh, "dq_tables_exist") == {"tables_exist": 0}
+    shutil.move(f"{tmp_path}/aisles.csv", f"{tmp_path}/elsewhere.csv")
+    assert _issues(wh, "dq_tables_exist") == {"tables_exist": 1} and wh.missing() == ["aisles"]
+    listed = {r.table_name: (r.table_type, r.n_columns, r.row_count) for r in io.catalog_listing(wh).collect()}
+    assert "raw_aisles" not in listed and listed["raw_departments"] == ("TEMPORARY", 2, 0) and listed["raw_orders"] == ("TEMPORARY", 7, 5)
+    assert wh._tables == {}  # listing built nothing
+    with pytest.raises(FileNotFoundError, match="aisles"):
+        wh.raw("orders")

@@ -169,13 +169,66 @@ def test_optional_in_list_filter(tiny):
 
 
 def test_join_guards(spark):
-    from trolley.plans.features import order_features
-    from trolley.plans.marts import dim_product
-    wh = warehouse(spark, aisles=[(1, "fresh fruits"), (2, "yogurt"), (2, "yogurt again")])
-    with pytest.raises(ValueError, match="aisles"):
-        dim_product(wh.raw("products"), wh.raw("aisles"), wh.raw("departments"), validate=True)
+    """A repeated key fails the guarded marts themselves; opened unguarded they are built, so that it can be reported."""
+    from tests.frames import AISLES
+    from trolley.plans.warehouse import Warehouse
+    loose = warehouse(spark, aisles=AISLES + [(2, "yogurt2")], orders=ORDERS + [ORDERS[0]])
+    raw = {t: loose.raw(t) for t in io.RAW_TABLES}
+    strict = Warehouse(spark, "frames://twice", raw=raw)
+    with pytest.raises(Exception, match=r"aisles: key \('aisle_id',\) is not unique: 2"):
+        strict.dim_product.collect()
+    with pytest.raises(Exception, match=r"orders: key \('order_id',\) is not unique: 1"):
+        strict.order_features.collect()
+    assert loose.dim_product.count() == 4 and loose.order_features.count() == 5
     ok = warehouse(spark)
-    assert order_features(ok.stg_orders, ok.order_baskets, validate=True).count() == 4
+    assert ok.guarded and ok.order_features.count() == 4 and ok.dim_product.count() == 3
+
+
+def test_guard_needs_no_exchange_on_buckets(spark):
+    from trolley.functions.joins import guarded
+    from trolley.plans.warehouse import Warehouse
+    wh = Warehouse.get(spark, "/root/testdata/sf0.001")
+    plan = guarded(wh.stg_orders, ["order_id"], "orders")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_itemsets_of_three_equal_brute_force(spark):
+    import itertools
+    import random
+    r = random.Random(4)
+    prior = [(o, p, i + 1, 0) for o in (1, 2, 4) for i, p in enumerate(r.sample(range(1, 9), 6))] + [(1, 1, 9, 0)]
+    more = [(100 + o, 1, "prior", 1, 0, 8, None) for o in range(40)]
+    prior += [(100 + o, p, i + 1, 0) for o in range(40) for i, p in enumerate(r.sample(range(1, 9), r.randrange(1, 7)))]
+    wh = warehouse(spark, orders=ORDERS + more, order_products_prior=prior, products=[(i, f"p{i}", 1, 1) for i in range(1, 9)])
+    baskets = {}
+    for o, p, _, _ in prior + [(3, 1, 1, 1), (3, 2, 2, 1)]:
+        baskets.setdefault(o, set()).add(p)
+    n = len(baskets)
+    of = lambda *s: sum(set(s) <= b for b in baskets.values())
+    for floor in (1, 5, 9):
+        want = {(a, b, c): (of(a, b, c), of(a, b, c) / n, of(a, b, c) / of(a, b), of(a, b, c) * n * n / (of(a) * of(b) * of(c)))
+                for a, b, c in itertools.combinations(range(1, 9), 3) if of(a, b, c) >= floor}
+        got = {(x.product_a_id, x.product_b_id, x.product_c_id): (x.order_count, x.support, x.confidence, x.lift)
+               for x in af.itemset_triples(wh, min_orders=floor).collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert af.itemset_triples(wh, min_support=1.0).count() == 0
+
+
+def test_changed_source_rebuilds_what_depends_on_it(spark, tiny, tmp_path):
+    from trolley.plans.warehouse import Warehouse
+    from trolley.sources.schemas import SOURCE_FILES
+    for t, name in SOURCE_FILES.items():
+        io.write_csv(tiny.raw(t), str(tmp_path / name))
+    wh = Warehouse.from_files(spark, str(tmp_path))
+    wh.build_all(["dim_product", "order_baskets", "fact_order"])
+    assert wh.refresh() == []
+    before = dict(wh._tables)
+    more = spark.createDataFrame([(4, "Kiwi", 1, 1)], tiny.raw("products").schema)
+    io.write_csv(more, str(tmp_path / "products.csv"), mode="append")
+    assert wh.refresh() == ["dim_product", "products"]  # and nothing that only reads orders or items
+    assert wh.dim_product.count() == 4 and wh.rows("dim_product") == 4
+    assert all(wh._tables[t] is before[t] for t in ("order_baskets", "fact_order", "orders", "items"))
+    assert before["order_baskets"].count() == 4
 
 
 def test_compressed_subset_export(tiny):

@@ -18,6 +18,7 @@ from trolley.plans.warehouse import Warehouse
 
 FLOOR = 350
 SMALL_USER = 100
+SMALL_TRIPLES = 3  # orders that make three of the derived products frequent
 # departments that the driver's tables hold, for the keys with named departments
 DEPARTMENTS = ("ECONOMY", "PROMO")
 
@@ -102,8 +103,8 @@ def registry() -> dict[str, Query]:
         "export_user_subset": _wh(io.export_user_subset, small={"max_user_id": SMALL_USER}),
         "upsert_merge": _wh(io.upsert_merge),
         "table_copy": _wh(io.table_copy),
-        "ingestion_log": _wh(io.ingestion_log),
-        "dq_ingestion_log": _wh(io.check_ingestion_log),
+        "ingestion_log": _wh(io.logged_tables),
+        "dq_ingestion_log": _wh(io.logged_checks),
         "catalog_listing": _wh(io.catalog_listing),
         "schema_contract": _wh(io.schema_contract),
         "row_count_contract": _wh(io.row_count_contract),
@@ -124,6 +125,7 @@ def registry() -> dict[str, Query]:
         "pair_matrix": _wh(af.pair_matrix),
         "pair_matrix_lower": _wh(af.pair_matrix_lower),
         "association_rules": _wh(af.association_rules),
+        "itemset_triples": _wh(af.itemset_triples, small={"min_orders": SMALL_TRIPLES}),
     })
     q.update({
         "prior_order_features": _wh(prior_order_features),
@@ -197,7 +199,7 @@ def oracle() -> dict[str, str]:
 
     out = dict(model_sql())
     out.update(metric_sql(FLOOR, CUSTOMER_HISTOGRAM_BINS))
-    out.update(affinity_sql(af.AFFINITY_PRODUCTS, af.TOP_PAIRS, af.MATRIX_PRODUCTS))
+    out.update(affinity_sql(af.AFFINITY_PRODUCTS, af.TOP_PAIRS, af.MATRIX_PRODUCTS, SMALL_TRIPLES))
     out.update(quality_sql())
     from trolley.oracle.profile_sql import profile_sql
     from trolley.oracle.sources_sql import sources_sql

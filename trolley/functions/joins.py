@@ -31,3 +31,15 @@ def assert_unique(df: DataFrame, keys: list[str] | tuple[str, ...], what: str =
     """Raise if ``keys`` repeat in ``df`` (pandas ``validate='many_to_one'`` / ``'one_to_one'``)."""
     if duplicate_keys(df, keys).limit(1).count():
         raise ValueError(f"{what}: key {tuple(keys)} is not unique")
+
+
+def guarded(df: DataFrame, keys: list[str] | tuple[str, ...], what: str = "join side") -> DataFrame:
+    """``df`` reduced by ``keys`` with the number of its rows; a key with more than one raises when it is read.
+
+    The guard is part of the query (pandas ``validate='many_to_one'`` / ``'one_to_one'``): no job of its own, and no
+    exchange where ``df`` is bucketed by its keys.  It sits in the first column beside the keys."""
+    rest = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[F.any_value(c).alias(c) for c in rest])
+    message = F.concat(F.lit(f"{what}: key {tuple(keys)} is not unique: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    first = F.when(F.col("_rows") > 1, F.raise_error(message)).otherwise(F.col(rest[0])).cast(df.schema[rest[0]].dataType).alias(rest[0])
+    return one.select(*[first if c == rest[0] else F.col(c) for c in df.columns])

@@ -11,6 +11,9 @@ k(k-1)/2 keys and is combined map-side.
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,14 +99,17 @@ def pair_matrix(wh: Warehouse, n: int = MATRIX_PRODUCTS) -> DataFrame:
 
 def pair_matrix_lower(wh: Warehouse, n: int = MATRIX_PRODUCTS) -> DataFrame:
     """The strict lower triangle of the matrix in long form (row rank > column rank), zeros kept."""
-    m = pair_matrix(wh, n)
-    stack = "stack({n}, {cells}) as (col_rank, pair_order_count)".format(
-        n=n, cells=", ".join(f"{j}, p{j}" for j in range(1, n + 1)))
-    long = m.selectExpr("product_rank as row_rank", "product_name as row_product", stack)
-    names = m.select(F.col("product_rank").alias("col_rank"), F.col("product_name").alias("col_product"))
-    return (long.filter(F.col("row_rank") > F.col("col_rank"))
-            .join(F.broadcast(names), "col_rank")  # n rows
-            .select("row_rank", "row_product", "col_rank", "col_product", "pair_order_count")
+    prods = _matrix_products(wh, n)  # n rows
+    ranks = prods.select("product_id", "rank")
+    ra = ranks.select(F.col("product_id").alias("product_a_id"), F.col("rank").alias("ra"))
+    rb = ranks.select(F.col("product_id").alias("product_b_id"), F.col("rank").alias("rb"))
+    ranked = (product_pairs(wh, n).join(F.broadcast(ra), "product_a_id").join(F.broadcast(rb), "product_b_id")
+              .select(F.greatest("ra", "rb").alias("row_rank"), F.least("ra", "rb").alias("col_rank"), "pair_order_count"))
+    rows = prods.where("rank > 1").select(F.col("rank").alias("row_rank"), F.col("product_name").alias("row_product"),
+                                          F.explode(F.sequence(F.lit(1), F.col("rank") - 1)).alias("col_rank"))
+    names = prods.select(F.col("rank").alias("col_rank"), F.col("product_name").alias("col_product"))
+    return (rows.join(F.broadcast(names), "col_rank").join(F.broadcast(ranked), ["row_rank", "col_rank"], "left")  # n (n - 1) / 2 rows
+            .select("row_rank", "row_product", "col_rank", "col_product", F.coalesce("pair_order_count", F.lit(0)).alias("pair_order_count"))
             .orderBy("row_rank", "col_rank"))
 
 
@@ -127,3 +133,57 @@ def association_rules(wh: Warehouse, k: int = AFFINITY_PRODUCTS) -> DataFrame:
                     (c / F.col("orders_a")).alias("confidence_ab"),
                     (c / F.col("orders_b")).alias("confidence_ba"),
                     (c * n_orders / (F.col("orders_a").cast("double") * F.col("orders_b"))).alias("lift")))
+
+
+# Fixed value: an itemset is frequent from this share of the orders with items on.
+MIN_SUPPORT = 0.001
+
+
+def _threshold(wh: Warehouse, min_support: float, min_orders: int | None) -> tuple[int, int]:
+    """(orders with items, orders that make an itemset frequent)."""
+    n = wh.rows("order_baskets")
+    return n, max(1, min_orders if min_orders is not None else math.ceil(min_support * n))
+
+
+def frequent_items(wh: Warehouse, floor: int) -> DataFrame:
+    """Level 1: products in at least ``floor`` orders."""
+    return (wh.fact_order_item.select("order_id", "product_id").distinct().groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") >= floor))
+
+
+def itemset_triples(wh: Warehouse, min_support: float = MIN_SUPPORT, min_orders: int | None = None) -> DataFrame:
+    """B6 beyond pairs: frequent sets of three products, level by level, with support, confidence and lift.
+
+    Level 1 keeps the frequent products' rows, level 2 counts pairs of those and keeps the frequent ones, level 3 only
+    forms triples whose three pairs are all frequent (a set can't be in more orders than its subsets).  All per-order
+    joins run on order_id, by which the items are bucketed; what crosses the network are counts by itemset, combined in
+    each task first.  confidence: of the orders with a and b, the share that has c; lift: against independence.
+    """
+    n, floor = _threshold(wh, min_support, min_orders)
+    scratch = wh.path("reports", f"itemsets-{uuid.uuid4().hex[:8]}")
+
+    def kept(df: DataFrame, level: int) -> DataFrame:  # a level is written once; the next levels read it several times
+        df.write.parquet(f"{scratch}/level{level}")
+        return wh.spark.read.schema(df.schema).parquet(f"{scratch}/level{level}")
+
+    one = kept(frequent_items(wh, floor), 1)
+    rows = wh.fact_order_item.select("order_id", "product_id").distinct().join(small(one.select("product_id"), one.count()), "product_id", "left_semi")
+    a, b = (rows.select("order_id", F.col("product_id").alias(x)) for x in ("a", "b"))
+    pairs = a.join(b, "order_id").where("a < b")
+    two = kept(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab")).where(F.col("n_ab") >= floor), 2)
+    few = two.count()
+
+    def frequent(x: str, y: str) -> DataFrame:
+        return small(two.select(F.col("a").alias(x), F.col("b").alias(y)), few)
+
+    ab = pairs.join(frequent("a", "b"), ["a", "b"], "left_semi")
+    ac = ab.withColumnRenamed("b", "c")
+    three = (ab.join(ac, ["order_id", "a"]).where("b < c").join(frequent("b", "c"), ["b", "c"], "left_semi")
+             .groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("order_count")).where(F.col("order_count") >= floor))
+    count = F.col("order_count").cast("double")
+    out = three.join(small(two, few), ["a", "b"])
+    for x in ("a", "b", "c"):
+        out = out.join(small(one.select(F.col("product_id").alias(x), F.col("n").cast("double").alias(f"n_{x}")), one.count()), x)
+    return out.select(F.col("a").alias("product_a_id"), F.col("b").alias("product_b_id"), F.col("c").alias("product_c_id"), "order_count",
+                      (count / n).alias("support"), (count / F.col("n_ab")).alias("confidence"),
+                      (count * n * n / (F.col("n_a") * F.col("n_b") * F.col("n_c"))).alias("lift"))

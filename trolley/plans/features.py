@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.functions.columns import customer_segment, day_part, safe_ratio
-from trolley.functions.joins import assert_unique, small
+from trolley.functions.joins import guarded, small
 from trolley.functions.quantiles import exact_median
 
 
-def order_features(orders: DataFrame, baskets: DataFrame, validate: bool = False) -> DataFrame:
+def order_features(orders: DataFrame, baskets: DataFrame, validate: bool = True) -> DataFrame:
     """Orders with items, their day part and basket measures (M12, inner one-to-one join).
 
-    ``validate=True`` checks the one-to-one contract (order_id unique on both sides).
+    ``validate`` puts the one-to-one contract into the plan: an order_id that repeats on either side fails the query.
     """
     if validate:
-        assert_unique(orders, ["order_id"], "orders")
-        assert_unique(baskets, ["order_id"], "order measures")
+        orders, baskets = guarded(orders, ["order_id"], "orders"), guarded(baskets, ["order_id"], "order measures")
     return (
         orders.join(baskets, "order_id", "inner")
         .select("order_id", "user_id", "eval_set", "order_number", "order_dow", "order_hour_of_day",

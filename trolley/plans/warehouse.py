@@ -19,14 +19,14 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.plans import features as fe
 from trolley.plans import marts as mt
 from trolley.plans import staging as st
 from trolley.session import work_dir
-from trolley.sources import driver
+from trolley.sources import driver, store
 from trolley.sources.schemas import RAW_TABLES
 
 # staging + intermediate models and projection marts are views; other marts are written tables
@@ -48,8 +48,11 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None,
                  raw: dict[str, DataFrame] | None = None, files: dict[str, str] | None = None,
-                 file_format: str = "csv"):
+                 file_format: str = "csv", guarded: bool = True):
+        """``guarded``: marts with a many-to-one or one-to-one contract fail on a key that breaks it.  Sources that are
+        still to be checked are opened with ``guarded=False``, so that the quality report can name all they break."""
         self.spark = spark
+        self.guarded = guarded
         self.sf_dir = sf_dir.rstrip("/")
         self._files = files
         self._file_format = file_format
@@ -60,6 +63,12 @@ class Warehouse:
         self._rows: dict[str, int] = {}
         self._lock = threading.RLock()
         self._locks: dict[str, threading.Lock] = {}
+        self._needs: dict[str, set[str]] = {}  # written table -> the tables and sources that its build read
+        self._building = threading.local()
+        self._prints: dict[str, str] = {}  # source -> fingerprint of its files when it was last looked at
+        self._generation: dict[str, int] = {}  # written table -> how often it has been rebuilt
+        self._epoch = 0  # number of changes seen in the sources
+        self.observed: dict[str, dict[str, int]] = {}  # raw table -> rows that its source gave to the write
         # Order-keyed tables are bucketed by order_id so order-level joins and aggregates need no
         # exchange.  Bucket count: spark.trolley.orderBuckets, else sized from the input (_bucket_count).
         # order_id is a safe bucket key: an order holds at most one row per product (the
@@ -94,7 +103,72 @@ class Warehouse:
             wh = _CACHE.get(key)
             if wh is None:
                 wh = _CACHE[key] = cls(spark, sf_dir)
-            return wh
+        wh.refresh()
+        return wh
+
+    # ------------------------------------------------------------------ sources
+    def sources(self) -> dict[str, str]:
+        """Source name -> path of the files behind the raw tables (none for given frames)."""
+        if self._files is not None:
+            return dict(self._files)
+        if self._raw_override is not None:
+            return {}
+        return {t: f"{self.sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "part")}
+
+    def sources_of(self, raw_table: str) -> tuple[str, ...]:
+        """The sources that a raw table is read or derived from."""
+        if self._files is not None:
+            return (raw_table,)
+        if self._raw_override is not None:
+            return ()
+        return {"orders": ("orders", "lineitem"), "order_products_prior": ("orders", "lineitem", "part"),
+                "order_products_train": ("orders", "lineitem", "part")}.get(raw_table, ("part",))
+
+    def fingerprints(self) -> dict[str, str]:
+        """Source -> digest of its files' names, sizes and times (a listing, no data); '' where no file is."""
+        out = {}
+        for name, path in self.sources().items():
+            found = store.files(self.spark, path)
+            out[name] = "" if found is None else hashlib.sha1(repr(found).encode()).hexdigest()
+        return out
+
+    def missing(self) -> list[str]:
+        """Raw tables without a file to read them from (a listing; an empty table is not missing)."""
+        gone = {s for s, path in self.sources().items() if not store.exists(self.spark, path)}
+        return [t for t in RAW_TABLES if gone & set(self.sources_of(t))]
+
+    def refresh(self) -> list[str]:
+        """Forget every written table that depends on a source whose files have changed since they were last looked at;
+        the next use builds it anew, in a folder of its own.  Returns the names; others stay as they are."""
+        if self._raw_override is not None:
+            return []
+        with self._lock:
+            now = self.fingerprints()
+            changed = {f"source:{s}" for s in now if s in self._prints and self._prints[s] != now[s]}
+            self._prints = now
+            if not changed:
+                return []
+            stale = set(changed)
+            while more := {t for t, needs in self._needs.items() if t not in stale and needs & stale}:
+                stale |= more
+            gone = sorted(t for t in stale if t in self._tables)
+            for t in gone:
+                del self._tables[t]
+                self._needs.pop(t, None)
+                self._generation[t] = self._generation.get(t, 0) + 1
+            self._rows.clear()
+            self.observed.clear()
+            self._checked = False
+            # landed files, change feeds, loads and logs belong to one state of the sources
+            self._epoch += 1
+            self._landed = self._items_dropped = self._changes_dropped = self._changes_landed = False
+            return gone
+
+    def _uses(self, name: str) -> None:
+        """Note that the table being built in this thread reads ``name``."""
+        stack = getattr(self._building, "stack", [])
+        if stack and stack[-1] != name:
+            self._needs.setdefault(stack[-1], set()).add(name)
 
     def _input_paths(self) -> list[str]:
         if self._files is not None:
@@ -121,14 +195,16 @@ class Warehouse:
         return max(1, self.spark.sparkContext.defaultParallelism, by_size)
 
     def path(self, layer: str, name: str) -> str:
-        return f"{self.root}/{layer}/{name}"
+        of = f"@{self._epoch}" if self._epoch and layer not in ("raw", "marts", "reports") else ""
+        return f"{self.root}/{layer}{of}/{name}"
 
     def _name_lock(self, name: str) -> threading.Lock:
         with self._lock:
             return self._locks.setdefault(name, threading.Lock())
 
     def materialise(self, name: str, build: Callable[[], DataFrame], layer: str = "marts",
-                    partition_by: str | None = None, bucket_by: str | None = None) -> DataFrame:
+                    partition_by: str | None = None, bucket_by: str | None = None,
+                    count_by: str | None = None) -> DataFrame:
         """Write ``build()`` once as Parquet and return a DataFrame reading it back.
 
         With ``bucket_by`` the table is written bucketed (and sorted) on that
@@ -138,14 +214,30 @@ class Warehouse:
         concurrently (``build_all``) while a table needed by two builders is
         written once; the dependency graph is acyclic, so nested locks cannot
         deadlock.
+
+        Raw tables' rows are counted by the write itself (``observed``; by value of ``count_by`` if given).
         """
+        self._uses(name)
         done = self._tables.get(name)
         if done is not None:
             return done
         with self._name_lock(name):
             if name not in self._tables:
-                out = self.path(layer, name)
-                df = build()
+                again = self._generation.get(name, 0)
+                out = self.path(layer, f"{name}.{again}" if again else name)
+                stack = self._building.stack = [*getattr(self._building, "stack", []), name]
+                try:
+                    df = build()
+                finally:
+                    stack.pop()
+                    self._building.stack = stack
+                seen = None
+                if layer == "raw":
+                    own = ("order_products_prior", "order_products_train") if name == "items" else (name,)
+                    self._needs.setdefault(name, set()).update(f"source:{x}" for t in own for x in self.sources_of(t))
+                    seen = Observation()
+                    counts = [F.count(F.lit(1)).alias("rows")] + [F.count_if(F.col(count_by) == v).alias(v) for v in ("prior", "train") if count_by]
+                    df = df.observe(seen, *counts)
                 if bucket_by and self.bucketing:
                     # one task per bucket (same hash as bucketing): one file per bucket and partition value
                     df = df.repartition(self.buckets, bucket_by)
@@ -154,7 +246,7 @@ class Warehouse:
                     writer = writer.partitionBy(partition_by)
                 done = False
                 if bucket_by and self.bucketing:
-                    table = self._table_prefix + name
+                    table = self._table_prefix + name + (f"_{again}" if again else "")
                     try:
                         writer.bucketBy(self.buckets, bucket_by).sortBy(bucket_by).option("path", out) \
                             .saveAsTable(table)
@@ -168,6 +260,8 @@ class Warehouse:
                 if not done:
                     writer.parquet(out)
                     self._tables[name] = self.spark.read.parquet(out)
+                if seen is not None:
+                    self.observed[name] = dict(seen.get)
             return self._tables[name]
 
     def build_all(self, names: Iterable[str] = ALL_TABLES, threads: int = 8) -> None:
@@ -177,6 +271,12 @@ class Warehouse:
             for f in [pool.submit(getattr, self, n) for n in names]:
                 f.result()
 
+    def source_rows(self, raw_table: str) -> int | None:
+        """Rows that the source gave to the write of a raw table, as that write counted them (None: not written here)."""
+        if raw_table in ("order_products_prior", "order_products_train"):
+            return self.observed.get("items", {}).get(raw_table.rsplit("_", 1)[1])
+        return self.observed.get(raw_table, {}).get("rows")
+
     def rows(self, name: str) -> int:
         """Row count of a materialised table (read from the written files once)."""
         got = self._rows.get(name)
@@ -216,8 +316,8 @@ class Warehouse:
 
     def close(self) -> None:
         """Drop this warehouse's catalogue tables and delete its folder."""
-        for name in list(self._tables):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_prefix}{name}")
+        for t in self.spark.catalog.listTables(pattern=f"{self._table_prefix}*"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {t.name}")
         self._tables.clear()
         self._rows.clear()
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
@@ -251,12 +351,14 @@ class Warehouse:
             part_product = driver.derive_catalogue(self.spark, self.sf_dir)["_part_product"]
             items = driver.derive_items(self.spark, self.sf_dir, self.raw("orders"), part_product)
             return items.filter(F.col("eval_set").isin("prior", "train"))  # test orders have no basket
-        return self.materialise("items", build, layer="raw", partition_by="eval_set", bucket_by="order_id")
+        return self.materialise("items", build, layer="raw", partition_by="eval_set", bucket_by="order_id", count_by="eval_set")
 
     def raw(self, name: str) -> DataFrame:
         """One of the six raw tables (``RAW_TABLES``)."""
         if name not in RAW_TABLES:
             raise KeyError(name)
+        if not self._prints and self._raw_override is None:
+            self.refresh()  # from here on a change of the files is noticed
         if self._raw_override is not None:
             return self._raw_override[name]
         if self._files is not None:
@@ -355,7 +457,7 @@ class Warehouse:
     def dim_product(self) -> DataFrame:
         return self.materialise("dim_product", lambda: mt.dim_product(
             self.raw("products"), self.raw("aisles"), self.raw("departments"),
-            self.rows("dim_aisles"), self.rows("dim_departments")))
+            self.rows("dim_aisles"), self.rows("dim_departments"), self.guarded))
 
     @property
     def dim_order_slot(self) -> DataFrame:
@@ -372,7 +474,7 @@ class Warehouse:
 
     @property
     def order_features(self) -> DataFrame:
-        return self.materialise("order_features", lambda: fe.order_features(self.stg_orders, self.order_baskets),
+        return self.materialise("order_features", lambda: fe.order_features(self.stg_orders, self.order_baskets, self.guarded),
                                 bucket_by="order_id")
 
     @property

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.plans.warehouse import Warehouse
+from trolley.sources import store
 from trolley.sources.schemas import RAW_KEYS, RAW_SCHEMAS, RAW_TABLES
 
 # ----------------------------------------------------------------- landing / ingest
@@ -264,33 +265,60 @@ LOG_SCHEMA = ("run_id string, table_name string, status string, actual_rows bigi
               "completed_at timestamp")
 
 
-def write_ingestion_log(wh: Warehouse, expected: dict[str, int] | None = None) -> str:
-    """Append one log row per raw table for a new run; expected = the source's own counts."""
-    run_id = uuid.uuid4().hex
-    src = {r.table_name: r.row_count for r in ingest_row_counts(wh).collect()}  # six rows
-    rows = []
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+def load_run(wh: Warehouse, expected: dict[str, int] | None = None) -> str:
+    """Load the six raw tables and log the run, one row a table.
+
+    expected_rows are the rows that the source gave, counted by the write of the table itself (or ``expected``);
+    actual_rows those that the written table holds.  A table that can't be loaded is logged as FAILED, the others are
+    still loaded, and the first error is raised after the log is written."""
+    run_id, rows, failed = uuid.uuid4().hex, [], None
     for t in RAW_TABLES:
-        actual = wh.rows_raw(t)
-        exp = (expected or src).get(t)
-        status = "SUCCESS" if exp is not None and exp == actual else "FAILED"
-        rows.append((run_id, t, status, actual, exp, now))
-    log = wh.path("meta", "ingestion_log")
-    wh.spark.createDataFrame(rows, LOG_SCHEMA).write.mode("append").parquet(log)
-    return log
-
-
-def ingestion_log(wh: Warehouse, write: bool = True) -> DataFrame:
-    """Latest run of the log (by default a run is written first)."""
-    log = write_ingestion_log(wh) if write else wh.path("meta", "ingestion_log")
-    df = wh.spark.read.parquet(log)
+        actual = given = None
+        try:
+            wh.raw(t)
+            actual = wh.rows_raw(t)
+            given = wh.source_rows(t)
+        except Exception as e:
+            failed = failed or e
+        exp = (expected or {}).get(t, given if given is not None or actual is None else actual)
+        done = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        rows.append((run_id, t, "SUCCESS" if actual is not None and exp == actual else "FAILED", actual, exp, done))
+    wh.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(wh.path("meta", "ingestion_log"))
+    if failed is not None:
+        raise failed
+    return run_id
+
+
+def loaded(wh: Warehouse) -> None:
+    """Load the raw tables unless a run over the present sources has been logged."""
+    with wh._name_lock("_load_run"):
+        if not store.exists(wh.spark, wh.path("meta", "ingestion_log")):
+            load_run(wh)
+
+
+def ingestion_log(wh: Warehouse) -> DataFrame:
+    """Latest run of the log."""
+    df = wh.spark.read.schema(LOG_SCHEMA).parquet(wh.path("meta", "ingestion_log"))
     latest = df.agg(F.max_by("run_id", "completed_at").alias("run_id"))
     return df.join(F.broadcast(latest), "run_id", "left_semi")
 
 
-def check_ingestion_log(wh: Warehouse, write: bool = True) -> DataFrame:
-    """The latest run has six rows, six tables, no failed table and no count mismatch."""
-    latest = ingestion_log(wh, write)
+def logged_tables(wh: Warehouse) -> DataFrame:
+    """The latest run's tables: what the load noted, without its random id and its times."""
+    loaded(wh)
+    return ingestion_log(wh).select("table_name", "status", "actual_rows", "expected_rows",
+                                    (F.length("run_id") == 32).alias("has_run_id"), F.col("completed_at").isNotNull().alias("completed"))
+
+
+def logged_checks(wh: Warehouse) -> DataFrame:
+    """D23 over the log of the warehouse's own load."""
+    loaded(wh)
+    return check_ingestion_log(wh)
+
+
+def check_ingestion_log(wh: Warehouse) -> DataFrame:
+    """The latest run has six rows, six tables, no failed table and no count mismatch.  Only reads the log."""
+    latest = ingestion_log(wh)
     agg = latest.agg(
         (F.lit(len(RAW_TABLES)) - F.count(F.lit(1))).alias("log_row_count"),
         (F.lit(len(RAW_TABLES)) - F.count_distinct("table_name")).alias("log_table_count"),
@@ -308,16 +336,26 @@ def check_ingestion_log(wh: Warehouse, write: bool = True) -> DataFrame:
 # ------------------------------------------------------------------ catalogue / contracts
 
 
-def catalog_listing(wh: Warehouse) -> DataFrame:
-    """The registered tables and views with their type and row count."""
-    wh.register_views()
-    parts = [wh.spark.table(t.name).agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(t.name).alias("table_name"), F.lit(t.tableType).alias("table_type"), F.lit(t.isTemporary).alias("is_temporary"), "row_count")
-        for t in wh.spark.catalog.listTables() if t.isTemporary and t.name.startswith("raw_")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def catalog_listing(wh: Warehouse, built: bool = False) -> DataFrame:
+    """Name, type and columns of the six source tables as the session's catalogue knows them, and their rows.
+
+    Registers views of the sources and reads the catalogue; nothing is written or built.  A table without a source
+    file is left out.  With ``built`` also the tables that this warehouse has written so far (rows not counted)."""
+    gone = set(wh.missing())
+    here = [t for t in RAW_TABLES if t not in gone]
+    for t in here:
+        wh.source(t).createOrReplaceTempView(f"raw_{t}")
+    catalogue = wh.spark.catalog
+    lines = []
+    for t in (catalogue.getTable(f"raw_{t}") for t in here):
+        lines.append((t.name, t.tableType, t.isTemporary, len(catalogue.listColumns(t.name))))
+    if built:
+        lines += [(t.name, t.tableType, t.isTemporary, len(catalogue.listColumns(t.name))) for t in catalogue.listTables(pattern=f"{wh._table_prefix}*")]
+    names = wh.spark.createDataFrame(lines, "table_name string, table_type string, is_temporary boolean, n_columns int")
+    if not here:
+        return names.withColumn("row_count", F.lit(None).cast("bigint"))
+    counts = _counts({f"raw_{t}": wh.spark.table(f"raw_{t}") for t in here}, "row_count")
+    return names.join(F.broadcast(counts), "table_name", "left")  # one row a table
 
 
 def schema_contract(wh: Warehouse, expected=None) -> DataFrame:
