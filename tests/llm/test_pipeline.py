@@ -58,3 +58,15 @@ def test_slots_follow_the_mixed_order(spark, tmp_path):
     assert len(out) == 400 and len(by_shard) == corpus_pipeline.SHARDS
     for of in by_shard.values():
         assert [s for s, _ in of] == list(range(len(of))) and [p for _, p in of] == sorted(p for _, p in of)
+
+
+def test_near_copies_keep_every_text(spark):
+    """Rows that share an id keep their different texts; equal rows, without an id too, stay once."""
+    from trolley.llm.jaccard_join import one_of_each_group
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a, 0), (1, b, 0), (2, b, 0), (None, c, 0), (None, c, 0), (None, c, 0), (3, a + " end", 0), (None, a, 0), (4, None, 0), (5, "", 0), (7, "x y", 0), (7, "x y", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row_key int")
+    got = sorted(((r.doc_id, r.text) for r in one_of_each_group(docs).collect()), key=repr)
+    assert got == sorted([(1, a), (1, b), (None, c), (4, None), (5, ""), (7, "x y")], key=repr)
+    assert one_of_each_group(docs).columns == docs.columns

@@ -32,8 +32,10 @@ class Scratch:
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        """Delete tables of this object that no later step reads."""
+        """Delete tables of this object that no later step reads.  A collection of the driver's garbage lets Spark's
+        cleaner release their shuffle files and broadcasts too, which it does only for plans that are gone."""
         jvm = self.spark.sparkContext._jvm
+        jvm.System.gc()
         for t in tables:
             path = jvm.org.apache.hadoop.fs.Path(t.scratch_path)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -74,9 +74,9 @@ def shingle_frequencies(docs: DataFrame, k: int) -> np.ndarray:
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(total[hit])], ["bucket", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << SKETCH_BITS, np.float64)
-    out[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
+    out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
@@ -102,8 +102,10 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
     percent: the threshold times 100; compared in whole numbers."""
     freq = shingle_frequencies(docs, k)
     mean = float(np.median(freq))
+    shared_freq = docs.sparkSession.sparkContext.broadcast(freq.astype(np.float32))  # 1 MB whatever the input
 
     def prefixes(batches):
+        freq = shared_freq.value.astype(np.float64)
         for batch in batches:
             data, off = utf8(batch.column("text"))
             n, c, m, p, firsts = [], [], [], [], []
@@ -119,6 +121,7 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sets = scratch.table(docs.mapInArrow(prefixes, f"doc_id {id_type}, n long, c long, m int, first int, prefix array<long>"))
+    shared_freq.destroy()
     classes = scratch.table(sets.where("n > 0").groupBy("c").agg(*[F.first(x).alias(x) for x in ("n", "m", "first", "prefix")]))
     entries = classes.select(F.posexplode("prefix").alias("at", "tok"), "c").select("tok", "c", "at")
 
@@ -164,7 +167,7 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
         return pairs.where("2 * met >= m").select("c1", "c2")  # the others wait for the full join
 
     tried = scratch.table(near(lists, F.first(F.struct(*cells)).over(first), F.lag(F.struct(*cells)).over(by_size)))
-    links = scratch.table(verify(docs, tried, scratch, k, percent))
+    links = verify(docs, tried, scratch, k, percent)
     roots = components(scratch, links)
     spot = lists.join(roots, lists["c"] == roots["node"], "left").withColumn("root", F.coalesce("root", "c")).drop("node")
     open_lists = spot.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("tok")
@@ -189,13 +192,16 @@ def verify(docs: DataFrame, pairs: DataFrame, scratch: Scratch, k: int, percent:
     """The pairs (c1, c2) whose sets really link, as (a, b): 100 * common >= percent * union."""
     need = pairs.select(F.col("c1").alias("c")).unionByName(pairs.select(F.col("c2").alias("c"))).distinct()
     bit = F.col("c").bitwiseAND((64 << FILTER_BITS) - 1)
-    cells = need.groupBy(F.shiftright(bit, 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(c & 63 as int))")).alias("bits")).toPandas()
+    cells = need.groupBy(F.shiftright(bit, 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(c & 63 as int))")).alias("bits")).toArrow()
     maybe = np.zeros(1 << FILTER_BITS, np.uint64)
-    maybe[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64).view(np.uint64)
+    maybe[cells["cell"].to_numpy()] = cells["bits"].to_numpy().view(np.uint64)
+    shared_maybe = docs.sparkSession.sparkContext.broadcast(maybe)
+    del cells, maybe
 
     # sets are built again, only where a candidate may need them: the texts themselves are never shuffled
     def whole(batches):
         done: set[int] = set()
+        maybe = shared_maybe.value
         for batch in batches:
             data, off = utf8(batch.column("text"))
             c, p, size = [], [], 0
@@ -213,7 +219,10 @@ def verify(docs: DataFrame, pairs: DataFrame, scratch: Scratch, k: int, percent:
                     c, p, size = [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(p, pa.binary())], ["c", "toks"])
 
-    toks = docs.select("text").mapInArrow(whole, "c long, toks binary").dropDuplicates(["c"])
+    # written once: both sides of the pairs read it, and the texts are gone through once
+    found = scratch.table(docs.select("text").mapInArrow(whole, "c long, toks binary"))
+    shared_maybe.destroy()
+    toks = found.dropDuplicates(["c"])
     both = (pairs.join(toks.select(F.col("c").alias("c1"), F.col("toks").alias("t1")), "c1")
             .join(toks.select(F.col("c").alias("c2"), F.col("toks").alias("t2")), "c2"))
 
@@ -227,7 +236,9 @@ def verify(docs: DataFrame, pairs: DataFrame, scratch: Scratch, k: int, percent:
             got = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([got.column("c1"), got.column("c2")], ["a", "b"])
 
-    return both.mapInArrow(check, "a long, b long")
+    links = scratch.table(both.mapInArrow(check, "a long, b long"))
+    scratch.drop(found)
+    return links
 
 
 def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -244,10 +255,13 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def one_of_each_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without near copies of kept ones, with all their columns; of repeated rows of one doc_id
-    and of rows without an id, one or all stay as follows: rows whose id is null stay, repeated rows stay once."""
-    groups = jaccard_groups(docs, k=k, percent=percent)
-    keep = groups.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.where(docs["doc_id"].isNotNull()).dropDuplicates(["doc_id"])
-    named = named.join(keep, named["doc_id"] == keep["_kept_id"], "left_semi")
-    return named.unionByName(docs.where(docs["doc_id"].isNull()))
+    """One document of each group of near copies, with all its columns: the one of the smallest doc_id (a null id comes
+    last), then of the smallest hash of id and text.  Rows equal in id and text stay once, null ids included; rows that
+    share an id but not their text are documents of their own.  Texts without words link with nothing and stay."""
+    key = "_row_key"
+    while key in docs.columns:
+        key += "_"
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    named = keyed.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col(key).alias("key")).alias("doc_id"), "text")
+    keep = jaccard_groups(named, k=k, percent=percent).where("kept").select(F.col("doc_id.key").alias(key)).distinct()
+    return keyed.dropDuplicates([key]).join(keep, key, "left_semi").drop(key)
