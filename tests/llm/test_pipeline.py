@@ -50,7 +50,8 @@ def test_slots_follow_the_mixed_order(spark, tmp_path):
     rows = [(i, t, "en", "a" if i % 10 else "b", len(t)) for i, t in enumerate(prose(400, 5))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     position = {x.doc_id: x.position for x in mix(docs).collect()}
-    corpus_pipeline.mix_sources(spark, docs, "").write.parquet(f"{tmp_path}/mixed")
+    clash = corpus_pipeline.mix_sources(spark, docs, "").selectExpr("*", "1 AS _file", "2 AS _row", "3 AS file", "4 AS row", "5 AS turn", "6 AS piece")
+    clash.write.parquet(f"{tmp_path}/mixed")
     out = corpus_pipeline.assign_shards(spark, spark.read.parquet(f"{tmp_path}/mixed"), "").collect()
     by_shard = collections.defaultdict(list)
     for x in sorted(out, key=lambda x: x.slot):

@@ -67,14 +67,14 @@ def schedule(classes: list[tuple[int, int, int]], shards: int) -> list[tuple[int
     return out
 
 
-def stored(docs: DataFrame) -> DataFrame | None:
-    """The rows with file (a number that grows with Spark's part and file numbers) and row (the place in it) of
+def stored(docs: DataFrame, doc_id: str, text: str) -> DataFrame | None:
+    """doc_id and text of the rows with file (a number that grows with Spark's part and file numbers) and row (the place in it) of
     file-backed ``docs``; None for others."""
     name = F.col("_metadata.file_path")
     part, cut = (F.regexp_extract(name, x, 1).try_cast("long") for x in (r"part-(\d+)[^/]*$", r"-c(\d+)(?:\.[^/]*)?$"))
     file = F.coalesce(part * (1 << 20) + F.coalesce(cut, F.lit(0)), F.crc32(name.cast("binary")))
     try:
-        return docs.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), file.alias("file"), F.col("_metadata.row_index").alias("row"))
     except AnalysisException:
         return None
 
@@ -94,8 +94,8 @@ def shard(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", text: str =
     """One row per row: doc_id, size, text_crc32, law, shard, slot, grown_shard; size-balanced (law ``bytes``)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "shards")
-    place = stored(docs) if as_stored else None
-    rows = pick(docs, doc_id=doc_id, text=text) if place is None else pick(place, doc_id=doc_id, text=text, file="_file", row="_row")
+    place = stored(docs, doc_id, text) if as_stored else None
+    rows = pick(docs, doc_id=doc_id, text=text) if place is None else place
     rows = scratch.table(rows.select(
         "doc_id", *([] if place is None else ["file", "row"]), (F.coalesce(F.octet_length("text"), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
