@@ -280,10 +280,15 @@ def test_search_equals_scoring_every_item(monkeypatch):
 
 # ------------------------------------------------------------------ 7
 
+def follows(n, seed=3):
+    """Texts in which every second word follows from the one before."""
+    r = random.Random(seed)
+    return [" ".join(f"{a} b{ord(a[0])}" for a in (r.choice("uvwxyz") * r.randrange(1, 3) for _ in range(r.randrange(10, 60)))) for _ in range(n)] + [None, "", "A a"]
+
+
 def test_language_model(spark, odd, empty, monkeypatch):
-    monkeypatch.setattr(hpylm, "SHARD_TOKENS", 3000)
-    r = random.Random(3)
-    texts = [" ".join(f"{a} b{ord(a[0])}" for a in (r.choice("uvwxyz") * r.randrange(1, 3) for _ in range(r.randrange(10, 60)))) for _ in range(200)] + [None, "", "A a"]
+    monkeypatch.setattr(hpylm, "SLICE_TOKENS", 3000)
+    texts = follows(200)
     got = {x.doc_id: x for x in hpylm.model_scores(docs(spark, texts, 0)).collect()}
     tokens = [words(t) + [None] for t in texts]
     held = [zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(texts))]
@@ -295,24 +300,75 @@ def test_language_model(spark, odd, empty, monkeypatch):
         assert (x.held_out, x.n_tokens, x.n_known, x.train_tokens) == (held[i], len(t), sum(c[w] > 0 for w in t), N)
         assert x.base_score == pytest.approx(want, rel=1e-9) and x.score < 0
     out = [i for i in range(200) if held[i]]
-    assert sum(got[i].score for i in out) > 0.8 * sum(got[i].base_score for i in out)  # every second word follows from the one before
+    assert sum(got[i].score for i in out) > 0.8 * sum(got[i].base_score for i in out)
     assert hpylm.model_scores(odd).count() == len(ODD) and hpylm.model_scores(empty).count() == 0
 
 
-def test_seating_makes_probabilities():
+@pytest.mark.parametrize("share", [1, 8, 1024])  # no word, some words and most words are hot
+def test_language_model_does_not_depend_on_partitions(spark, monkeypatch, share):
+    monkeypatch.setattr(hpylm, "SLICE_TOKENS", 1500)
+    monkeypatch.setattr(hpylm, "HOT_SHARE", share)
+    df = docs(spark, follows(60) + prose(40, vocabulary=300), 0)
+    one, many = ({x.doc_id: (x.score, x.base_score) for x in hpylm.model_scores(df.repartition(n)).collect()} for n in (1, 7))
+    assert one.keys() == many.keys()
+    assert all(one[i] == pytest.approx(many[i], abs=1e-9) for i in one)
+
+
+def test_language_model_against_dictionaries(spark, monkeypatch):
+    """Every context word has a restaurant; the same draws over plain dictionaries give the same scores."""
+    monkeypatch.setattr(hpylm, "HOT_SHARE", 1)
+    texts = follows(40) + prose(60, vocabulary=300)
+    got = {x.doc_id: x.score for x in hpylm.model_scores(docs(spark, texts, 0)).collect()}
+
+    def hashed(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        return hpylm.tokens(data, np.array([0, len(data)]))[0].tolist()
+    pairs = [list(zip(h, [int(hpylm.END)] + h[:-1])) for h in map(hashed, texts)]
+    train = [zlib.crc32(str(i).encode()) % 5 != 1 for i in range(len(texts))]
+    c = collections.Counter(p for t, use in zip(pairs, train) if use for p in t)
+    keys = sorted(c, key=lambda p: (p[0], p[1] >> 16))
+    every = sorted({w for t in pairs for w, _ in t})
+    V = len({w for w, _ in keys})
+
+    def discount(values):
+        one, two = sum(v == 1 for v in values), sum(v == 2 for v in values)
+        return min(0.95, max(0.05, one / (one + 2 * two)))
+
+    def sums(tables, by):
+        out = collections.Counter()
+        for k in keys:
+            out[k[by]] += tables[k]
+        return out
+    tables = dict.fromkeys(keys, 1)
+    m = sums(tables, 0)
+    s = {w: int(m[w] > 0) for w in every}
+    d2, total, prob = discount(c.values()), {}, collections.Counter()
+    for t in keys:
+        total[t[1]] = total.get(t[1], 0) + c[t]
+    for k in range(hpylm.SWEEPS + 1):
+        T, d1 = sums(tables, 1), discount([m[w] for w in every])
+        new = (1 + d1 * sum(s.values())) / (V + 1)
+        parent = {w: (m[w] - d1 * s[w] + new) / (1 + sum(m.values())) for w in every}
+        if k:
+            for t in {p for x in pairs for p in x}:
+                prob[t] += (c[t] - d2 * tables.get(t, 0) + (1 + d2 * T[t[1]]) * parent[t[0]]) / (1 + total.get(t[1], 0))
+        rng = np.random.default_rng([k, 1, 0])
+        drawn = hpylm.seat(rng, np.array([c[t] for t in keys]), np.array([(1 + d2 * T[t[1]]) * parent[t[0]] for t in keys]), d2)
+        tables = dict(zip(keys, drawn.tolist()))
+        m = sums(tables, 0)
+        s = dict(zip(every, hpylm.seat(rng, np.array([m[w] for w in every]), np.full(len(every), new), d1).tolist()))
+    for i, t in enumerate(pairs):
+        assert got[i] == pytest.approx(sum(math.log10(prob[p] / hpylm.SWEEPS) for p in t), abs=1e-8)
+    for u in list(total)[:5]:  # over all words and the unknown one, a context's probabilities add up to one
+        inner = sum((c[w, u] - d2 * tables.get((w, u), 0)) for w in every)
+        assert inner + d2 * sums(tables, 1)[u] == pytest.approx(total[u])
+
+
+def test_seating_bounds():
     rng = np.random.default_rng(0)
-    word, ctx = np.array([0, 0, 1, 1, 2]), np.array([0, 1, 0, 1, 1])
-    count = np.array([5, 200, 3, 40, 1])
-    h = dict(T=np.array([8.0, 3.0]), C=np.array([8.0, 241.0]), S=3.0, M=11.0, V=3.0, d1=0.5, d2=0.7)
-    t, m, s = hpylm.chain(word, 3, ctx, count, [h], (1,))[-1]
-    assert (t <= count).all() and (t >= 1).all() and (s <= m).all() and hpylm.seat(rng, np.array([0, 1]), np.ones(2), 0.5).tolist() == [0, 1]
-    h = dict(h, T=np.bincount(ctx, t, 2), S=s.sum(), M=m.sum())
-    new = (1 + h["d1"] * h["S"]) / 4
-    parent = (np.append(m - h["d1"] * s, 0) + new) / (1 + h["M"])
-    assert parent.sum() == pytest.approx(1)
-    inner = np.zeros(4)
-    inner[word[ctx == 1]] = (count - h["d2"] * t)[ctx == 1]
-    assert ((inner + (1 + h["d2"] * h["T"][1]) * parent) / (1 + 241)).sum() == pytest.approx(1)
+    count = np.array([5, 200, 3, 40, 1, 0, 100_000])
+    t = hpylm.seat(rng, count, np.full(len(count), 0.3), 0.7)
+    assert (t <= count).all() and (t[count > 0] >= 1).all() and t[5] == 0
 
 
 # ------------------------------------------------------------------ 8
