@@ -40,7 +40,8 @@ from trolley.llm.common import Scratch, pick, pieces, utf8, words
 from trolley.llm.nn_descent import runs
 
 HOT_SHARE = 1024
-SLICE_TOKENS = 1_000_000
+SLICE_TOKENS = 500_000
+SLICES_A_SHARD = 4  # context shards: one for so many slices
 BLOCK_BYTES = 8 << 20
 BLOCK_TEXTS = 1 << 16
 BUCKETS = 50_000
@@ -449,8 +450,9 @@ def scores(merged: DataFrame, answers: DataFrame, hot: np.ndarray, often: np.nda
                 model = np.log10(p / (rounds - 1))
                 base = np.log10((total + 0.5) / (h0["N"] + 0.5 * (h0["V"] + 1)))
                 y = {c: _array(batch, c, r) for c in ("pents", "doc", "cnt", "texts")}
-                of, n = np.repeat(np.arange(len(p)), y["pents"]), len(y["texts"])
-                new = [np.bincount(y["doc"], y["cnt"] * v[of], n) for v in (model, base[x.word], (total > 0)[x.word])]
+                n = len(y["texts"])
+                new = [np.bincount(y["doc"], y["cnt"] * np.repeat(v, y["pents"]), n) for v in (model, base[x.word], (total > 0)[x.word])]
+                del states, x, y, p, customers, model
                 key, inverse = np.unique(np.concatenate([key, y["texts"]]), return_inverse=True)
                 sums = [np.bincount(inverse, np.concatenate([a, b]), len(key)) for a, b in zip(sums, new)]
                 if len(key) > HELD_SUMS:
@@ -470,7 +472,7 @@ def model_scores(docs: DataFrame, parts_of: int = 5, held_out: int = 1) -> DataF
     docs = docs.select("doc_id", "text", (~held).alias("train"))
     hot, often, total = frequent(scratch, docs)
     slices = max(1, -(-total // SLICE_TOKENS))
-    buckets = min(slices, BUCKETS)
+    buckets, shards = min(slices, BUCKETS), -(-slices // SLICES_A_SHARD)
     merged = bucketed(scratch, merge(parts(docs, hot, slices), buckets), buckets)
     scratch.drop()
     joint = joint_counts(merged, hot)
@@ -478,7 +480,7 @@ def model_scores(docs: DataFrame, parts_of: int = 5, held_out: int = 1) -> DataF
     rounds: list[DataFrame] = []
     answers = links = None
     for k in range(SWEEPS + 1):
-        stage = scratch.table(sweep(merged, answers, hot, history, slices))
+        stage = scratch.table(sweep(merged, answers, hot, history, shards))
         history.append(next_totals(stage, joint, len(hot), history))
         if k == 0:
             links = scratch.table(links_of(stage))
