@@ -151,7 +151,7 @@ def parts(docs: DataFrame, hot: np.ndarray, slices: int) -> DataFrame:
                 pw, pu = pair // len(uw), pair % len(uw)
                 at = ((uw >> np.uint64(8)) % n_slices).astype(np.int64)
                 at = np.where(is_hot[pw], np.where(is_hot[pu], uid % slices, at[pu]), at[pw])
-                order = np.argsort(at, kind="stable")
+                order = np.argsort(at.astype(np.int16) if slices < 1 << 15 else at, kind="stable")
                 cuts = np.flatnonzero(np.diff(at[order])) + 1
                 rows = []
                 for mine in np.split(order, cuts):
@@ -168,6 +168,14 @@ def parts(docs: DataFrame, hot: np.ndarray, slices: int) -> DataFrame:
     return docs.mapInArrow(split, schema)
 
 
+def arranged(n: np.ndarray, order: np.ndarray, *entries: np.ndarray) -> tuple:
+    """Entries of groups of ``n`` in the order of the groups, and each one's place in that order."""
+    m = n[order].astype(np.int64)
+    start, of = np.cumsum(n.astype(np.int64)) - n, np.repeat(np.arange(len(m)), m)
+    at = np.arange(len(of)) + np.repeat(start[order] - (np.cumsum(m) - m), m)
+    return *[e[at] for e in entries], of
+
+
 def merge(table: DataFrame, buckets: int) -> DataFrame:
     """One row for each slice, its pairs in order of word and context; rows with ids pass."""
     def join(batches):
@@ -184,19 +192,16 @@ def merge(table: DataFrame, buckets: int) -> DataFrame:
             key = np.concatenate([(u << 17) + d for u, d in zip(uids, every.pop("doc"))])
             x = {p: np.concatenate(every.pop(p)) for p in list(every)}
             w, c = np.repeat(x["words"], x["wpairs"]), x["ctx"]
-            order = np.lexsort((c, w))
+            key, cnt, of = arranged(x["pents"], order := np.lexsort((c, w)), key, x["cnt"])
             w, c = w[order], c[order]
             new_word = np.concatenate([[True], w[1:] != w[:-1]])
             new = new_word | np.concatenate([[True], c[1:] != c[:-1]])
-            pid = np.empty(len(order), np.int64)
-            pid[order] = np.cumsum(new) - 1
-            of, cnt = np.repeat(pid, x["pents"]), x["cnt"]
+            of = (np.cumsum(new) - 1)[of]
             n_pairs = int(new.sum())
             count = np.rint(np.bincount(of, cnt * (key & 1), n_pairs))
-            order = np.argsort(of, kind="stable")
             texts, doc = np.unique(key, return_inverse=True)
             at = np.flatnonzero(new_word[new])
-            blob = _blob(words=w[new_word], wpairs=np.diff(np.append(at, n_pairs)), ctx=c[new], count=count, pents=np.bincount(of, minlength=n_pairs), doc=doc[order], cnt=cnt[order], texts=texts)
+            blob = _blob(words=w[new_word], wpairs=np.diff(np.append(at, n_pairs)), ctx=c[new], count=count, pents=np.bincount(of, minlength=n_pairs), doc=doc, cnt=cnt, texts=texts)
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([None], pa.int64()), pa.nulls(1, t.schema.field("ids").type), pa.nulls(1, pa.list_(pa.int64())), *[pa.array([blob[m]], pa.binary()) for m in MERGED]], ["slice", "uid", "ids", "n", *MERGED])
 
     kind = table.schema["ids"].dataType.simpleString()
@@ -310,10 +315,12 @@ def sweep(merged: DataFrame, answers: DataFrame | None, hot: np.ndarray, history
     bounds = np.array([(s << 48) // shards for s in range(1, shards)], np.int64)  # shards are ranges of contexts
 
     def draw(batches):
-        sums = np.zeros(3 * size + 8)
+        sums, both = np.zeros(3 * size + 8), np.zeros((size, size))
         for batch in batches:
             for r in range(batch.num_rows):
                 x = Slice(batch, r, hot)
+                if k == 0:
+                    np.add.at(both, (x.word_at[x.word[x.joint]], x.hot_at[x.joint]), x.count[x.joint])
                 given = received(batch.column("answers")[r], k)
                 t, m, s = x.states(history, [g[0] for g in given])[-1]
                 own, cold_word = ~x.joint, ~x.word_hot
@@ -330,8 +337,10 @@ def sweep(merged: DataFrame, answers: DataFrame | None, hot: np.ndarray, history
                     cols = [[v[cuts[q]:cuts[q + 1]] for q in some] for v in (x.contexts, t, c)]
                     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([x.id] * len(some), pa.int32()), pa.array([pack48(v) if k == 0 else None for v in cols[0]], pa.binary()), pa.array([v.tobytes() for v in cols[1]], pa.binary()),
                                                       pa.array([v.tobytes() if k == 0 else None for v in cols[2]], pa.binary()), pa.nulls(len(some), pa.int32()), pa.nulls(len(some), pa.float64())], ["cshard", "slice", "us", "t", "c", "i", "a"])
+        at = np.flatnonzero(both)
+        i, sums = np.concatenate([np.arange(len(sums)), len(sums) + at]), np.concatenate([sums, both.ravel()[at]])
         n = len(sums)
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32())] * 2 + [pa.nulls(n, pa.binary())] * 3 + [pa.array(np.arange(n, dtype=np.int32)), pa.array(sums)], ["cshard", "slice", "us", "t", "c", "i", "a"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32())] * 2 + [pa.nulls(n, pa.binary())] * 3 + [pa.array(i.astype(np.int32)), pa.array(sums)], ["cshard", "slice", "us", "t", "c", "i", "a"])
 
     return source.mapInArrow(draw, "cshard int, slice int, us binary, t binary, c binary, i int, a double")
 
@@ -380,24 +389,21 @@ def by_slice(rounds: list[DataFrame]) -> DataFrame:
     return rows.groupBy("slice").agg(F.collect_list("a").alias("answers"))
 
 
-def joint_counts(merged: DataFrame, hot: np.ndarray) -> tuple:
-    """(word, context, count) of the pairs of two hot words over all slices; fewer than HOT_SHARE squared."""
-    def pick_hot(batches):
-        for batch in batches:
-            for r in range(batch.num_rows):
-                x = Slice(batch, r, hot)
-                mine = x.joint & (x.count > 0)
-                yield pa.RecordBatch.from_arrays([pa.array(x.word_at[x.word[mine]].astype(np.int32)), pa.array(x.hot_at[mine].astype(np.int32)), pa.array(x.count[mine])], ["w", "u", "c"])
-
-    got = merged.where("slice >= 0").select("slice", "words", "wpairs", "ctx", "count").mapInArrow(pick_hot, "w int, u int, c long").groupBy("w", "u").agg(F.sum("c").alias("c")).toPandas().sort_values(["w", "u"])
-    return tuple(got[k].to_numpy(np.int64) for k in ("w", "u", "c"))
+def sums_of(stage: DataFrame, size: int) -> tuple[np.ndarray, tuple]:
+    """(sums of a sweep, (word, context, count) of the pairs of two hot words, of the first sweep only): fewer than
+    HOT_SHARE squared rows are collected."""
+    got = stage.where("i is not null").groupBy("i").agg(F.sum("a").alias("a")).toPandas().sort_values("i")
+    i, a = got["i"].to_numpy(np.int64), got["a"].to_numpy(float)
+    sums = np.zeros(3 * size + 8)
+    few = i < len(sums)
+    sums[i[few]] = a[few]
+    pair = i[~few] - len(sums)
+    return sums, (pair // max(1, size), pair % max(1, size), a[~few].astype(np.int64))
 
 
-def next_totals(stage: DataFrame, joint: tuple, size: int, history: list[dict]) -> dict:
+def next_totals(a: np.ndarray, joint: tuple, size: int, history: list[dict]) -> dict:
     """The driver's share of a sweep: totals by hot word and of the parent (fewer than 3 * HOT_SHARE + 8 numbers)."""
     w, u, c = joint
-    got = {r["i"]: r["a"] for r in stage.where("i is not null").groupBy("i").agg(F.sum("a").alias("a")).collect()}
-    a = np.array([got.get(i, 0.0) for i in range(3 * size + 8)])
     T, C, m = (a[i * size:(i + 1) * size].astype(np.int64) for i in range(3))
     S, M, V, N, one2, two2, one1, two1 = a[3 * size:]
     h = history[-1] if history else None
@@ -452,8 +458,9 @@ def scores(merged: DataFrame, answers: DataFrame, hot: np.ndarray, often: np.nda
                 y = {c: _array(batch, c, r) for c in ("pents", "doc", "cnt", "texts")}
                 n = len(y["texts"])
                 new = [np.bincount(y["doc"], y["cnt"] * np.repeat(v, y["pents"]), n) for v in (model, base[x.word], (total > 0)[x.word])]
+                texts = y["texts"].copy()
                 del states, x, y, p, customers, model
-                key, inverse = np.unique(np.concatenate([key, y["texts"]]), return_inverse=True)
+                key, inverse = np.unique(np.concatenate([key, texts]), return_inverse=True)
                 sums = [np.bincount(inverse, np.concatenate([a, b]), len(key)) for a, b in zip(sums, new)]
                 if len(key) > HELD_SUMS:
                     yield from flush(key, sums)
@@ -475,13 +482,15 @@ def model_scores(docs: DataFrame, parts_of: int = 5, held_out: int = 1) -> DataF
     buckets, shards = min(slices, BUCKETS), -(-slices // SLICES_A_SHARD)
     merged = bucketed(scratch, merge(parts(docs, hot, slices), buckets), buckets)
     scratch.drop()
-    joint = joint_counts(merged, hot)
+    joint = None
     history: list[dict] = []
     rounds: list[DataFrame] = []
     answers = links = None
     for k in range(SWEEPS + 1):
         stage = scratch.table(sweep(merged, answers, hot, history, shards))
-        history.append(next_totals(stage, joint, len(hot), history))
+        sums, pairs = sums_of(stage, len(hot))
+        joint = joint or pairs
+        history.append(next_totals(sums, joint, len(hot), history))
         if k == 0:
             links = scratch.table(links_of(stage))
         rounds.append(links.select("slice", "cshard", "t", "c") if k == 0 else scratch.table(totals_of(stage, links)))
