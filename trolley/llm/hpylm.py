@@ -53,8 +53,9 @@ END = np.uint64(0xE1D0_0000_0000_0001)
 
 def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens, end marks included, and each token's text."""
-    h, wo, _ = words(data, off)
-    n = np.diff(wo) + 1
+    found = [words(data[off[i]:off[j]], off[i:j + 1] - off[i])[:2] for i, j in pieces(off)]  # hashing needs 32 bytes a byte
+    h = np.concatenate([np.zeros(0, np.uint64), *[x[0] for x in found]])
+    n = np.concatenate([np.zeros(0, np.int64), *[np.diff(x[1]) for x in found]]) + 1
     ends = np.cumsum(n) - 1
     w = np.empty(len(h) + len(n), np.uint64)
     w[ends] = END
