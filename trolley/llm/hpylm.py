@@ -28,6 +28,7 @@ counted and scored each; extra columns are ignored; an empty table gives an empt
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -51,6 +52,14 @@ STRENGTH = 1.0
 END = np.uint64(0xE1D0_0000_0000_0001)
 
 
+def release() -> None:
+    """Free memory goes back to the system: Python workers live on, and would keep the most they ever used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens, end marks included, and each token's text."""
     found = [words(data[off[i]:off[j]], off[i:j + 1] - off[i])[:2] for i, j in pieces(off)]  # hashing needs 32 bytes a byte
@@ -82,6 +91,7 @@ def frequent(scratch: Scratch, docs: DataFrame) -> tuple[np.ndarray, np.ndarray,
                 w, d = tokens(data[off[i]:off[j]], off[i:j + 1] - off[i])
                 u, c = np.unique(w[train[i:j][d]], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.append(u.view(np.int64), 0)), pa.array(np.append(c, 0)), pa.array(np.append(np.zeros(len(u), np.int64), len(w)))], ["w", "c", "tokens"])
+        release()
 
     table = scratch.table(docs.mapInArrow(count, "w long, c long, tokens long").groupBy("w").agg(F.sum("c").alias("c"), F.sum("tokens").alias("tokens")))
     train, total = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
@@ -165,6 +175,8 @@ def parts(docs: DataFrame, hot: np.ndarray, slices: int) -> DataFrame:
                 rows.append(dict(slice=-1 - uid % slices, uid=uid, ids=ids.to_pylist(), n=n.tolist(), **dict.fromkeys(PART)))
                 types = [pa.int32(), pa.int64(), pa.list_(ids.type), pa.list_(pa.int64()), *[pa.binary()] * len(PART)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in zip(("slice", "uid", "ids", "n", *PART), types)], ["slice", "uid", "ids", "n", *PART])
+                del rows, pair, doc, cnt, order, at, pw, pu, uw, first
+                release()
 
     return docs.mapInArrow(split, schema)
 
@@ -204,6 +216,8 @@ def merge(table: DataFrame, buckets: int) -> DataFrame:
             at = np.flatnonzero(new_word[new])
             blob = _blob(words=w[new_word], wpairs=np.diff(np.append(at, n_pairs)), ctx=c[new], count=count, pents=np.bincount(of, minlength=n_pairs), doc=doc, cnt=cnt, texts=texts)
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([None], pa.int64()), pa.nulls(1, t.schema.field("ids").type), pa.nulls(1, pa.list_(pa.int64())), *[pa.array([blob[m]], pa.binary()) for m in MERGED]], ["slice", "uid", "ids", "n", *MERGED])
+            del x, w, c, key, cnt, of, order, new, new_word, texts, doc, blob
+        release()
 
     kind = table.schema["ids"].dataType.simpleString()
     schema = f"slice int, uid long, ids {kind}, n array<long>, {', '.join(f'{m} binary' for m in MERGED)}"
@@ -467,6 +481,7 @@ def scores(merged: DataFrame, answers: DataFrame, hot: np.ndarray, often: np.nda
                     yield from flush(key, sums)
                     key, sums = np.zeros(0, np.int64), [np.zeros(0)] * 3
         yield from flush(key, sums)
+        release()
 
     source = merged.where("slice >= 0").select("slice", "words", "wpairs", "ctx", "count", "pents", "doc", "cnt", "texts")
     return source.join(answers.hint("merge"), "slice", "left").mapInArrow(predict, "uid long, docs binary, model binary, base binary, known binary")
