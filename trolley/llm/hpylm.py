@@ -42,7 +42,7 @@ from trolley.llm.nn_descent import runs
 
 HOT_SHARE = 1024
 SLICE_TOKENS = 500_000
-SLICES_A_SHARD = 4  # context shards: one for so many slices
+SLICES_A_SHARD = 4  # context shards and buckets: one for so many slices
 BLOCK_BYTES = 8 << 20
 BLOCK_TEXTS = 1 << 16
 BUCKETS = 50_000
@@ -495,7 +495,8 @@ def model_scores(docs: DataFrame, parts_of: int = 5, held_out: int = 1) -> DataF
     docs = docs.select("doc_id", "text", (~held).alias("train"))
     hot, often, total = frequent(scratch, docs)
     slices = max(1, -(-total // SLICE_TOKENS))
-    buckets, shards = min(slices, BUCKETS), -(-slices // SLICES_A_SHARD)
+    shards = -(-slices // SLICES_A_SHARD)
+    buckets = min(shards, BUCKETS)  # a task sums the texts of its slices before it sends them
     merged = bucketed(scratch, merge(parts(docs, hot, slices), buckets), buckets)
     scratch.drop()
     joint = None
