@@ -213,6 +213,40 @@ def test_mix_is_pfair(spark, odd, empty):
     assert mixed.columns == odd.columns and mixed.count() == len(ODD)
 
 
+@pytest.mark.parametrize("weights", [{"a": 0.9, "b": 0.1}, {"a": 0.99, "b": 0.01}, {"a": 0.91} | {f"s{i}": 0.01 for i in range(9)},
+                                     {"a": 3.0, "b": 7.0, None: 1.5}, {"a": 1 / 3, "b": 2 / 3}, {f"s{i}": i + 1.0 for i in range(10)}])
+def test_mix_keeps_the_given_weights(spark, weights):
+    """Over at least ten periods every source is less than one block away from its given share, at any slot."""
+    period, total = 100, sum(weights.values())
+    given = spark.createDataFrame(list(weights.items()), "source string, weight double")
+    shares = mixing.period_shares(given, period, mixing.LONGEST).collect()
+    length = shares[0].period
+    assert sum(r.blocks for r in shares) == length
+    share = {r.source: r.blocks / r.period for r in shares}
+    slots = 10 * length if length < 2000 else length
+    assert all(abs(share[s] - w / total) * slots < 0.5 for s, w in weights.items())
+    taken = mixing.period_slots(mixing.period_shares(given, period, mixing.LONGEST)).orderBy("slot").collect()
+    assert [r.slot for r in taken] == list(range(length)) and all(r.release <= r.slot < r.deadline for r in taken)
+    if length < 2000:
+        done = dict.fromkeys(weights, 0)
+        for t in range(slots):
+            done[taken[t % length].source] += 1
+            assert all(abs(done[s] - w / total * (t + 1)) < 1 for s, w in weights.items())
+
+
+def test_mixed_rows_keep_the_given_weights(spark):
+    """The rows themselves, in order: 0.9 and 0.1 over more than ten periods, and odd weights."""
+    df = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.when(F.col("id") < 5400, "a").otherwise("b").alias("source"))
+    given = spark.createDataFrame([("a", 0.9), ("b", 0.1), ("gone", 5.0), ("zero", 0.0), ("odd", float("nan"))], "source string, weight double")
+    rows = sorted(mixing.mix(df, given, block_rows=2, period=20).collect(), key=lambda r: r.position)
+    assert [r.position for r in rows] == list(range(6000)) and all(r.release <= r.slot < r.deadline for r in rows)
+    assert sorted({r.slot for r in rows}) == list(range(3000))  # 150 periods without an empty slot
+    seen = 0
+    for k, r in enumerate(rows):
+        seen += r.source == "b"
+        assert abs(seen - 0.1 * (k + 1)) < 2 * 1 + 1e-6  # less than one block of two rows
+
+
 # ------------------------------------------------------------------ 5
 
 def base_spans(t):

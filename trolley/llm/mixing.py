@@ -12,8 +12,10 @@ rank in their source by a join on (source, block in period).  Beyond the end of
 empty and the others go on in their proportions; no row is dropped.
 
 Defined results: a null source is a source of its own; without given weights, a source weighs the square root
-of its number of rows (sources far above the others are damped, none vanishes); given weights must be
-positive, a source without one gets the least given; every source gets at least one block in a period;
+of its number of rows (sources far above the others are damped, none vanishes), rounded to a share of
+1 / ``PERIOD``; given weights must be positive, a source without one gets the least given; given weights are kept
+exactly if they have at most ``DIGITS`` decimals and come out even within ``LONGEST`` slots, else they are
+rounded to shares of 1 / ``LONGEST``; every source gets at least one block in a period;
 repeated rows and null doc_ids are kept; ties in a source go by md5 of doc_id, then of the text, equal rows
 in any order; extra columns don't matter; an empty table gives an empty result.
 """
@@ -26,20 +28,33 @@ from pyspark.sql import functions as F
 from trolley.llm.common import Scratch, numbered, pick
 
 PERIOD = 1000
-
-
-def period_shares(weights: DataFrame, period: int) -> DataFrame:
-    """(source, weight) to (source, blocks): whole blocks of a period, largest remainders first, one at least.
-
-    One row per source; the windows below hold sources, not documents."""
-    everything = Window.partitionBy(F.lit(0))
-    ranked = Window.partitionBy(F.lit(0)).orderBy(F.col("rest").desc(), F.col("source").asc_nulls_first())
-    w = weights.select("source", (F.col("weight") / F.sum("weight").over(everything)).alias("w"), F.count("*").over(everything).alias("sources"))
-    w = w.withColumn("period", F.greatest(F.lit(period), 4 * F.col("sources")).cast("int"))
-    exact = (F.col("period") - F.col("sources")) * F.col("w")
-    w = w.withColumn("base", (1 + F.floor(exact)).cast("int")).withColumn("rest", exact - F.floor(exact))
-    left = F.col("period") - F.sum("base").over(everything)
-    return w.select("source", "period", (F.col("base") + (F.row_number().over(ranked) <= left).cast("int")).alias("blocks"))
+LONGEST = 50_000
+DIGITS = 9
+SEGMENT = 1000
+CYCLES = 4096
+
+_GCD = "aggregate(ws, 0L, (g, x) -> aggregate(sequence(1, 92), struct(g as a, x as b), (s, k) -> if(s.b = 0, s, struct(s.b as a, s.a % s.b as b)), s -> s.a))"
+
+
+def period_shares(weights: DataFrame, period: int, parts: int | None = None) -> DataFrame:
+    """(source, weight) to (source, period, blocks): blocks / period is the weight's share, exactly if it can be.
+
+    Weights of at most ``DIGITS`` decimals are whole numbers of a unit; divided by their greatest common divisor
+    they are the blocks of the shortest exact period, of which as many follow each other as reach ``period``.  If
+    that is longer than ``LONGEST``, or a weight has more decimals, shares are rounded to whole ``parts`` (by
+    default ``period``; at least four for each source on average, and one block).  One row per source."""
+    unit = F.col("weight").try_cast("decimal(38,18)") * F.lit(10 ** DIGITS).cast("decimal(10,0)")
+    w = weights.select("source", "weight", unit.alias("unit"))
+    whole = F.coalesce((F.col("unit") == F.floor("unit")) & (F.col("unit") >= 1) & (F.col("unit") < 10 ** 16), F.lit(False))
+    facts = w.agg(F.min(whole).alias("whole"), F.collect_list(F.col("unit").try_cast("long")).alias("ws"), F.sum("weight").alias("total"), F.count("*").alias("sources"))
+    facts = facts.select("whole", "total", F.greatest(F.lit(parts or period), 4 * F.col("sources")).alias("parts"), F.expr(f"greatest({_GCD}, 1L)").alias("gcd"),
+                         F.expr("aggregate(ws, cast(0 as decimal(38,0)), (a, x) -> cast(a + x as decimal(38,0)))").alias("units"))
+    facts = facts.withColumn("exact", F.expr(f"whole and units / gcd <= {LONGEST}"))
+    facts = facts.withColumn("times", F.when(F.col("exact"), F.expr(f"cast(ceil({period} / (units / gcd)) as bigint)")))
+    of = w.select("*", facts.select(F.struct("exact", "gcd", "times", "total", "parts")).scalar().alias("of"))
+    exact = F.expr("try_cast(unit as bigint) div of.gcd * of.times")
+    shares = of.select("source", F.when(F.col("of.exact"), exact).otherwise(F.greatest(F.lit(1), F.round(F.col("weight") / F.col("of.total") * F.col("of.parts")))).cast("int").alias("blocks"))
+    return shares.select("source", F.sum("blocks").over(Window.partitionBy(F.lit(0))).cast("int").alias("period"), "blocks")
 
 
 def period_slots(shares: DataFrame) -> DataFrame:
@@ -51,11 +66,15 @@ def period_slots(shares: DataFrame) -> DataFrame:
     choose = """array_min(transform(s, (x, i) -> struct(
         case when acc.done[i] < x.blocks and (acc.done[i] * period) div x.blocks <= t
              then ((acc.done[i] + 1) * period + x.blocks - 1) div x.blocks else 1000000000000L end as d, i as i))).i"""
-    # the choice is made once a slot: fold over (acc, slot) with the pick bound by a one-element transform
-    fold = f"""aggregate(sequence(0, period - 1),
+    # the choice is made once a slot: fold over (acc, slot) with the pick bound by a one-element transform; a segment
+    # of slots collects its own picks, so that the long array of all picks grows once a segment only
+    segment = f"""aggregate(sequence(g * {SEGMENT}, least(period, (g + 1) * {SEGMENT}) - 1),
+        struct(all.done as done, cast(array() as array<int>) as took),
+        (acc, t) -> transform(array({choose}), p -> struct(transform(acc.done, (n, i) -> if(i = p, n + 1, n)) as done, concat(acc.took, array(p)) as took))[0])"""
+    fold = f"""aggregate(sequence(0, (period - 1) div {SEGMENT}),
         struct(array_repeat(0L, size(s)) as done, cast(array() as array<int>) as took),
-        (acc, t) -> transform(array({choose}), p -> struct(transform(acc.done, (n, i) -> if(i = p, n + 1, n)) as done, concat(acc.took, array(p)) as took))[0],
-        acc -> acc.took)"""
+        (all, g) -> transform(array({segment}), x -> struct(x.done as done, concat(all.took, x.took) as took))[0],
+        all -> all.took)"""
     took = one.select("period", "s", F.posexplode(F.expr(fold)).alias("slot", "i"))
     taken = took.select("period", "slot", F.expr("s[i].source").alias("source"), F.expr("s[i].blocks").alias("blocks"))
     taken = taken.withColumn("block", F.row_number().over(Window.partitionBy("source").orderBy("slot")) - 1)
@@ -75,13 +94,14 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 16,
     count = pick(docs, source=source).groupBy("source").agg(F.count("*").alias("rows"))
     count = scratch.table(count)
     total = count.agg(F.sum("rows")).first()[0] or 0
+    parts = period if weights is None else LONGEST
     if weights is None:
         weights = count.select("source", F.sqrt("rows").alias("weight"))
     else:
-        given = weights.select(F.col("source").alias("_s"), F.col("weight").cast("double").alias("_w")).where("_w > 0")
+        given = weights.select(F.col("source").alias("_s"), F.col("weight").cast("double").alias("_w")).where("_w > 0 and _w < double('infinity')")
         weights = (count.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("_s")), "left")
                    .select("source", F.coalesce("_w", F.lit(given.agg(F.min("_w")).first()[0] or 1.0)).alias("weight")))
-    slots = scratch.table(period_slots(period_shares(weights, period)))
+    slots = scratch.table(period_slots(period_shares(weights, period, parts)))
     md5 = lambda c: F.md5(F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary"))
     rows = rows.withColumn("_turn", F.concat(md5("_id"), md5("_text"))).drop("_text")
     ranked = numbered(rows, ["_source"], "_turn", "_rank", total)
@@ -100,7 +120,11 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 16,
     before = Window.unboundedPreceding
     in_cycle = fill.select("_cycle", "slot", F.coalesce(F.sum("n").over(Window.partitionBy("_cycle").orderBy("slot").rowsBetween(before, -1)), F.lit(0)).alias("n0"))
     cycles = fill.groupBy("_cycle").agg(F.sum("n").alias("n"))
-    cycles = cycles.select(F.col("_cycle").alias("_c"), F.coalesce(F.sum("n").over(Window.orderBy("_cycle").rowsBetween(before, -1)), F.lit(0)).alias("c0"))
+    cycles = cycles.withColumn("_run", F.floor(F.col("_cycle") / CYCLES))  # a window holds the cycles of a run, the other one the runs
+    runs = cycles.groupBy(F.col("_run").alias("_r")).agg(F.sum("n").alias("n"))
+    runs = runs.select("_r", F.coalesce(F.sum("n").over(Window.orderBy("_r").rowsBetween(before, -1)), F.lit(0)).alias("r0"))
+    in_run = F.coalesce(F.sum("n").over(Window.partitionBy("_run").orderBy("_cycle").rowsBetween(before, -1)), F.lit(0))
+    cycles = cycles.withColumn("c0", in_run).join(runs, F.col("_run") == F.col("_r")).select(F.col("_cycle").alias("_c"), (F.col("c0") + F.col("r0")).alias("c0"))
     starts = in_cycle.join(cycles, F.col("_cycle") == F.col("_c")).select(F.col("slot").alias("_slot"), (F.col("n0") + F.col("c0")).alias("_start"))
     out = at.join(starts, at["slot"] == starts["_slot"])
     return out.select(F.col("_id").alias("doc_id"), F.col("_source").alias("source"), *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep or [])] if keep else [],
