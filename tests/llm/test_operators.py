@@ -312,6 +312,42 @@ def test_search_equals_scoring_every_item(monkeypatch):
         assert all(abs(min(1, want[i]) - s) < 1e-9 for i, s in found)
 
 
+def test_search_of_many_passages_equals_scoring_every_item():
+    """Passages of one call don't disturb each other; thresholds, ties between items and passages without a hit."""
+    r = random.Random(8)
+    items = [(i, " ".join(f"t{r.randrange(40)}" for _ in range(r.choice([1, 2, 5, 30])))) for i in range(300)] + [(300, "t1 t2 t3"), (301, "t1 t2 t3"), (302, "")]
+    index = decontam.Index(items)
+    full = np.zeros((len(index.terms), len(index.ids)))
+    for t, (ids, w) in enumerate(index.lists):
+        full[t, ids] = w
+    queries = {k * 3: sorted(r.sample(range(len(index.terms)), r.choice([1, 3, 10, len(index.terms)]))) for k in range(80)}
+    window, term = (np.array([x[c] for k, q in queries.items() for x in [(k, t) for t in q]]) for c in (0, 1))
+    for threshold in (0.2, 0.6, 1.0):
+        got = {k: dict(x) for k, x in index.retrieve(window, term, threshold)}
+        for k, q in queries.items():
+            score = full[q].sum(0)
+            assert sorted(got.get(k, {})) == np.flatnonzero(score >= threshold - 1e-9).tolist()
+            assert all(abs(min(1, score[i]) - x) < 1e-9 for i, x in got.get(k, {}).items())
+
+
+def test_decontamination_does_not_depend_on_shards(spark, monkeypatch):
+    """Scores, passages and matches are the same from one index and from many; an item far longer than a shard too."""
+    r = random.Random(3)
+    items = [" ".join(r.choice(["the", "of", f"q{i}x{j}"]) for j in range(r.randrange(8, 40))) + ". " + " ".join(f"a{i}x{j}" for j in range(4)) + "." for i in range(40)]
+    items.append(" ".join(f"z{j}" for j in range(3000)) + ". yes it is.")
+    texts = prose(30, 2)
+    for i in range(25):
+        texts[i] += " " + items[i] + " of the " + items[(i * 7) % 40]
+    texts.append("start " + items[40] + " end")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    one = sorted(decontam.contaminated(docs(spark, texts, 0), bench).collect())
+    monkeypatch.setattr(decontam, "SHARD_BYTES", 4000)
+    many = sorted(decontam.contaminated(docs(spark, texts, 0), bench).collect())
+    assert [x[:2] for x in one] == [x[:2] for x in many] and {(i, i) for i in range(25)} | {(30, 40)} <= {tuple(x[:2]) for x in one}
+    assert all(a[2:] == pytest.approx(b[2:], abs=1e-12) for a, b in zip(one, many))
+    assert sum(1 for _ in decontam.indexes(bench)) > 5
+
+
 # ------------------------------------------------------------------ 7
 
 def follows(n, seed=3):
