@@ -495,6 +495,34 @@ def test_languages(spark, odd, empty, monkeypatch):
     assert langid.languages(odd).count() == len(ODD) and langid.languages(empty).count() == 0
 
 
+def test_languages_sample_against_sorting_all_rows(spark, monkeypatch):
+    """Every language is learned, also the 70th; a bound that equal ids make too small is raised."""
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 400)
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 6)
+    rows = [(i, f"text{i:06d}", f"l{i % 70:02d}" if i % 2 else "big") for i in range(4000)] + [(7, f"again{i}", "same") for i in range(300)] + [(None, "x", "big"), (3, None, "big"), (5, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, texts, labels = langid.training_sample(df, 4, 2)
+    want = collections.defaultdict(list)
+    for i, text, lang in rows:
+        if None not in (i, text, lang) and zlib.crc32(str(i).encode()) % 4 != 2:
+            want[lang].append((hashlib.md5(str(i).encode()).hexdigest(), i, text.encode()[:6]))
+    assert langs == sorted(want)
+    each = 400 // len(langs)
+    assert [(langs[k], t) for k, t in zip(labels, texts)] == [(x, r[2]) for x in langs for r in sorted(want[x])[:each]]
+
+
+def test_training_reaches_every_language(monkeypatch):
+    """More languages than rows of a batch."""
+    monkeypatch.setattr(langid, "ROWS", 8)
+    r = random.Random(4)
+    texts = [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwx"[2 * c:2 * c + 2]) for _ in range(6)) for _ in range(12)).encode() for c in range(12) for _ in range(10)]
+    labels = [c for c in range(12) for _ in range(10)]
+    p = langid.train(texts, labels, 12, rounds=400)
+    off = np.cumsum([0, *map(len, texts)])
+    q = langid.probabilities(p, np.frombuffer(b"".join(texts), np.uint8), off)
+    assert (q.argmax(1) == labels).mean() > 0.95 and np.allclose(q.sum(1), 1)
+
+
 # ------------------------------------------------------------------ 10
 
 def test_quality(spark, odd, empty):

@@ -9,8 +9,9 @@ A text is read in windows of ``STEP`` bytes, each with ``WARM`` bytes of context
 warm up the states, so whole texts of any length are read, many windows at a time.
 
 Fitted on a bounded sample: of each language, at most ``SAMPLE`` rows of the admitted folds (those with the
-smallest md5 of doc_id), of each at most ``SAMPLE_BYTES``; at most ``LANGUAGES`` languages, the most frequent
-ones.  Every row is predicted over its whole text.  Only the text is an input of a prediction.
+smallest md5 of doc_id), of each at most ``SAMPLE_BYTES``.  All languages are learned, however rare and many; beyond
+``SAMPLE_ROWS / SAMPLE`` of them each gives fewer rows, at least one.  Training takes more rounds for more languages.
+Every row is predicted over its whole text.  Only the text is an input of a prediction.
 
 Defined results: null texts and texts without a letter give ``und`` with a score of 0; with no learned
 language all rows do; ties go to the language that sorts first; repeated rows and null ids give a row each
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.llm.common import pick, utf8
@@ -30,8 +31,9 @@ HIDDEN = 8
 STEP, WARM = 112, 8
 BATCH = 1024
 SAMPLE, SAMPLE_BYTES = 250, 1500
-LANGUAGES = 64
+SAMPLE_ROWS = 16_000
 ROUNDS, ROWS, LENGTH = 260, 96, 40
+CLASSES = 16  # languages that ROUNDS are meant for
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -111,15 +113,17 @@ def step(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
     return loss, grad
 
 
-def train(texts: list[bytes], labels: list[int], classes: int, rounds: int = ROUNDS, seed: int = 7) -> dict[str, np.ndarray]:
-    p, rng = start(classes, seed), np.random.default_rng(seed)
+def train(texts: list[bytes], labels: list[int], classes: int, rounds: int | None = None, seed: int = 7) -> dict[str, np.ndarray]:
+    p, rng, rounds = start(classes, seed), np.random.default_rng(seed), rounds or ROUNDS
     by = [[i for i, y in enumerate(labels) if y == c and texts[i]] for c in range(classes)]
     by = [x for x in by if x]
+    rounds *= -(-len(by) // CLASSES)
     m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
     for k in range(1, rounds + 1):
         x, y = np.full((LENGTH, ROWS), 32, np.uint8), np.zeros(ROWS, np.int64)
         for row in range(ROWS):  # every language equally often
-            i = by[row % len(by)][rng.integers(len(by[row % len(by)]))]
+            own = by[((k - 1) * ROWS + row) % len(by)]
+            i = own[rng.integers(len(own))]
             t = texts[i]
             a = int(rng.integers(max(1, len(t) - LENGTH)))
             s = np.frombuffer(t[a:a + LENGTH], np.uint8)
@@ -192,24 +196,41 @@ def probabilities(p: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
     begin = off[text] + (np.arange(len(text)) - first[text]) * STEP
     end = np.minimum(begin + STEP, off[text + 1])
     out = np.zeros((len(size), len(p["b"])))
-    for a in range(0, len(text), BATCH):
-        s = slice(a, a + BATCH)
+    batch = max(16, BATCH * 64 // max(64, len(p["b"])))  # the label scores of a batch have a bounded size
+    for a in range(0, len(text), batch):
+        s = slice(a, a + batch)
         np.add.at(out, text[s], window_scores(p, data, begin[s], end[s], off, text[s]))
     return out / np.maximum(size, 1)[:, None]
 
 
 def training_sample(docs: DataFrame, parts: int, held_out: int) -> tuple[list[str], list[bytes], list[int]]:
+    """All languages in order, and the texts of the sample with each one's language.
+
+    A count by language gives the hash below which about twice the rows wanted lie; one more pass ranks only those and
+    the first ones come to the driver.  Should equal ids leave too few, the pass is repeated with a higher bound."""
     rows = docs.where("doc_id is not null and lang is not null and text is not null")
     rows = rows.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts != held_out)
-    langs = sorted(r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).toLocalIterator())
-    rows = rows.withColumn("turn", F.md5(F.col("doc_id").cast("string").cast("binary")))
-    texts, labels = [], []
-    for k, lang in enumerate(langs):
-        one = rows.where(F.col("lang") == lang).select("turn", "doc_id", F.substring(F.col("text").cast("binary"), 1, SAMPLE_BYTES).alias("x")).orderBy("turn", "doc_id", "x").limit(SAMPLE)
-        for r in one.collect():
-            texts.append(bytes(r["x"]))
-            labels.append(k)
-    return langs, texts, labels
+    count = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().toLocalIterator()}
+    langs = sorted(count)
+    if not langs:
+        return [], [], []
+    each = max(1, min(SAMPLE, SAMPLE_ROWS // len(langs)))
+    share = {x: (2 * each + 40) / n for x, n in count.items()}
+    rows = rows.select("lang", "doc_id", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("turn"), F.substring(F.col("text").cast("binary"), 1, SAMPLE_BYTES).alias("x"))
+    first = Window.partitionBy("lang").orderBy("turn", "doc_id", "x")
+    found: dict[str, list[bytes]] = {}
+    while len(found) < len(langs):
+        ask = [(x, "g" if share[x] >= 1 else f"{int(share[x] * 2 ** 64):016x}") for x in langs if x not in found]  # g: above all digits
+        bounds = docs.sparkSession.createDataFrame(ask, "of string, bound string")
+        near = rows.join(F.broadcast(bounds), F.col("lang") == F.col("of")).where("turn < bound")
+        got: dict[str, list[bytes]] = {}
+        for r in near.withColumn("k", F.row_number().over(first)).where(F.col("k") <= each).orderBy("lang", "k").select("lang", "x").toLocalIterator():
+            got.setdefault(r["lang"], []).append(bytes(r["x"]))
+        for x, _ in ask:
+            if len(got.get(x, [])) >= min(each, count[x]) or share[x] >= 1:
+                found[x] = got.get(x, [])
+            share[x] *= 16
+    return langs, [t for x in langs for t in found[x]], [k for k, x in enumerate(langs) for _ in found[x]]
 
 
 def languages(docs: DataFrame, parts: int = 4, held_out: int = 2) -> DataFrame:
