@@ -7,7 +7,10 @@ go through a logistic regression fitted on labelled texts that the dictionaries
 
 Fitted on a bounded sample: at most ``SAMPLE`` labelled rows of each label (those with the smallest md5 of
 doc_id, from the rows the fold admits) and at most ``SAMPLE_BYTES`` of each text; half of them build the
-dictionaries, half calibrate.  Every row is scored over its whole text.
+dictionaries, half calibrate.  A label's dictionary is trained by zstandard from the pieces of its half; a half of
+under 20 times the dictionary's size, of under 51 pieces, or without repeated content cannot train one, and its last
+``DICTIONARY_BYTES`` are the dictionary as they are.  Pieces of 7 bytes or less, below what a dictionary can match,
+don't build one.  Every row is scored over its whole text.
 
 Defined results: a null or empty text scores the calibrated value of a difference of zero at ratio one, so a
 number from 0 to 1 as any other; with no labelled rows of one label every score is 0.5; of several labels of
