@@ -5,7 +5,8 @@ least-loaded shard.  The schedule works on a histogram of group sizes: sizes kee
 there are at most 1024 classes per power of two whatever the input, and a heap deals each class's groups out
 at the class's mean size.  Within a class groups are interchangeable; they take their turns by hash.
 
-Slots number a shard's rows by hash; with ``as_stored``, in the order of the files and rows they were read from.
+Slots number a shard's rows by hash; with ``as_stored``, in the order of the files and rows they were read from.  Rows
+that don't come straight from files have no such order; their slots go by hash in either case.
 
 Defined results: null or empty texts weigh 16 bytes; repeated rows are kept and share a shard; null doc_ids
 are kept (numbered like others); ties between shards go to the smaller shard number; extra columns are
