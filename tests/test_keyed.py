@@ -171,3 +171,39 @@ def test_load_resumes_after_a_crash(spark, monkeypatch):
     for t in RAW_TABLES:
         twice = wh.raw(t).where(sum((F.col(k) for k in RAW_KEYS[t][1:]), F.col(RAW_KEYS[t][0])) % 2 == 0).count()
         assert sum(r.row_count for r in ledger if r.table_name == t) == wh.raw(t).count() + twice
+
+
+def test_ranges_stay_small_enough_to_group_in_memory():
+    """A range of keys holds 16 MB of input at 1 and at 6 GB, and 128 MB at most."""
+    for total in (1 << 30, 6 << 30):
+        assert width_for(0, total - 1, total) <= 16 << 20
+    assert width_for(0, (100 << 40) - 1, 100 << 40) == 128 << 20
+
+
+def test_change_feeds_are_put_in_order_once(spark, monkeypatch):
+    """The three extracts of a table are written from one ordered copy (one shuffle), which is released afterwards."""
+    from trolley.sources import files
+
+    plans, real = [], files.write_csv
+
+    def noted(df, *a, **b):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *a, **b)
+
+    monkeypatch.setattr(files, "write_csv", noted)
+    wh = warehouse(spark)
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    base = inc.land_changes(wh)
+    assert len(plans) == inc.EXTRACTS * len(RAW_TABLES) and all("InMemoryTableScan" in p for p in plans)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    feed = spark.read.options(**files.CSV_OPTIONS).csv(f"{base}/orders")
+    early = wh.raw("orders").where("order_id % 2 = 0").count()
+    assert feed.count() == wh.raw("orders").count() + early
+    assert feed.where("_seq = 1 and user_id is not null").count() == 0
+
+
+def test_feed_files_follow_the_bytes():
+    """Batches of two files: a few dozen for each table at 6 GB, still bounded files at 100 TB."""
+    assert inc.feed_files(0, 2) == 2 and inc.feed_files(512 << 20, 2) == 8
+    assert 16 <= inc.feed_files(4800 << 20, 2) <= 20
+    assert inc.feed_files(100 << 40, 2) == (100 << 40) // inc.FEED_BYTES

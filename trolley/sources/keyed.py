@@ -27,13 +27,18 @@ from pyspark.sql import types as T
 
 from trolley.sources import store
 
+# Ranges of SMALL_RANGE bytes, which a task groups by key in memory, up to MOST_SMALL of them; a larger table's grow up to
+# RANGE_BYTES.
 RANGE_BYTES = 128 << 20
+SMALL_RANGE = 16 << 20
+MOST_SMALL = 8192
 LEAST_RANGES = 16
 
 
 def width_for(first: int, last: int, total_bytes: int) -> int:
-    """Keys per range so that a range holds about ``RANGE_BYTES`` of a table over [first, last]."""
-    ranges = max(LEAST_RANGES, -(-total_bytes // RANGE_BYTES))
+    """Keys per range so that a range holds about ``SMALL_RANGE`` bytes (of a very large table, up to ``RANGE_BYTES``) of a
+    table over [first, last]."""
+    ranges = max(LEAST_RANGES, -(-total_bytes // RANGE_BYTES), min(MOST_SMALL, -(-total_bytes // SMALL_RANGE)))
     return max(1, -(-(last - first + 1) // ranges))
 
 

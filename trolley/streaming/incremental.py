@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -220,6 +221,14 @@ def stream_upsert(wh: Warehouse, files_per_trigger: int = FILES_PER_TRIGGER, on_
 # ---------------------------------------------------------------------------- resumable load of the six tables
 
 EXTRACTS = 3
+FEED_BYTES = 256 << 20
+SMALL_FILES = 16
+
+
+def feed_files(total_bytes: int, least: int) -> int:
+    """Files of an extract: of ``FILE_BYTES`` of input each up to ``SMALL_FILES``, then larger ones up to ``FEED_BYTES``, so
+    that a batch of a few files has work for all cores and the number of batches stays low."""
+    return max(least, -(-total_bytes // FEED_BYTES), min(SMALL_FILES, -(-total_bytes // FILE_BYTES)))
 
 
 def land_changes(wh: Warehouse, least: int = 2) -> str:
@@ -228,16 +237,20 @@ def land_changes(wh: Warehouse, least: int = 2) -> str:
     from trolley.sources.files import write_csv
 
     base = wh.path("landing", "changes")
-    files = max(least, -(-wh.input_bytes() // FILE_BYTES))
+    files = feed_files(wh.input_bytes(), least)
     with wh._name_lock("_changes_landed"):
         if not getattr(wh, "_changes_landed", False):
             for t in RAW_TABLES:
                 keys = list(RAW_KEYS[t])
-                rows = wh.raw(t).repartitionByRange(files, *keys)
+                # put in order once for the three extracts
+                rows = wh.raw(t).repartitionByRange(files, *keys).persist(StorageLevel.DISK_ONLY)
                 early = sum((F.col(k) for k in keys[1:]), F.col(keys[0])) % 2 == 0
                 known = [F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[t].fields]
-                for n, part in enumerate((rows.where(early).select(*known), rows.where(~early), rows.where(early)), 1):
-                    write_csv(part, f"{base}/{t}/_seq={n}")
+                try:
+                    for n, part in enumerate((rows.where(early).select(*known), rows.where(~early), rows.where(early)), 1):
+                        write_csv(part, f"{base}/{t}/_seq={n}")
+                finally:
+                    rows.unpersist()
             wh._changes_landed = True
     return base
 
