@@ -83,11 +83,10 @@ def period_slots(shares: DataFrame) -> DataFrame:
                         F.expr("((cast(block as bigint) + 1) * period + blocks - 1) div blocks").alias("deadline"))
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 16, period: int = PERIOD,
+def placed(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 16, period: int = PERIOD,
         doc_id: str = "doc_id", source: str = "source", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """One row per row: doc_id, source, block, release, deadline, slot, position (a permutation of 0..rows-1).
-
-    weights: (source, weight).  keep: columns of ``docs`` to carry along."""
+    """One row per row: _id, _source, _keep_<i>, block, release, deadline, _cycle, slot, _in (place in its block); written.
+    Rows ordered by slot and _in are in mixed order."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
     rows = docs.select(docs[doc_id].alias("_id"), docs[source].alias("_source"), docs[text].alias("_text"), *[docs[c].alias(f"_keep_{i}") for i, c in enumerate(keep or [])])
@@ -114,7 +113,15 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 16,
     start = F.col("_cycle") * F.col("_period")
     at = at.select("_id", "_source", *[f"_keep_{i}" for i in range(len(keep or []))], F.col("_j").alias("block"), (start + F.col("release")).alias("release"), (start + F.col("deadline")).alias("deadline"),
                    F.col("_cycle"), (start + F.col("slot")).alias("slot"), (F.col("_rank") % block_rows).alias("_in"))
-    at = scratch.table(at)
+    return scratch.table(at)
+
+
+def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 16, period: int = PERIOD,
+        doc_id: str = "doc_id", source: str = "source", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """One row per row: doc_id, source, block, release, deadline, slot, position (a permutation of 0..rows-1).
+
+    weights: (source, weight).  keep: columns of ``docs`` to carry along."""
+    at = placed(docs, weights, block_rows, period, doc_id, source, text, keep)
     # rows before a slot: running sums over the slots of a cycle, and over the cycles (rows / (block_rows * period) of them)
     fill = at.groupBy("_cycle", "slot").agg(F.count("*").alias("n"))
     before = Window.unboundedPreceding
@@ -132,8 +139,10 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 16,
 
 
 def mixed_documents(docs: DataFrame, **params) -> DataFrame:
-    """All rows and columns of ``docs``, written in mixed order: ranges of positions, sorted within each."""
+    """All rows and columns of ``docs``, written in mixed order: ranges of positions, sorted within each.  Positions count
+    the rows by slot and place in the block, so these alone give the order and no sums are joined to the texts."""
     own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     names = dict(zip(docs.columns, own.columns))
-    ordered = mix(own, doc_id=names["doc_id"], source=names["source"], text=names["text"], keep=own.columns, **params)
-    return ordered.repartitionByRange("position").sortWithinPartitions("position").select(own.columns).toDF(*docs.columns)
+    at = placed(own, doc_id=names["doc_id"], source=names["source"], text=names["text"], keep=own.columns, **params)
+    ordered = at.repartitionByRange("slot", "_in").sortWithinPartitions("slot", "_in")
+    return ordered.select([f"_keep_{i}" for i in range(len(own.columns))]).toDF(*docs.columns)
