@@ -146,6 +146,19 @@ def test_jaccard_against_all_pairs(spark, k, percent):
     assert links and {i: (x.n_shingles, x.component_id) for i, x in got.items()} == {ids[i]: (len(sets[i]), ids[root[i]]) for i in range(len(sets))}
 
 
+def test_jaccard_keeps_prefixes_once(spark, monkeypatch):
+    """The prefixes of all rows, and the index that the full join has read, are deleted before the result is there."""
+    import glob
+
+    from trolley.llm import jaccard_join
+
+    made, real = [], jaccard_join.Scratch
+    monkeypatch.setattr(jaccard_join, "Scratch", lambda *a: made.append(real(*a)) or made[-1])
+    jaccard_groups(docs(spark, [prose(40, i % 5) for i in range(20)]), k=3, percent=90).count()
+    left = [spark.read.parquet(p).columns for p in glob.glob(f"{made[0].root.removeprefix('file:')}/t*")]
+    assert sum("prefix" in c for c in left) == 1 and not any("own" in c and "root" not in c for c in left)
+
+
 def test_jaccard_odd_inputs(odd, empty):
     got = jaccard_groups(odd).collect()
     assert len(got) == len(ODD)
@@ -213,6 +226,15 @@ def test_mix_is_pfair(spark, odd, empty):
     assert mixed.columns == odd.columns and mixed.count() == len(ODD)
 
 
+def test_mixed_order_needs_no_join_to_the_texts(spark):
+    """The rows come in the order of their positions, and after the written table only the ranges are shuffled."""
+    df = docs(spark, [prose(5, i) for i in range(200)]).withColumn("source", F.when(F.col("doc_id") % 7 == 0, "a").otherwise("b"))
+    mixed = mixing.mixed_documents(df)
+    assert "Join" not in mixed._jdf.queryExecution().executedPlan().toString()
+    want = [r.doc_id for r in sorted(mixing.mix(df).collect(), key=lambda r: r.position)]
+    assert [r.doc_id for r in mixed.collect()] == want
+
+
 @pytest.mark.parametrize("weights", [{"a": 0.9, "b": 0.1}, {"a": 0.99, "b": 0.01}, {"a": 0.91} | {f"s{i}": 0.01 for i in range(9)},
                                      {"a": 3.0, "b": 7.0, None: 1.5}, {"a": 1 / 3, "b": 2 / 3}, {f"s{i}": i + 1.0 for i in range(10)}])
 def test_mix_keeps_the_given_weights(spark, weights):

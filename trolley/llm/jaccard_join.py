@@ -123,6 +123,9 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
     sets = scratch.table(docs.mapInArrow(prefixes, f"doc_id {id_type}, n long, c long, m int, first int, prefix array<long>"))
     shared_freq.destroy()
     classes = scratch.table(sets.where("n > 0").groupBy("c").agg(*[F.first(x).alias(x) for x in ("n", "m", "first", "prefix")]))
+    # a class's prefix is kept once, in ``classes``; rows only need to know their class
+    wide, sets = sets, scratch.table(sets.select("doc_id", "n", "c"))
+    scratch.drop(wide)
     entries = classes.select(F.posexplode("prefix").alias("at", "tok"), "c").select("tok", "c", "at")
 
     def shared(batches):
@@ -144,6 +147,7 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
             yield batch.filter(pa.array(keep))
 
     found = scratch.table(entries.repartition("tok").sortWithinPartitions("tok").mapInArrow(shared, entries.schema))
+    scratch.drop()  # the entries' shuffle files go before the lists are shuffled
     # u: entries before the first that another class also has in its prefix.  The first common entry of a link
     # is in both prefixes, so those u are in no other linked set: at most n - u can be common.  own: all entries
     # without company; it only ranks
@@ -172,6 +176,7 @@ def link_classes(docs: DataFrame, scratch: Scratch, k: int, percent: int) -> tup
     spot = lists.join(roots, lists["c"] == roots["node"], "left").withColumn("root", F.coalesce("root", "c")).drop("node")
     open_lists = spot.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("tok")
     spot = scratch.table(spot.join(open_lists, "tok"))
+    scratch.drop(lists)
     # a link's first common entry has nothing common before it on either side: its positions bound what can follow,
     # so only entries early in both sets can name a pair
     a, b = (spot.select("tok", *[F.col(x).alias(f"{x}{i}") for x in ("c", "n", "u", "at", "root")]) for i in (1, 2))
