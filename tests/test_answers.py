@@ -112,3 +112,26 @@ def test_parameters_by_name(tiny):
     assert reg["top_products"].on(tiny, n=1).count() == 1
     assert reg["order_gap_extremes"].on(tiny).count() == 0  # the documented floor of 1,000
     assert reg["order_gap_extremes"].on(tiny, min_orders=1).count() > 0
+
+
+def test_derived_orders_and_items(spark, tmp_path):
+    """Orders without a date count in a user's sequence, those without a user are left out, copies of a line are one item."""
+    from trolley.plans.warehouse import Warehouse
+    day = lambda d: None if d is None else f"2024-01-{d:02d}"
+    orders = [(1, 4, day(1)), (2, 4, day(3)), (3, 4, day(3)), (4, 5, None), (5, 5, day(2)), (6, None, day(2)), (7, 6, day(9)), (8, 7, day(5)), (8, 7, day(5)), (9, 7, day(6))]
+    lines = [(1, 10, 1), (1, 11, 2), (2, 10, 2), (2, 12, 1), (2, 10, 2), (3, 11, 1), (3, 12, 2), (4, 10, 1), (5, 10, 1), (6, 10, 1), (8, 10, 1), (9, 10, 1), (9, 11, 2), (None, 10, 1), (1, None, 4)]
+    parts = [(10, "A", "X"), (11, "A", "Y"), (12, "B", "X"), (13, None, "X")]  # products 2, 3, 4; a missing brand sorts first
+    for name, rows, schema in (("orders", orders, "o_orderkey long, o_custkey long, o_orderdate string"), ("lineitem", lines, "l_orderkey long, l_partkey long, l_linenumber int"),
+                               ("part", parts, "p_partkey long, p_brand string, p_type string")):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    wh = Warehouse(spark, str(tmp_path), root=str(tmp_path / "root"))
+    got = [(r.order_id, r.user_id, r.eval_set, r.order_number, r.days_since_prior_order) for r in wh.raw("orders").collect()]
+    # order 7 has no lines; the undated order 4 is first of user 5; order 8 is there twice
+    assert sorted(got) == [(1, 4, "prior", 1, None), (2, 4, "prior", 2, 2.0), (3, 4, "train", 3, 0.0), (5, 5, "train", 2, None),
+                           (8, 7, "prior", 1, None), (8, 7, "prior", 2, 0.0), (9, 7, "train", 3, 1.0)]
+    for read in (wh.raw, wh.source):
+        items = read("order_products_prior").unionByName(read("order_products_train"))
+        flags = sorted((r.order_id, r.product_id, r.reordered) for r in items.collect())
+        assert flags == [(1, 2, 0), (1, 3, 0), (2, 2, 1), (2, 4, 0), (3, 3, 1), (3, 4, 1), (5, 2, 0), (8, 2, 0), (8, 2, 1), (9, 2, 1), (9, 3, 0)]
+    assert sorted((r.order_id, r.product_id, r.add_to_cart_order) for r in wh.raw("order_products_prior").collect() if r.order_id == 2) == [(2, 2, 2), (2, 4, 1)]
+    wh.close()
